@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagequarry.config import EMBED_ERROR
+
 DIMENSIONS = 256
 
 
@@ -46,11 +48,9 @@ class TfidfEmbedder:
         return list(self.embed(spark.createDataFrame([(query,)], [column])).first()["embedding"])
 
 
-def embedding_outcome(records: DataFrame, chunk_counts: DataFrame, vector_db: str) -> DataFrame:
+def embedding_outcome(records: DataFrame, chunk_counts: DataFrame, vector_db: str, key: str = "doc_id") -> DataFrame:
     """Fill the embeddings struct of eligible records from their chunk counts; a document
-    without chunks failed to embed. Each side has one row per doc_id."""
-    from pagequarry.config import EMBED_ERROR
-
+    without chunks failed to embed. Each side has one row per ``key``."""
     eligible = (F.col("status") == "completed") & (F.size("output_md") > 0)
     done = F.coalesce("chunk_count", F.lit(0)) > 0
     struct = F.struct(
@@ -58,5 +58,5 @@ def embedding_outcome(records: DataFrame, chunk_counts: DataFrame, vector_db: st
         F.when(done, vector_db).alias("vector_db"),
         F.when(done, F.col("chunk_count").cast("int")).alias("chunk_count"),
         F.when(~done, EMBED_ERROR).alias("error"))
-    return (records.drop("embeddings").join(chunk_counts.select("doc_id", "chunk_count"), "doc_id", "left")
+    return (records.drop("embeddings").join(chunk_counts.select(key, "chunk_count"), key, "left")
             .withColumn("embeddings", F.when(eligible, struct)).drop("chunk_count"))

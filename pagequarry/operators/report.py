@@ -13,7 +13,7 @@ def run_summary(results: DataFrame, processing_time: float | Column = 0.0) -> Da
     """One row of totals over all discovered files; ``status`` is 'skipped' for duplicates.
 
     Failed documents count as processed and their pages are included. ``exit_code`` is 0 when
-    anything succeeded or was skipped, or when there were no files.
+    anything succeeded or was skipped. No files at all give one row of zeros.
     """
     taken = F.col("status") != "skipped"
 
@@ -36,7 +36,7 @@ def run_summary(results: DataFrame, processing_time: float | Column = 0.0) -> Da
         F.count_if(taken & (F.col("embeddings.status") == "completed")).alias("embedded_docs"),
         F.count_if(taken & (F.col("embeddings.status") == "failed")).alias("embedding_failures"),
     ).withColumn("processing_time", elapsed).withColumn(
-        "exit_code", F.when((F.col("total_files") == 0) | (F.col("successful") > 0) | (F.col("skipped") > 0), 0).otherwise(1))
+        "exit_code", F.when((F.col("successful") > 0) | (F.col("skipped") > 0), 0).otherwise(1))
 
 
 def embed_summary(records: DataFrame) -> DataFrame:

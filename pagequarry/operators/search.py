@@ -23,18 +23,18 @@ def as_literal(query: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(x)) for x in query])
 
 
-def search_topk(vectors: DataFrame, query: Sequence[float] | Column, k: int = 5) -> DataFrame:
+def search_topk(vectors: DataFrame, query: Sequence[float], k: int = 5) -> DataFrame:
     """The k vectors nearest to one query, smallest squared L2 distance first, ties by chunk_id.
 
     Every task keeps its own k nearest; only those are merged.
     """
-    q = query if isinstance(query, Column) else as_literal(query)
+    q = as_literal(query)
     return (vectors.withColumn("l2_distance", V.squared_l2(F.col("embedding"), q))
             .orderBy("l2_distance", "chunk_id").limit(k)
             .withColumn("cosine", V.cosine(F.col("embedding"), q)))
 
 
-def search_filtered(vectors: DataFrame, condition: Column, query: Sequence[float] | Column, k: int = 5) -> DataFrame:
+def search_filtered(vectors: DataFrame, condition: Column, query: Sequence[float], k: int = 5) -> DataFrame:
     """Search among the vectors whose metadata meets ``condition``; the filter reaches the scan."""
     return search_topk(vectors.filter(condition), query, k)
 

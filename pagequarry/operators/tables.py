@@ -36,9 +36,9 @@ def table_numbering(tables: DataFrame, order: str) -> DataFrame:
     return numbered.withColumn("csv_name", naming.table_name(F.col("doc_id"), F.col("table_idx")))
 
 
-def table_sample(rows: DataFrame, table_key: str, row_no: str, n: int = SAMPLE_ROWS) -> DataFrame:
+def table_sample(rows: DataFrame, table_key: str, order: list[str], n: int = SAMPLE_ROWS) -> DataFrame:
     """First rows of each table in file order; each task passes on at most ``n`` rows per table."""
-    w = Window.partitionBy(table_key).orderBy(row_no)
+    w = Window.partitionBy(table_key).orderBy(*order)
     return rows.withColumn("sample_row", F.row_number().over(w)).filter(F.col("sample_row") <= n)
 
 
@@ -125,7 +125,7 @@ def _dtype_lines(columns: Column) -> Column:
         F.rpad(x["column"], name_width, " "), F.lit("    "), F.lpad(x["dtype"], type_width, " "))), "\n")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _render_samples(columns: pd.Series, dtypes: pd.Series, rows: pd.Series) -> pd.Series:
     return pd.Series([render_table(list(c), list(d), [list(r) for r in s])
                       for c, d, s in zip(columns, dtypes, rows)])
@@ -160,18 +160,18 @@ def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Co
                     "rows", "columns", md.alias("md")))
 
 
-def table_summaries(rows: DataFrame, tables: DataFrame, row_no: str, columns: list[str],
+def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], columns: list[str],
                     per_part: int = TABLES_PER_TEXT) -> DataFrame:
     """Per document, its tables in number order: name, counts, first columns, first rows.
 
-    ``rows`` has table_id, ``row_no`` and the data columns; ``tables`` has doc_id, table_id,
+    ``rows`` has table_id and the data columns, ``order`` among them; ``tables`` has doc_id, table_id,
     table_idx and csv_name. Documents of many tables come in parts, as in the page rollups.
     """
     header = columns[:PREVIEW_COLUMNS]
     counts = table_rows(rows, "table_id")
     cells = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     samples = (
-        table_sample(rows.select("table_id", row_no, cells.alias("cells")), "table_id", row_no)
+        table_sample(rows.select("table_id", *order, cells.alias("cells")), "table_id", order)
         .groupBy("table_id").agg(F.array_join(ordered("sample_row", markdown.pipe_row(F.col("cells"))), "\n").alias("body"))
     )
     head = "| " + " | ".join(columns) + " |\n|" + " --- |" * len(columns) + "\n"

@@ -34,7 +34,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="pagequarry-")
+        root = spark.conf.get("pagequarry.local.work", None) or tempfile.mkdtemp(prefix="pagequarry-")
         spark.conf.set("pagequarry.local.work", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -47,3 +47,10 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table that several later steps read, and read it back; it outlives lost executors."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
