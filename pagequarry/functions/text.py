@@ -21,10 +21,8 @@ _CLOSING = rf"[^\n]*-->{_INLINE}(?=\n|\z)"
 _STRICT_COMMENT = (
     rf"\n(?:{_INLINE}<!--(?s:.)*?(?:\n(?!{_INLINE}<!--){_CLOSING}|\z)|{_CLOSING})"
 )
-# The lenient form also lets the opening line close itself.
-_LENIENT_COMMENT = (
-    rf"\n(?:{_INLINE}<!--(?:{_CLOSING}|(?s:.)*?(?:\n(?!{_INLINE}<!--){_CLOSING}|\z))|{_CLOSING})"
-)
+# In the lenient form any line that ends with --> closes, the opening one included.
+_LENIENT_COMMENT = rf"\n(?:{_INLINE}(?=<!--)(?s:.)*?(?:-->{_INLINE}(?=\n|\z)|\z)|{_CLOSING})"
 
 
 def strip(c: Column) -> Column:

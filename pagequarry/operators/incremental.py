@@ -36,10 +36,16 @@ def incremental_new(files: DataFrame, index: DataFrame, config: JobConfig = JobC
     return new.unionByName(files.filter(F.col("hash").isNull()))
 
 
+def incremental_split(files: DataFrame, index: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
+    """All files with ``is_new``: whether the run processes the file or passes over it."""
+    new = incremental_new(files.select("path", "doc_id", "hash"), index, config)
+    flagged = files.join(new.select("path", F.lit(True).alias("is_new")), "path", "left")
+    return flagged.withColumn("is_new", F.coalesce("is_new", F.lit(False)))
+
+
 def incremental_skipped(files: DataFrame, index: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
     """Files the run passes over: those known to the index and further copies inside the run."""
-    new = incremental_new(files.select("path", "doc_id", "hash"), index, config)
-    return files.join(new.select("path"), "path", "left_anti")
+    return incremental_split(files, index, config).filter(~F.col("is_new")).drop("is_new")
 
 
 def duplicate_lookup(files: DataFrame, index: DataFrame) -> DataFrame:

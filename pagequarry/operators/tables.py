@@ -42,16 +42,20 @@ def table_sample(rows: DataFrame, table_key: str, order: list[str], n: int = SAM
     return rows.withColumn("sample_row", F.row_number().over(w)).filter(F.col("sample_row") <= n)
 
 
-def _missing(c: Column) -> Column:
-    return c.isNull() | c.isin(*NA_TEXTS)
+# What a cell looks like, as bits: a column's dtype follows from the bits seen in it.
+_MISSING, _BOOL, _INT_CELL, _FLOAT_CELL, _OTHER = 1, 2, 4, 8, 16
 
 
-def _dtype(rows: Column, missing: Column, ints: Column, floats: Column, bools: Column) -> Column:
-    present = rows - missing
-    return (F.when(rows == 0, "object").when(present == 0, "float64")
-            .when((bools == present) & (missing == 0), "bool")
-            .when((ints == present) & (missing == 0), "int64")
-            .when(floats == present, "float64").otherwise("object"))
+def cell_kind(c: Column) -> Column:
+    return (F.when(c.isNull() | c.isin(*NA_TEXTS), _MISSING).when(c.rlike(_INT), _INT_CELL)
+            .when(c.rlike(_FLOAT), _FLOAT_CELL).when(c.isin(*BOOL_TEXTS), _BOOL).otherwise(_OTHER))
+
+
+def dtype_of(kinds: Column) -> Column:
+    """dtype of a text column from the kinds seen; no rows at all is object, no values float64."""
+    numeric = _MISSING | _INT_CELL | _FLOAT_CELL
+    return (F.when(kinds.isNull(), "object").when(kinds == _BOOL, "bool").when(kinds == _INT_CELL, "int64")
+            .when(kinds.bitwiseAND(F.lit(~numeric)) == 0, "float64").otherwise("object"))
 
 
 def _stored_type(t: T.DataType) -> str:
@@ -72,22 +76,20 @@ def table_profile(name: str, df: DataFrame) -> DataFrame:
     String columns are typed by their cells, as a CSV reader would; typed columns keep their type,
     an integer column with missing cells being float64 and a boolean one object.
     """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    marked = df.withColumns({c: cell_kind(F.col(f"`{c}`")) for c in texts})
     aggs = [F.count(F.lit(1)).alias("n")]
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            seen = ~_missing(c)
-            aggs += [F.count_if(_missing(c)).alias(f"m{i}"),
-                     F.count_if(seen & c.rlike(_INT)).alias(f"i{i}"),
-                     F.count_if(seen & c.rlike(_FLOAT)).alias(f"f{i}"),
-                     F.count_if(seen & c.isin(*BOOL_TEXTS)).alias(f"b{i}")]
+    for i, column in enumerate(df.columns):
+        c = F.col(f"`{column}`")
+        if column in texts:
+            aggs += [F.count_if(c == _MISSING).alias(f"m{i}"), F.bit_or(c).alias(f"k{i}")]
         else:
             aggs.append(F.count_if(c.isNull()).alias(f"m{i}"))
     columns = []
     for i, f in enumerate(df.schema.fields):
-        n, missing = F.col("n"), F.col(f"m{i}")
-        if isinstance(f.dataType, T.StringType):
-            dtype = _dtype(n, missing, F.col(f"i{i}"), F.col(f"f{i}"), F.col(f"b{i}"))
+        missing = F.col(f"m{i}")
+        if f.name in texts:
+            dtype = dtype_of(F.col(f"k{i}"))
         else:
             stored = _stored_type(f.dataType)
             widened = {"int64": "float64", "bool": "object"}.get(stored, stored)
@@ -95,7 +97,7 @@ def table_profile(name: str, df: DataFrame) -> DataFrame:
         label = f.name if f.name.strip() else f"Unnamed: {i}"
         columns.append(F.struct(F.lit(i + 1).alias("col_idx"), F.lit(label).alias("column"),
                                 dtype.alias("dtype"), missing.alias("missing")))
-    return df.agg(*aggs).select(
+    return marked.agg(*aggs).select(
         F.lit(name).alias("table_name"), F.col("n").alias("rows"),
         F.lit(len(df.columns)).alias("columns"), F.inline(F.array(*columns)))
 
@@ -106,15 +108,11 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
 
 def cell_profile(cells: DataFrame) -> DataFrame:
     """Profile of very many tables held as text cells (table_id, col_idx, column, value)."""
-    c = F.col("value")
-    seen = ~_missing(c)
-    return (cells.groupBy("table_id", "col_idx", "column")
-            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(_missing(c)).alias("missing"),
-                 F.count_if(seen & c.rlike(_INT)).alias("ints"),
-                 F.count_if(seen & c.rlike(_FLOAT)).alias("floats"),
-                 F.count_if(seen & c.isin(*BOOL_TEXTS)).alias("bools"))
-            .select("table_id", "col_idx", "column", "rows", "missing",
-                    _dtype(*[F.col(x) for x in ("rows", "missing", "ints", "floats", "bools")]).alias("dtype")))
+    marked = cells.withColumn("kind", cell_kind(F.col("value")))
+    return (marked.groupBy("table_id", "col_idx", "column")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("kind") == _MISSING).alias("missing"),
+                 F.bit_or("kind").alias("kinds"))
+            .select("table_id", "col_idx", "column", "rows", "missing", dtype_of(F.col("kinds")).alias("dtype")))
 
 
 def _dtype_lines(columns: Column) -> Column:

@@ -138,9 +138,9 @@ def index_upsert(spark, sf):
 def _results(spark, sf) -> DataFrame:
     """Every discovered file with its record; duplicates carry status 'skipped'."""
     reg, idx = I.registry_and_index(spark, sf)
-    new = I.with_embeddings(I.records(incremental.incremental_new(reg, idx), I.labels(spark, sf)), spark, sf)
-    skipped = incremental.incremental_skipped(reg, idx).withColumn("status", F.lit("skipped"))
-    return new.unionByName(skipped, allowMissingColumns=True)
+    split = incremental.incremental_split(reg, idx)
+    done = I.with_embeddings(I.records(split, I.labels(spark, sf)), spark, sf)
+    return done.withColumn("status", F.when(F.col("is_new"), F.col("status")).otherwise("skipped"))
 
 
 @query(f"""WITH {O.RESULTS} SELECT count(*) AS total_files, count(*) FILTER (WHERE status <> 'skipped') AS processed,
@@ -204,7 +204,7 @@ def incremental_stream(spark, sf):
     source = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents*.parquet").parquet(sf)
     for _ in range(2):  # the second run finds nothing new
         stream.start_incremental(I.listing(source), root).awaitTermination()
-    return stream.current_index(spark, root).select("doc_id", "path", "type", "category", "hash")
+    return stream.current_index(stream.index_log(spark, root)).select("doc_id", "path", "type", "category", "hash")
 
 
 # --- pages and Markdown ---------------------------------------------------------------------
@@ -253,8 +253,7 @@ def md_readback(spark, sf):
     listed = materialize(I.rendered(spark, sf), "rendered")
     path = work_folder(spark, "md")
     stores.write_markdown(listed.join(unreadable, "doc_id", "left_anti"), path)
-    found, missing = stores.attach_markdown(listed.select("md_file"), stores.read_markdown(spark, path))
-    return found.unionByName(missing.withColumn("md", F.lit(None).cast("string")))
+    return stores.attach_markdown(listed.select("md_file"), stores.read_markdown(spark, path))
 
 
 @query(f"""WITH {O.RECORDS}, names AS (SELECT unnest(output_md) AS md_file FROM recs),

@@ -61,11 +61,9 @@ def read_markdown_files(spark: SparkSession, path: str) -> DataFrame:
                     text.unix_newlines(F.col("value")).alias("md")))
 
 
-def attach_markdown(listed: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Listed files with their text, and the listed files that are missing from the store."""
-    found = listed.join(stored.select("md_file", "md"), "md_file", "inner")
-    missing = listed.join(stored.select("md_file"), "md_file", "left_anti")
-    return found, missing
+def attach_markdown(listed: DataFrame, stored: DataFrame) -> DataFrame:
+    """Listed files with their text; ``md`` is null for those missing from the store."""
+    return listed.join(stored.select("md_file", "md"), "md_file", "left")
 
 
 def append_events(events: DataFrame, path: str) -> None:

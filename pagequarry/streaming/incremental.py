@@ -23,15 +23,13 @@ RECORD = "doc_id string, path string, filename string, type string, category str
 _FIELDS = [f.split()[0] for f in RECORD.split(", ")]
 
 
-def batches_before(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame:
-    schema = spark.createDataFrame([], RECORD + ", batch_id bigint").schema
-    log = load_index(spark, f"{root}/index", schema)
-    return log if batch_id is None else log.filter(F.col("batch_id") < batch_id)
+def index_log(spark: SparkSession, root: str) -> DataFrame:
+    """Every record ever written, with the batch that wrote it."""
+    return load_index(spark, f"{root}/index", spark.createDataFrame([], RECORD + ", batch_id bigint").schema)
 
 
-def current_index(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame:
+def current_index(log: DataFrame) -> DataFrame:
     """The latest record of each doc_id."""
-    log = batches_before(spark, root, batch_id)
     return last_record_wins(log, "batch_id").select(*_FIELDS)
 
 
@@ -39,7 +37,9 @@ def register_batch(root: str, config: JobConfig) -> Callable[[DataFrame, int], N
     def run(batch: DataFrame, batch_id: int) -> None:
         files = register(fingerprint(select_supported(batch))).select(*_FIELDS)
         winners = last_record_wins(files, "path")
-        known = current_index(batch.sparkSession, root, batch_id)
+        earlier = index_log(batch.sparkSession, root).filter(F.col("batch_id") < batch_id)
+        # Only the records of ids in this batch matter; the log itself is not shuffled when they are few.
+        known = current_index(earlier.join(winners.select("doc_id"), "doc_id", "left_semi"))
         new = incremental_new(winners, known, config)
         new.select(*_FIELDS).write.mode("overwrite").parquet(f"{root}/index/batch_id={batch_id}")
 
