@@ -70,8 +70,8 @@ def _stored_type(t: T.DataType) -> str:
     return "object"
 
 
-def table_profile(name: str, df: DataFrame) -> DataFrame:
-    """Row count, column count and dtype of each column, in one pass over the table.
+def _profile_row(name: str, df: DataFrame) -> DataFrame:
+    """One row: table_name, rows, columns and the array of column profiles.
 
     String columns are typed by their cells, as a CSV reader would; typed columns keep their type,
     an integer column with missing cells being float64 and a boolean one object.
@@ -99,7 +99,12 @@ def table_profile(name: str, df: DataFrame) -> DataFrame:
                                 dtype.alias("dtype"), missing.alias("missing")))
     return marked.agg(*aggs).select(
         F.lit(name).alias("table_name"), F.col("n").alias("rows"),
-        F.lit(len(df.columns)).alias("columns"), F.inline(F.array(*columns)))
+        F.lit(len(df.columns)).alias("columns"), F.array(*columns).alias("cols"))
+
+
+def table_profile(name: str, df: DataFrame) -> DataFrame:
+    """Row count, column count and dtype of each column, in one pass over the table."""
+    return _profile_row(name, df).select("table_name", "rows", "columns", F.inline("cols"))
 
 
 def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
@@ -132,14 +137,13 @@ def _render_samples(columns: pd.Series, dtypes: pd.Series, rows: pd.Series) -> p
 def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Column, run_time: str) -> DataFrame:
     """Markdown summary of one tabular file: counts, dtypes and its first rows."""
     cat, doc = naming.category(F.lit(filename)), naming.doc_id(F.lit(filename))
-    profile = table_profile(filename, df).groupBy("rows", "columns").agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("col_idx", "column", "dtype"))),
-        lambda x: F.struct(x["column"].alias("column"), x["dtype"].alias("dtype"))).alias("cols"))
-    first = df.orderBy(*order).limit(SAMPLE_ROWS)
     cells = F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns])
-    keys = F.struct(*order)
-    sample = first.agg(F.transform(F.sort_array(F.collect_list(F.struct(keys.alias("k"), cells.alias("v")))),
-                                   lambda x: x["v"]).alias("sample"))
+    first = df.orderBy(*order).limit(SAMPLE_ROWS).select(F.struct(*order).alias("k"), cells.alias("v"))
+    sample = first.agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("sample"))
+    halves = _profile_row(filename, df).unionByName(
+        sample.withColumn("table_name", F.lit(filename)), allowMissingColumns=True)
+    whole = halves.groupBy("table_name").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("rows", "columns", "cols", "sample")])
     table = _render_samples(F.transform("cols", lambda x: x["column"]),
                             F.transform("cols", lambda x: x["dtype"]), F.col("sample"))
     # Fixed layout of a tabular file's page.
@@ -152,10 +156,8 @@ def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Co
         F.lit("\n\n## Sample Data (First 5 rows)\n"),
         F.when(F.col("rows") > 0, table).otherwise("No data"),
         F.lit(f"\n\n## Processing Information\n- Extracted using: pandas\n- Processing timestamp: {run_time}\n"))
-    # Both sides are one-row aggregates.
-    return (profile.withColumn("k", F.lit(1)).join(sample.withColumn("k", F.lit(1)), "k")
-            .select(F.lit(filename).alias("filename"), doc.alias("doc_id"), cat.alias("category"),
-                    "rows", "columns", md.alias("md")))
+    return whole.select(F.lit(filename).alias("filename"), doc.alias("doc_id"), cat.alias("category"),
+                        "rows", "columns", md.alias("md"))
 
 
 def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], columns: list[str],

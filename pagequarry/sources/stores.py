@@ -43,10 +43,12 @@ def export_markdown_files(pages: DataFrame, path: str) -> None:
     """One text file per page in category folders, for small corpora that people browse.
 
     Each page is one row, so ``partitionBy`` on the file name gives each its own folder; a corpus
-    of many pages belongs in :func:`write_markdown`.
+    of many pages belongs in :func:`write_markdown`. The writer ends each file with a line feed,
+    as every rendered page does, so that one is taken off first.
     """
-    (pages.select("category", "md_file", F.col("md").alias("value"))
-     .write.mode("overwrite").partitionBy("category", "md_file").option("lineSep", "").text(path))
+    body = F.when(F.col("md").endswith("\n"), F.expr("left(md, length(md) - 1)")).otherwise(F.col("md"))
+    (pages.select("category", "md_file", body.alias("value"))
+     .write.mode("overwrite").partitionBy("category", "md_file").text(path))
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
