@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 
-def _number(cell: str | None, dtype: str) -> str:
-    if cell is None:
-        return "nan" if dtype != "object" else ""
-    return f"{float(cell):g}" if dtype == "float64" else cell
+def _is(number: type, cell: str) -> bool:
+    try:
+        number(cell)
+    except ValueError:
+        return False
+    return True
 
 
 def _fraction(cell: str) -> int:
@@ -16,12 +18,17 @@ def _fraction(cell: str) -> int:
 
 
 def render_table(columns: list[str], dtypes: list[str], rows: list[list[str | None]]) -> str:
+    """Columns of numbers are right-aligned on their decimal point, all others left-aligned."""
     texts, rules = [], []
     for i, (name, dtype) in enumerate(zip(columns, dtypes)):
-        cells = [_number(r[i], dtype) for r in rows]
-        numeric = dtype in ("int64", "float64")
+        cells = ["nan" if r[i] is None else r[i] for r in rows]
+        if dtype == "bool":
+            cells = [c.capitalize() for c in cells]
+        numeric = dtype != "bool" and all(_is(float, c) for c in cells)
         if numeric:
-            longest = max((_fraction(c) for c in cells), default=-1)
+            if not all(_is(int, c) for c in cells):
+                cells = [f"{float(c):g}" for c in cells]
+            longest = max(map(_fraction, cells), default=-1)
             cells = [c + " " * (longest - _fraction(c)) for c in cells]
         width = max([len(name) + 2] + [len(c) for c in cells])
         pad = str.rjust if numeric else str.ljust

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from pagequarry.functions import markdown, naming, text
 from pagequarry.operators.skew import join_salted
 
-Extractor = Callable[[DataFrame], DataFrame]
+# A page extractor turns document content into an array of page texts; null when it cannot.
+Extractor = Callable[[Column], Column]
 
 
 def page_rows(source: DataFrame, doc: Column, page: Column, content: Column) -> DataFrame:
@@ -79,37 +79,45 @@ def choose_extractor(pages: DataFrame) -> DataFrame:
     return winners
 
 
-def extract_with_fallback(docs: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
-    """Run page extractors in turn, each on the documents that gave no pages before it."""
-    remaining, parts = docs, []
-    for method, extract in extractors.items():
-        got = extract(remaining)
-        parts.append(got.withColumn("method", F.lit(method)))
-        remaining = remaining.join(got.select("doc_id").distinct(), "doc_id", "left_anti")
-    return reduce(DataFrame.unionByName, parts)
+def html_pages(content: Column) -> Column:
+    """One page of text from HTML; null for anything else."""
+    c = content.cast("string")
+    return F.when(c.rlike(r"(?i)^\s*<(?:!doctype html|html)\b"), F.array(text.html_to_text(c)))
 
 
-def html_extractor(docs: DataFrame) -> DataFrame:
-    """Page text of documents whose ``content`` is HTML, one page each."""
-    body = text.html_to_text(F.col("content").cast("string"))
-    return page_rows(docs.filter(F.col("content").isNotNull()), F.col("doc_id"), F.lit(1), body)
+def text_pages(content: Column) -> Column:
+    """Pages of plain UTF-8 text; a form feed starts a new page."""
+    return F.when(F.is_valid_utf8(content), F.split(content.cast("string"), "\f", -1))
 
 
-def text_extractor(docs: DataFrame) -> DataFrame:
-    """Page text of plain documents; a form feed starts a new page."""
-    split = docs.filter(F.col("content").isNotNull()).select(
-        "doc_id", F.split(F.col("content").cast("string"), "\f", -1).alias("pages"))
-    return pages_from_array(split)
-
-
-EXTRACTORS: dict[str, Extractor] = {"html": html_extractor, "text": text_extractor}
+EXTRACTORS: dict[str, Extractor] = {"html": html_pages, "text": text_pages}
 
 
 def register_extractor(name: str, extract: Extractor) -> None:
-    """Make a page extractor (documents to page rows) available by name."""
+    """Make a page extractor available by name; a Python one is a pandas UDF giving array<string>."""
     EXTRACTORS[name] = extract
 
 
+def extract_pages(docs: DataFrame, methods: list[str]) -> DataFrame:
+    """Page rows of documents: ``content`` becomes method, page, text and text_length.
+
+    Per document the first method that yields pages gives all of them; a document no method can
+    read gives no rows. Trying the next method is a coalesce inside the row, so falling back moves
+    no content.
+    """
+
+    def attempt(name: str) -> Column:
+        tried = F.transform(F.array(EXTRACTORS[name](F.col("content"))),
+                            lambda t: F.struct(F.lit(name).alias("method"), t.alias("texts")))
+        return F.get(F.filter(tried, lambda a: F.size(a["texts"]) > 0), F.lit(0))
+
+    keep = [c for c in docs.columns if c != "content"]
+    got = docs.select(*keep, F.coalesce(*[attempt(m) for m in methods]).alias("got"))
+    rows = got.select(*keep, F.col("got.method").alias("method"), F.posexplode("got.texts").alias("pos", "raw"))
+    body = F.coalesce("raw", F.lit(""))
+    return rows.select(*keep, "method", (F.col("pos") + 1).alias("page"), body.alias("text"), F.length(body).alias("text_length"))
+
+
 def render_pages(pages: DataFrame, method: Column, run_time: str) -> DataFrame:
     """Page Markdown for enriched pages (doc_id, page, text, filename, category, hash)."""
     name = naming.page_name(F.col("doc_id"), F.col("page"))

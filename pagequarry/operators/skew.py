@@ -29,7 +29,7 @@ def number_within(df: DataFrame, key: str, order: str, name: str, bucket: int =
     Rows are numbered inside runs of ``bucket`` order values; the running total over the runs of a
     key works on one row per run. No task sorts a whole key.
     """
-    runs = df.withColumn("_run", F.floor(F.col(order) / bucket))
+    runs = df.withColumn("_run", F.expr(f"`{order}` div {bucket}"))
     counts = runs.groupBy(key, "_run").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(key, "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

@@ -111,13 +111,20 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [table_profile(n, d) for n, d in tables.items()])
 
 
-def cell_profile(cells: DataFrame) -> DataFrame:
-    """Profile of very many tables held as text cells (table_id, col_idx, column, value)."""
-    marked = cells.withColumn("kind", cell_kind(F.col("value")))
-    return (marked.groupBy("table_id", "col_idx", "column")
-            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("kind") == _MISSING).alias("missing"),
-                 F.bit_or("kind").alias("kinds"))
-            .select("table_id", "col_idx", "column", "rows", "missing", dtype_of(F.col("kinds")).alias("dtype")))
+def cell_profile(cells: DataFrame, table_key: str = "table_id") -> DataFrame:
+    """Profile of very many tables held as text cells (table key, row_no, col_idx, column, value).
+
+    Row 0 holds the headers. ``first_cells`` are the cells of the first rows. Counts and kinds are
+    combined before the shuffle, so a huge table costs a row per column and input partition.
+    """
+    data = F.col("row_no") > 0
+    marked = cells.withColumn("kind", F.when(data, cell_kind(F.col("value"))))
+    value = F.when(F.col("kind") != _MISSING, F.col("value"))
+    early = F.when(data & (F.col("row_no") <= SAMPLE_ROWS), F.struct("row_no", value.alias("value")))
+    return (marked.groupBy(table_key, "col_idx", "column")
+            .agg(F.count_if(data).alias("rows"), F.count_if(F.col("kind") == _MISSING).alias("missing"),
+                 F.bit_or("kind").alias("kinds"), F.collect_list(early).alias("first_cells"))
+            .select(table_key, "col_idx", "column", "rows", "missing", dtype_of(F.col("kinds")).alias("dtype"), "first_cells"))
 
 
 def _dtype_lines(columns: Column) -> Column:
@@ -134,9 +141,26 @@ def _render_samples(columns: pd.Series, dtypes: pd.Series, rows: pd.Series) -> p
                       for c, d, s in zip(columns, dtypes, rows)])
 
 
+def _summary_markdown(filename: Column, title: Column, page: Column, csv_name: Column, file_hash: Column,
+                      run_time: str) -> Column:
+    """Page of a tabular file from its rows, columns, cols (column, dtype) and sample."""
+    cat, doc = naming.category(filename), naming.doc_id(filename)
+    table = _render_samples(F.transform("cols", lambda x: x["column"]),
+                            F.transform("cols", lambda x: x["dtype"]), F.col("sample"))
+    # Fixed layout of a tabular file's page.
+    return F.concat(
+        markdown.metadata_header(doc, filename, page, cat, file_hash),
+        F.lit("\n\n# "), title, F.lit("\n\n## Summary\n- Document ID: "), doc,
+        F.lit("\n- Rows: "), F.col("rows").cast("string"),
+        F.lit("\n- Columns: "), F.col("columns").cast("string"),
+        F.lit("\n- CSV File: "), csv_name, F.lit("\n\n## Column Information\n"), _dtype_lines(F.col("cols")),
+        F.lit("\n\n## Sample Data (First 5 rows)\n"),
+        F.when(F.col("rows") > 0, table).otherwise("No data"),
+        F.lit(f"\n\n## Processing Information\n- Extracted using: pandas\n- Processing timestamp: {run_time}\n"))
+
+
 def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Column, run_time: str) -> DataFrame:
     """Markdown summary of one tabular file: counts, dtypes and its first rows."""
-    cat, doc = naming.category(F.lit(filename)), naming.doc_id(F.lit(filename))
     cells = F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns])
     first = df.orderBy(*order).limit(SAMPLE_ROWS).select(F.struct(*order).alias("k"), cells.alias("v"))
     sample = first.agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("sample"))
@@ -144,22 +168,31 @@ def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Co
         sample.withColumn("table_name", F.lit(filename)), allowMissingColumns=True)
     whole = halves.groupBy("table_name").agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in ("rows", "columns", "cols", "sample")])
-    table = _render_samples(F.transform("cols", lambda x: x["column"]),
-                            F.transform("cols", lambda x: x["dtype"]), F.col("sample"))
-    # Fixed layout of a tabular file's page.
-    md = F.concat(
-        markdown.metadata_header(doc, F.lit(filename), F.lit(1), cat, file_hash),
-        F.lit(f"\n\n# {filename}\n\n## Summary\n- Document ID: "), doc,
-        F.lit("\n- Rows: "), F.col("rows").cast("string"),
-        F.lit("\n- Columns: "), F.col("columns").cast("string"),
-        F.lit("\n- CSV File: "), doc, F.lit(".csv\n\n## Column Information\n"), _dtype_lines(F.col("cols")),
-        F.lit("\n\n## Sample Data (First 5 rows)\n"),
-        F.when(F.col("rows") > 0, table).otherwise("No data"),
-        F.lit(f"\n\n## Processing Information\n- Extracted using: pandas\n- Processing timestamp: {run_time}\n"))
-    return whole.select(F.lit(filename).alias("filename"), doc.alias("doc_id"), cat.alias("category"),
+    name = F.lit(filename)
+    doc = naming.doc_id(name)
+    md = _summary_markdown(name, name, F.lit(1), F.concat(doc, F.lit(".csv")), file_hash, run_time)
+    return whole.select(name.alias("filename"), doc.alias("doc_id"), naming.category(name).alias("category"),
                         "rows", "columns", md.alias("md"))
 
 
+def render_cell_tables(cells: DataFrame, files: DataFrame, run_time: str) -> DataFrame:
+    """Markdown summaries of many CSV files from their cells; ``files`` has path, filename, hash."""
+    columns = cell_profile(cells, "path")
+    tables = columns.groupBy("path").agg(
+        F.max("rows").alias("rows"), F.count(F.lit(1)).alias("columns"),
+        F.sort_array(F.collect_list(F.struct("col_idx", "column", "dtype", "first_cells"))).alias("cols"))
+    row_numbers = F.when(F.col("rows") > 0, F.sequence(F.lit(1), F.least(F.lit(SAMPLE_ROWS), F.col("rows")).cast("int"))
+                         ).otherwise(F.array().cast("array<int>"))
+    sample = F.transform(row_numbers, lambda n: F.transform("cols", lambda c: F.get(
+        F.transform(F.filter(c["first_cells"], lambda x: x["row_no"] == n), lambda x: x["value"]), F.lit(0))))
+    named = tables.withColumn("sample", sample).join(files.select("path", "filename", "hash"), "path")
+    name = F.col("filename")
+    doc, cat = naming.doc_id(name), naming.category(name)
+    md = _summary_markdown(name, name, F.lit(1), F.concat(doc, F.lit(".csv")), F.col("hash"), run_time)
+    return named.select("path", doc.alias("doc_id"), cat.alias("category"), "hash", "rows", "columns",
+                        naming.md_path(cat, doc).alias("md_file"), naming.csv_path(cat, doc).alias("csv_file"), md.alias("md"))
+
+
 def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], columns: list[str],
                     per_part: int = TABLES_PER_TEXT) -> DataFrame:
     """Per document, its tables in number order: name, counts, first columns, first rows.
@@ -169,10 +202,11 @@ def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], column
     """
     header = columns[:PREVIEW_COLUMNS]
     counts = table_rows(rows, "table_id")
-    cells = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    # Rows stay typed until the sample is taken: only the few sampled ones become text.
+    line = markdown.pipe_row(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
     samples = (
-        table_sample(rows.select("table_id", *order, cells.alias("cells")), "table_id", order)
-        .groupBy("table_id").agg(F.array_join(ordered("sample_row", markdown.pipe_row(F.col("cells"))), "\n").alias("body"))
+        table_sample(rows.select("table_id", *columns, *[c for c in order if c not in columns]), "table_id", order)
+        .groupBy("table_id").agg(F.array_join(ordered("sample_row", line), "\n").alias("body"))
     )
     head = "| " + " | ".join(columns) + " |\n|" + " --- |" * len(columns) + "\n"
     # Fixed layout of one table's entry.

@@ -335,7 +335,7 @@ def page_estimate(spark, sf):
   SELECT doc_id, 1 AS page, text, CAST(length(text) AS INTEGER) AS text_length FROM t""")
 def page_text_html(spark, sf):
     html = spread(I.table(spark, sf, "pages")).select(F.col("page_id").cast("string").alias("doc_id"), F.col("html").alias("content"))
-    return pages.html_extractor(html)
+    return pages.extract_pages(html, ["html"]).drop("method")
 
 
 # --- tabular files --------------------------------------------------------------------------
@@ -379,7 +379,7 @@ def csv_profile(spark, sf):
     root = work_folder(spark, "csv")
     read = {}
     for name in _TABLE_COLUMNS:
-        tabular.write_csv(I.table(spark, sf, name).withColumn("category", F.lit("other")), f"{root}/{name}")
+        tabular.write_csv(spread(I.table(spark, sf, name)).withColumn("category", F.lit("other")), f"{root}/{name}")
         read[name] = tabular.read_csv(spark, f"{root}/{name}/category=other", infer=False)
     return tables.profile_tables(read)
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,3 +50,51 @@ def workbook_sheets(doc: str, category: str, sheets: dict[str, DataFrame]) -> Da
             naming.md_path(F.lit(category), out).alias("md_file"),
             naming.csv_path(F.lit(category), out).alias("csv_file")))
     return reduce(DataFrame.unionByName, parts)
+
+
+CELLS = "path string, row_no int, col_idx int, column string, value string"
+_BATCH_ROWS = 20_000
+
+
+def _rows_of(content: bytes) -> tuple[list[str], list[list[str]]] | None:
+    """Header and rows of one CSV file; None when it cannot be read as a table."""
+    try:
+        lines = [r for r in csv.reader(io.StringIO(bytes(content).decode("utf-8-sig"), newline="")) if r]
+    except (UnicodeDecodeError, csv.Error):
+        return None
+    if not lines or any(len(r) > len(lines[0]) for r in lines):
+        return None
+    seen: dict[str, int] = {}
+    header = []
+    for i, name in enumerate(lines[0]):
+        name = name or f"Unnamed: {i}"
+        again = seen.get(name, 0)
+        seen[name] = again + 1
+        header.append(f"{name}.{again}" if again else name)
+    return header, lines[1:]
+
+
+def csv_cells(files: DataFrame) -> DataFrame:
+    """Cells of many CSV files of differing columns (path, content); row 0 holds the header.
+
+    One file is one row here and parsed by one task, as a stored file content is; read a single
+    huge file with :func:`read_csv`. Unreadable files give no cells.
+    """
+
+    columns = ["path", "row_no", "col_idx", "column", "value"]
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                table = _rows_of(content)
+                if table is None:
+                    continue
+                header, rows = table
+                yield pd.DataFrame([(path, 0, i, h, None) for i, h in enumerate(header, 1)], columns=columns)
+                for start in range(0, len(rows), _BATCH_ROWS):
+                    yield pd.DataFrame(
+                        [(path, n, i, h, row[i - 1] if i <= len(row) else None)
+                         for n, row in enumerate(rows[start:start + _BATCH_ROWS], start + 1)
+                         for i, h in enumerate(header, 1)], columns=columns)
+
+    return files.select("path", "content").filter(F.col("content").isNotNull()).mapInPandas(parse, CELLS)

@@ -46,12 +46,20 @@ def test_choice_is_per_document(spark):
     assert rows(pages.choose_extractor(df), "doc_id", "page", "method") == [("a", 1, "layout"), ("b", 1, "basic")]
 
 
-def test_fallback_runs_only_on_the_rest(spark):
-    docs = spark.createDataFrame([("h", "<p>hi</p>"), ("t", "p1\fp2")], "doc_id string, content string")
-    html_only = lambda d: pages.html_extractor(d.filter(F.col("content").startswith("<")))
-    pages.register_extractor("html-only", html_only)
-    got = pages.extract_with_fallback(docs, {"html-only": pages.EXTRACTORS["html-only"], "text": pages.EXTRACTORS["text"]})
-    assert rows(got, "doc_id", "page", "text", "method") == [("h", 1, "hi", "html-only"), ("t", 1, "p1", "text"), ("t", 2, "p2", "text")]
+def test_fallback_takes_the_first_method_that_reads(spark):
+    docs = spark.createDataFrame([("h", b"<html><p>hi</p></html>"), ("t", b"p1\fp2"), ("x", b"\xff\xfe"), ("n", None)], "doc_id string, content binary")
+    got = pages.extract_pages(docs, ["html", "text"])
+    assert rows(got, "doc_id", "page", "text", "method") == [("h", 1, "hi", "html"), ("t", 1, "p1", "text"), ("t", 2, "p2", "text")]
+
+
+def test_python_extractor(spark):
+    @F.pandas_udf("array<string>")
+    def shout(c):
+        return c.map(lambda b: [b.decode().upper()] if b.startswith(b"!") else None)
+
+    pages.register_extractor("shout", shout)
+    docs = spark.createDataFrame([("a", b"!go"), ("b", b"calm")], "doc_id string, content binary")
+    assert rows(pages.extract_pages(docs, ["shout", "text"]), "doc_id", "text", "method") == [("a", "!GO", "shout"), ("b", "calm", "text")]
 
 
 def rendered(spark, n):

@@ -30,9 +30,24 @@ def test_dtypes_are_those_pandas_infers(spark, tmp_path, name):
 
 
 def test_cell_profile_of_many_tables(spark):
-    cells = [(t, 1, "c", v) for t, vs in {"i": ["1", "2"], "f": ["1", None], "b": ["true", "False"], "o": ["x", "1"]}.items() for v in vs]
-    got = tables.cell_profile(spark.createDataFrame(cells, "table_id string, col_idx int, column string, value string"))
-    assert {r["table_id"]: r["dtype"] for r in got.collect()} == {"i": "int64", "f": "float64", "b": "bool", "o": "object"}
+    kinds = {"i": ["1", "2"], "f": ["1", None], "b": ["true", "False"], "o": ["x", "1"], "none": []}
+    cells = [(t, n, 1, "c", v) for t, vs in kinds.items() for n, v in enumerate([None, *vs])]
+    got = tables.cell_profile(spark.createDataFrame(cells, "table_id string, row_no int, col_idx int, column string, value string"))
+    assert {r["table_id"]: (r["dtype"], r["rows"]) for r in got.collect()} == {
+        "i": ("int64", 2), "f": ("float64", 2), "b": ("bool", 2), "o": ("object", 2), "none": ("object", 0)}
+
+
+def test_many_csv_files_at_once(spark):
+    files = [("/a.csv", "a.csv", "h", b"id,id,\n1,x,true\n2,,false\n\n3,z,true\n"), ("/b.csv", "b.csv", "h", b"only,header\n"),
+             ("/bad.csv", "bad.csv", "h", b"a\n1,2\n"), ("/enc.csv", "enc.csv", "h", b"\xff\xff"), ("/empty.csv", "empty.csv", "h", b"")]
+    df = spark.createDataFrame(files, "path string, filename string, hash string, content binary")
+    out = tables.render_cell_tables(tabular.csv_cells(df), df, "now").orderBy("path").collect()
+    assert [(r["path"], r["rows"], r["columns"], r["md_file"]) for r in out] == [
+        ("/a.csv", 3, 3, "md/other/a.md"), ("/b.csv", 0, 2, "md/other/b.md")]
+    assert ("## Column Information\nid             int64\nid.1          object\nUnnamed: 2      bool\n\n## Sample Data (First 5 rows)\n"
+            "|   id | id.1   | Unnamed: 2   |\n|-----:|:-------|:-------------|\n|    1 | x      | True         |\n"
+            "|    2 | nan    | False        |\n|    3 | z      | True         |\n") in out[0]["md"]
+    assert "\nNo data\n" in out[1]["md"]
 
 
 def test_blank_header_is_named_in_the_profile(spark):
