@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.config import EMBED_ERROR
+from pagequarry.operators.report import with_file_counts
 
 DIMENSIONS = 256
 
 
 def embed_eligible(records: DataFrame) -> DataFrame:
     """Documents that completed and have Markdown."""
-    return records.filter((F.col("status") == "completed") & (F.size("output_md") > 0))
+    return with_file_counts(records).filter((F.col("status") == "completed") & (F.col("md_files") > 0))
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,13 @@ class TfidfEmbedder:
         vector = vector_to_array("_unit", "float32").alias("embedding")
         return self.model.transform(texts).select(*texts.columns, vector)
 
+    def save(self, path: str) -> None:
+        self.model.write().save(path)
+
+    @classmethod
+    def load(cls, path: str) -> TfidfEmbedder:
+        return cls(PipelineModel.load(path))
+
     def embed_query(self, spark, query: str) -> list[float]:
         column = self.model.stages[0].getInputCol()
         return list(self.embed(spark.createDataFrame([(query,)], [column])).first()["embedding"])
@@ -51,12 +59,12 @@ class TfidfEmbedder:
 def embedding_outcome(records: DataFrame, chunk_counts: DataFrame, vector_db: str, key: str = "doc_id") -> DataFrame:
     """Fill the embeddings struct of eligible records from their chunk counts; a document
     without chunks failed to embed. Each side has one row per ``key``."""
-    eligible = (F.col("status") == "completed") & (F.size("output_md") > 0)
+    eligible = (F.col("status") == "completed") & (F.col("md_files") > 0)
     done = F.coalesce("chunk_count", F.lit(0)) > 0
     struct = F.struct(
         F.when(done, "completed").otherwise("failed").alias("status"),
         F.when(done, vector_db).alias("vector_db"),
         F.when(done, F.col("chunk_count").cast("int")).alias("chunk_count"),
         F.when(~done, EMBED_ERROR).alias("error"))
-    return (records.drop("embeddings").join(chunk_counts.select(key, "chunk_count"), key, "left")
+    return (with_file_counts(records).drop("embeddings").join(chunk_counts.select(key, "chunk_count"), key, "left")
             .withColumn("embeddings", F.when(eligible, struct)).drop("chunk_count"))

@@ -118,11 +118,11 @@ def extract_pages(docs: DataFrame, methods: list[str]) -> DataFrame:
     return rows.select(*keep, "method", (F.col("pos") + 1).alias("page"), body.alias("text"), F.length(body).alias("text_length"))
 
 
-def render_pages(pages: DataFrame, method: Column, run_time: str) -> DataFrame:
+def render_pages(pages: DataFrame, method: Column, run_time: str, *keep: str) -> DataFrame:
     """Page Markdown for enriched pages (doc_id, page, text, filename, category, hash)."""
     name = naming.page_name(F.col("doc_id"), F.col("page"))
     return pages.select(
-        "doc_id", "page", "category", "hash", name.alias("chunk_id"),
+        *keep, "doc_id", "page", "category", "hash", name.alias("chunk_id"),
         naming.md_path(F.col("category"), name).alias("md_file"), "text_length",
         markdown.page_markdown(F.col("doc_id"), F.col("filename"), F.col("page"), F.col("category"),
                                F.col("hash"), F.col("text"), method, F.lit(run_time)).alias("md"))

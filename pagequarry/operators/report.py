@@ -9,6 +9,15 @@ from pagequarry.config import STATUS_LABELS, STATUS_SYMBOLS
 from pagequarry.functions import text
 
 
+def with_file_counts(records: DataFrame) -> DataFrame:
+    """Add md_files and csv_files, the lengths of the output lists, unless they are there."""
+    for name, lists in (("md_files", "output_md"), ("csv_files", "output_csv")):
+        if name not in records.columns and lists in records.columns:
+            count = F.when(F.col(lists).isNotNull(), F.size(lists)).otherwise(0)
+            records = records.withColumn(name, count)
+    return records
+
+
 def run_summary(results: DataFrame, processing_time: float | Column = 0.0) -> DataFrame:
     """One row of totals over all discovered files; ``status`` is 'skipped' for duplicates.
 
@@ -17,22 +26,19 @@ def run_summary(results: DataFrame, processing_time: float | Column = 0.0) -> Da
     """
     taken = F.col("status") != "skipped"
 
-    def total(value: Column) -> Column:
-        return F.coalesce(F.sum(F.when(taken, value)), F.lit(0))
-
-    def list_size(name: str) -> Column:
-        return F.coalesce(F.when(F.col(name).isNotNull(), F.size(name)), F.lit(0))
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(taken, F.col(name))), F.lit(0))
 
     elapsed = processing_time if isinstance(processing_time, Column) else F.lit(float(processing_time))
-    return results.agg(
+    return with_file_counts(results).agg(
         F.count(F.lit(1)).alias("total_files"),
         F.count_if(taken).alias("processed"),
         F.count_if(F.col("status") == "completed").alias("successful"),
         F.count_if(F.col("status") == "failed").alias("failed"),
         F.count_if(F.col("status") == "skipped").alias("skipped"),
-        total(F.coalesce("pages", F.lit(0))).alias("total_pages"),
-        total(list_size("output_md")).alias("total_md_files"),
-        total(list_size("output_csv")).alias("total_csv_files"),
+        total("pages").alias("total_pages"),
+        total("md_files").alias("total_md_files"),
+        total("csv_files").alias("total_csv_files"),
         F.count_if(taken & (F.col("embeddings.status") == "completed")).alias("embedded_docs"),
         F.count_if(taken & (F.col("embeddings.status") == "failed")).alias("embedding_failures"),
     ).withColumn("processing_time", elapsed).withColumn(
@@ -75,9 +81,9 @@ def type_counts(records: DataFrame) -> DataFrame:
 
 def category_breakdown(records: DataFrame) -> DataFrame:
     """Markdown and CSV files per category, with a total line."""
-    sizes = records.select("category", F.size("output_md").alias("md"), F.size("output_csv").alias("csv"))
+    sizes = with_file_counts(records).select("category", "md_files", "csv_files")
     return (sizes.rollup("category")
-            .agg(F.count(F.lit(1)).alias("documents"), F.sum("md").alias("md_files"), F.sum("csv").alias("csv_files"))
+            .agg(F.count(F.lit(1)).alias("documents"), F.sum("md_files").alias("md_files"), F.sum("csv_files").alias("csv_files"))
             .withColumn("category", F.coalesce("category", F.lit("total"))))
 
 
@@ -88,13 +94,13 @@ def doc_events(results: DataFrame, run_time: str) -> DataFrame:
             .when((F.col("status") == "failed") & (F.col("pages") == 0), "Could not extract page information")
             .otherwise(F.concat(F.lit("Processing complete - Status: "), F.col("status"),
                                 F.lit(", Pages: "), F.col("pages").cast("string"),
-                                F.lit(", MD files: "), F.size("output_md").cast("string"),
-                                F.lit(", CSV files: "), F.size("output_csv").cast("string"))))
+                                F.lit(", MD files: "), F.col("md_files").cast("string"),
+                                F.lit(", CSV files: "), F.col("csv_files").cast("string"))))
     level = F.when(F.col("status") == "failed", "ERROR").otherwise("INFO")
     events = F.array(
         F.struct(F.lit(1).alias("event_no"), F.lit("INFO").alias("level"), start.alias("message")),
         F.struct(F.lit(2).alias("event_no"), level.alias("level"), done.alias("message")))
-    return results.select("doc_id", F.lit(run_time).cast("timestamp_ntz").alias("ts"), F.inline(events))
+    return with_file_counts(results).select("doc_id", F.lit(run_time).cast("timestamp_ntz").alias("ts"), F.inline(events))
 
 
 def elapsed(events: DataFrame, key: str, ts: str = "ts") -> DataFrame:

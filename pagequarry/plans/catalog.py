@@ -165,7 +165,7 @@ def embed_summary(spark, sf):
 
 @query(f"""WITH {O.RECORDS} SELECT doc_id, pages, len(output_md)::INTEGER AS md_files FROM recs WHERE status = 'completed' AND len(output_md) > 0""")
 def embed_eligible(spark, sf):
-    return embed.embed_eligible(I.all_records(spark, sf)).select("doc_id", "pages", F.size("output_md").alias("md_files"))
+    return embed.embed_eligible(I.all_records(spark, sf)).select("doc_id", "pages", "md_files")
 
 
 @query(f"""WITH {O.RESULTS} SELECT CASE WHEN status = 'skipped' THEN 1 ELSE 0 END AS section, path,
@@ -204,7 +204,7 @@ def incremental_stream(spark, sf):
     source = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents*.parquet").parquet(sf)
     for _ in range(2):  # the second run finds nothing new
         stream.start_incremental(I.listing(source), root).awaitTermination()
-    return stream.current_index(stream.index_log(spark, root)).select("doc_id", "path", "type", "category", "hash")
+    return stores.current_index(stores.index_log(spark, root, stream.RECORD)).select("doc_id", "path", "type", "category", "hash")
 
 
 # --- pages and Markdown ---------------------------------------------------------------------
@@ -252,8 +252,8 @@ def md_readback(spark, sf):
     unreadable = (I.registry_ids(spark, sf).join(I.labels(spark, sf).filter("toxic = 1"), "source_id").select("doc_id"))
     listed = materialize(I.rendered(spark, sf), "rendered")
     path = work_folder(spark, "md")
-    stores.write_markdown(listed.join(unreadable, "doc_id", "left_anti"), path)
-    return stores.attach_markdown(listed.select("md_file"), stores.read_markdown(spark, path))
+    written = stores.store_markdown(listed.join(unreadable, "doc_id", "left_anti"), path)
+    return stores.attach_markdown(listed.select("md_file"), written)
 
 
 @query(f"""WITH {O.RECORDS}, names AS (SELECT unnest(output_md) AS md_file FROM recs),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pagequarry.functions import text
+from pagequarry.operators.registry import last_record_wins
 from pagequarry.schemas import DOCUMENT_INDEX
 
 
@@ -30,20 +31,40 @@ def save_index(index: DataFrame, root: str) -> str:
     return path
 
 
+def index_log(spark: SparkSession, root: str, record: str) -> DataFrame:
+    """Every record ever written below ``root``, with the batch that wrote it.
+
+    A run adds its own folder and rewrites nothing, unlike an index kept in one file.
+    """
+    return load_index(spark, f"{root}/index", spark.createDataFrame([], record + ", batch_id bigint").schema)
+
+
+def current_index(log: DataFrame) -> DataFrame:
+    """The latest record of each doc_id."""
+    return last_record_wins(log, "batch_id").drop("batch_id")
+
+
 def export_index_json(index: DataFrame, path: str) -> None:
     index.write.mode("overwrite").json(path)
 
 
-def write_markdown(pages: DataFrame, path: str) -> None:
-    """Rendered pages, a row each, partitioned by category. Needs category, md_file and md."""
-    pages.write.mode("overwrite").partitionBy("category").parquet(path)
+def store(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """Write a table and return it as read back; one without rows reads back empty."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_markdown(pages: DataFrame, path: str) -> DataFrame:
+    """Rendered pages, a row each, partitioned by category, with the line ends a text-mode read
+    gives. Needs category, md_file and md."""
+    return store(pages, path, "category").withColumn("md", text.unix_newlines(F.col("md")))
 
 
 def export_markdown_files(pages: DataFrame, path: str) -> None:
     """One text file per page in category folders, for small corpora that people browse.
 
     Each page is one row, so ``partitionBy`` on the file name gives each its own folder; a corpus
-    of many pages belongs in :func:`write_markdown`. The writer ends each file with a line feed,
+    of many pages belongs in :func:`store_markdown`. The writer ends each file with a line feed,
     as every rendered page does, so that one is taken off first.
     """
     body = F.when(F.col("md").endswith("\n"), F.expr("left(md, length(md) - 1)")).otherwise(F.col("md"))
@@ -51,11 +72,6 @@ def export_markdown_files(pages: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("category", "md_file").text(path))
 
 
-def read_markdown(spark: SparkSession, path: str) -> DataFrame:
-    """Stored Markdown with the line ends a text-mode read gives."""
-    return spark.read.parquet(path).withColumn("md", text.unix_newlines(F.col("md")))
-
-
 def read_markdown_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files below ``path`` as ``source_file`` and ``md``."""
     return (spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)

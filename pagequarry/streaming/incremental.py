@@ -1,7 +1,7 @@
 """Incremental registration of a stream of files.
 
-The index is a log: batch ``n`` writes the folder ``batch_id=n`` and reads only the batches before
-it. A batch that is replayed after a failure therefore computes the same records and overwrites its
+Batch ``n`` writes the folder ``batch_id=n`` of the index log and reads only the batches before it. A
+batch that is replayed after a failure therefore computes the same records and overwrites its
 own folder.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,27 +17,17 @@ from pagequarry.config import JobConfig
 from pagequarry.operators.incremental import incremental_new
 from pagequarry.operators.registry import last_record_wins, register
 from pagequarry.sources.files import fingerprint, select_supported
-from pagequarry.sources.stores import load_index
+from pagequarry.sources.stores import current_index, index_log
 
 RECORD = "doc_id string, path string, filename string, type string, category string, log string, length bigint, hash string"
 _FIELDS = [f.split()[0] for f in RECORD.split(", ")]
 
 
-def index_log(spark: SparkSession, root: str) -> DataFrame:
-    """Every record ever written, with the batch that wrote it."""
-    return load_index(spark, f"{root}/index", spark.createDataFrame([], RECORD + ", batch_id bigint").schema)
-
-
-def current_index(log: DataFrame) -> DataFrame:
-    """The latest record of each doc_id."""
-    return last_record_wins(log, "batch_id").select(*_FIELDS)
-
-
 def register_batch(root: str, config: JobConfig) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
         files = register(fingerprint(select_supported(batch))).select(*_FIELDS)
         winners = last_record_wins(files, "path")
-        earlier = index_log(batch.sparkSession, root).filter(F.col("batch_id") < batch_id)
+        earlier = index_log(batch.sparkSession, root, RECORD).filter(F.col("batch_id") < batch_id)
         # Only the records of ids in this batch matter; the log itself is not shuffled when they are few.
         known = current_index(earlier.join(winners.select("doc_id"), "doc_id", "left_semi"))
         new = incremental_new(winners, known, config)

@@ -72,9 +72,9 @@ def test_index_snapshots(spark, tmp_path):
 
 def test_markdown_stores(spark, tmp_path):
     df = spark.createDataFrame([("legal", "md/legal/a_p1.md", "one\r\ntwo\n"), ("other", "md/other/b_p1.md", "x")], "category string, md_file string, md string")
-    stores.write_markdown(df, str(tmp_path / "t"))
+    stored = stores.store_markdown(df, str(tmp_path / "t"))
     listed = spark.createDataFrame([("md/legal/a_p1.md",), ("md/legal/gone.md",)], "md_file string")
-    got = stores.attach_markdown(listed, stores.read_markdown(spark, str(tmp_path / "t")))
+    got = stores.attach_markdown(listed, stored)
     assert sorted(map(tuple, got.select("md_file", "md").collect())) == [("md/legal/a_p1.md", "one\ntwo\n"), ("md/legal/gone.md", None)]
     stores.export_markdown_files(df, str(tmp_path / "files"))
     assert {r["md"] for r in stores.read_markdown_files(spark, str(tmp_path / "files")).collect()} == {"one\ntwo\n", "x\n"}
@@ -89,8 +89,8 @@ def test_stream_registers_new_files_only(spark, tmp_path):
 
     def run():
         stream.start_incremental(spark.readStream.schema(schema).parquet(str(source)), root).awaitTermination()
-        current = stream.current_index(stream.index_log(spark, root))
-        return sorted((r["doc_id"], r["path"]) for r in current.collect()), stream.index_log(spark, root).count()
+        current = stores.current_index(stores.index_log(spark, root, stream.RECORD))
+        return sorted((r["doc_id"], r["path"]) for r in current.collect()), stores.index_log(spark, root, stream.RECORD).count()
 
     arrive(("/1/a.pdf", "a.pdf", 1, "A"), ("/1/b.csv", "b.csv", 1, "B"), ("/1/c.txt", "c.txt", 1, "C"))
     assert run() == ([("a", "/1/a.pdf"), ("b", "/1/b.csv")], 2)
@@ -105,7 +105,7 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
     register = stream.register_batch(root, stream.JobConfig())
     register(batch, 0)
     register(batch, 0)
-    assert stream.index_log(spark, root).count() == 1
+    assert stores.index_log(spark, root, stream.RECORD).count() == 1
 
 
 def test_work_folder_reads_the_session(spark, tmp_path):
