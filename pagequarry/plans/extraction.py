@@ -18,16 +18,17 @@ from pyspark.sql import functions as F
 from pagequarry.config import JobConfig
 from pagequarry.functions import naming
 from pagequarry.operators import chunks, embed, incremental, pages, registry, report, rollup, search, tables
-from pagequarry.operators.skew import join_salted
 from pagequarry.session import materialize
 from pagequarry.sources import stores, tabular
-from pagequarry.sources.files import fingerprint, scan_files
+from pagequarry.sources.files import fingerprint, scan_files, scan_paths
 
 RECORD = ("doc_id string, path string, filename string, type string, category string, log string, length bigint, hash string, "
           "pages int, md_files int, csv_files int, status string, created string, "
           "embeddings struct<status:string,vector_db:string,chunk_count:int,error:string>")
 # Paths broadcast to the scan: about 200 bytes each, so some 100 MB at most.
 BROADCAST_PATHS = 500_000
+# New files read by name; their paths pass through the driver.
+NAMED_PATHS = 10_000
 
 
 @dataclass(frozen=True)
@@ -41,17 +42,22 @@ class Run:
     markdown: DataFrame
 
 
-def _new_content(scan: DataFrame, split: DataFrame) -> DataFrame:
-    """Content of the files to process, without shuffling content where that can be helped.
+def _new_content(spark: SparkSession, scan: DataFrame, split: DataFrame) -> DataFrame:
+    """Content of the files to process, with their registry columns, shuffled only as a last resort.
 
-    The shorter list of paths, to take or to leave out, is broadcast if its counted length is within
-    ``BROADCAST_PATHS``; otherwise the two sides are joined by path.
+    A scan reads every file it lists, so few new files are read by name. Otherwise the shorter list
+    of paths, to take or to leave out, is broadcast if its counted length is within
+    ``BROADCAST_PATHS``; beyond that the two sides are joined by path.
     """
     # At most two rows come back.
     counts = {r["wanted"]: r["count"] for r in split.groupBy("wanted").count().collect()}
+    wanted, unwanted = split.filter("wanted").select("path"), split.filter("not wanted").select("path")
+    if counts.get(True, 0) <= NAMED_PATHS:
+        scan = scan_paths(spark, [r["path"] for r in wanted.collect()])
     files = registry.register(scan.select("path", naming.base_name(F.col("path")).alias("filename"), "length", "content"))
     hashed = files.withColumn("hash", F.sha2("content", 256))
-    wanted, unwanted = split.filter("wanted").select("path"), split.filter("not wanted").select("path")
+    if counts.get(True, 0) <= NAMED_PATHS:
+        return hashed
     if counts.get(True, 0) <= BROADCAST_PATHS:
         return hashed.join(F.broadcast(wanted), "path", "left_semi")
     if counts.get(False, 0) <= BROADCAST_PATHS:
@@ -76,14 +82,16 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
     winners = registry.last_record_wins(flagged.filter("is_new").select("doc_id", "path"), "path")
     split = materialize(flagged.join(winners.select("path", F.lit(True).alias("wins")), "path", "left")
                         .withColumn("wanted", F.coalesce("wins", F.lit(False))).drop("wins"), "split")
-    content = _new_content(scan, split)
+    content = _new_content(spark, scan, split)
 
     pdf_pages = pages.extract_pages(content.filter("type = 'pdf'"), list(methods))
     page_md = pages.render_pages(pdf_pages, F.col("method"), run_time, "path")
+    name = naming.base_name(F.col("path"))
     cells = stores.store(
-        join_salted(tabular.csv_cells(content.filter("type = 'csv'")), found.select("path", "doc_id", "category"), "path", F.col("row_no")),
+        tabular.csv_cells(content.filter("type = 'csv'"))
+        .withColumn("doc_id", naming.doc_id(name)).withColumn("category", naming.category(name)),
         f"{root}/csv/batch_id={batch_id}", "category")
-    table_md = tables.render_cell_tables(cells, found, run_time)
+    table_md = tables.render_cell_tables(cells, found.filter("type = 'csv'"), run_time)
     shared = ["path", "doc_id", "category", "hash", "md_file", "md"]
     markdown = stores.store_markdown(
         page_md.select(*shared, "page", F.lit(None).cast("string").alias("csv_file"))
@@ -97,7 +105,8 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
             .withColumn("pages", F.when(F.col("type") == "csv", 1).when(F.col("type") == "pdf", F.coalesce("md_files", F.lit(0))).otherwise(0))
             .fillna(0, ["md_files", "csv_files"]).withColumn("created", F.lit(run_time)))
     if config.embed:
-        done = embed.embedding_outcome(done, _embed(markdown, root, batch_id, config), "parquet")
+        chunk_counts = _embed(markdown, root, batch_id, config).join(split.filter("wanted").select("doc_id", "path"), "doc_id")
+        done = embed.embedding_outcome(done, chunk_counts, "parquet", key="path")
     else:
         done = done.withColumn("embeddings", F.lit(None).cast("struct<status:string,vector_db:string,chunk_count:int,error:string>"))
     results = materialize(done, "results")
@@ -141,15 +150,25 @@ def load_embedder(path: str) -> embed.TfidfEmbedder | None:
 
 
 def stored_vectors(spark: SparkSession, config: JobConfig) -> DataFrame | None:
-    """Vectors of all runs, for each document those of its last run; None before the first."""
+    """Vectors of all runs, for each document those of its last run; None before the first.
+
+    The index log says which runs of which documents are out of date. Their number is counted; up
+    to ``BROADCAST_PATHS`` they are broadcast, so that a search does not shuffle the vectors.
+    """
+    root = config.output_dir.rstrip("/")
     try:
-        vectors = spark.read.parquet(f"{config.output_dir.rstrip('/')}/vectors")
+        vectors = spark.read.parquet(f"{root}/vectors")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    latest = vectors.groupBy("source_doc_id").agg(F.max("batch_id").alias("batch_id"))
-    return vectors.join(latest, ["source_doc_id", "batch_id"], "left_semi")
+    runs = stores.index_log(spark, root, RECORD).select(F.col("doc_id").alias("source_doc_id"), "batch_id")
+    latest = runs.groupBy("source_doc_id").agg(F.max("batch_id").alias("latest"))
+    stale = runs.join(latest, "source_doc_id").filter("batch_id < latest").select("source_doc_id", "batch_id")
+    stale = materialize(stale, "stale")
+    if stale.count() <= BROADCAST_PATHS:
+        stale = F.broadcast(stale)
+    return vectors.join(stale, ["source_doc_id", "batch_id"], "left_anti")
 
 
 def search_run(spark: SparkSession, config: JobConfig, query: str, k: int | None = None) -> DataFrame | None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,14 @@ def scan_files(spark: SparkSession, root: str, any_case: bool = False) -> DataFr
         return spark.createDataFrame([], _FILES)
 
 
+def scan_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The named files, each taken literally."""
+    if not paths:
+        return spark.createDataFrame([], _FILES)
+    literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+    return spark.read.format("binaryFile").load(literal)
+
+
 def select_supported(files: DataFrame) -> DataFrame:
     """The same filter over a listing that is already a table."""
     return files.filter(naming.has_supported_suffix(F.col("path")))

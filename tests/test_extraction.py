@@ -17,6 +17,11 @@ def config(tmp_path):
     return JobConfig(input_dir=str(docs), output_dir=str(tmp_path / "build"), embed=True)
 
 
+def docs_dir(tmp_path, name, body):
+    (tmp_path / "docs" / name).write_bytes(body)
+    return name
+
+
 def by_name(run):
     return {r["filename"]: r for r in run.results.collect()}
 
@@ -46,6 +51,9 @@ def test_runs_over_a_folder(spark, config, tmp_path):
     assert {n: r["status"] for n, r in second.items()} == {
         "Exhibit A(1).pdf": "skipped", "web report.pdf": "skipped", "broken.pdf": "failed", "bank.csv": "skipped", "sheet.xlsx": "skipped"}
 
+    odd = docs_dir(tmp_path, "odd [1]{2}*.pdf", b"more")
+    assert by_name(extraction.run_extraction(spark, config))[odd]["status"] == "completed"
+
     # A changed file is processed again and replaces its vectors; a colliding name supersedes it.
     docs = tmp_path / "docs"
     (docs / "Exhibit A(1).pdf").write_bytes(b"now about quinces")
@@ -56,9 +64,13 @@ def test_runs_over_a_folder(spark, config, tmp_path):
     assert len(sources) == 1 and "figs" in sources.pop()
 
 
-def test_large_path_lists_are_joined_not_broadcast(spark, config, monkeypatch):
-    monkeypatch.setattr(extraction, "BROADCAST_PATHS", 0)
+def test_path_lists_by_size(spark, config, monkeypatch, tmp_path):
+    monkeypatch.setattr(extraction, "NAMED_PATHS", 0)
     assert extraction.run_extraction(spark, config).summary.first()["successful"] == 3
+    monkeypatch.setattr(extraction, "BROADCAST_PATHS", 0)
+    name = docs_dir(tmp_path, "more.pdf", b"more")
+    assert by_name(extraction.run_extraction(spark, config))[name]["status"] == "completed"
+    assert extraction.search_run(spark, config, "apples", 1).first()["page"] == 1
 
 
 def test_empty_folder(spark, tmp_path):
