@@ -14,6 +14,7 @@ from pagequarry.config import EMBED_ERROR
 from pagequarry.operators.report import with_file_counts
 
 DIMENSIONS = 256
+WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
 def embed_eligible(records: DataFrame) -> DataFrame:
@@ -33,15 +34,15 @@ class TfidfEmbedder:
     @classmethod
     def fit(cls, texts: DataFrame, column: str = "chunk", dimensions: int = DIMENSIONS) -> TfidfEmbedder:
         stages = Pipeline(stages=[
-            RegexTokenizer(inputCol=column, outputCol="_tokens", pattern=r"[^\p{L}\p{N}]+"),
+            RegexTokenizer(inputCol=column, outputCol="_tokens", pattern=WORD_BREAK),
             HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dimensions),
             IDF(inputCol="_tf", outputCol="_tfidf"),
             Normalizer(inputCol="_tfidf", outputCol="_unit"),
         ])
         return cls(stages.fit(texts.select(column)))
 
-    def embed(self, texts: DataFrame) -> DataFrame:
-        vector = vector_to_array("_unit", "float32").alias("embedding")
+    def embed(self, texts: DataFrame, dtype: str = "float32") -> DataFrame:
+        vector = vector_to_array("_unit", dtype).alias("embedding")
         return self.model.transform(texts).select(*texts.columns, vector)
 
     def save(self, path: str) -> None:

@@ -418,11 +418,48 @@ def workbook_sheets(spark, sf):
     return tabular.workbook_sheets("statement", "financial", sheets)
 
 
-@query()
+_FILE_ORDER = {"customer": ["c_custkey"], "lineitem": ["l_orderkey", *_LINE_ORDER], "orders": ["o_orderkey"], "part": ["p_partkey"]}
+_TEXT_COLUMNS = {"c_name", "c_mktsegment", "l_returnflag", "l_linestatus", "l_shipdate", "o_orderstatus", "o_orderdate",
+                 "o_orderpriority", "p_name", "p_brand", "p_type"}
+_FLOAT_COLUMNS = {"c_acctbal", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice", "p_retailprice"}
+
+
+def _profile_page_sql() -> str:
+    """Pages of the four tables as files: the sample is formatted, aligned on decimal points and padded in SQL."""
+    ctes = [f"prof AS ({_profile_sql(typed=True)})", """info AS (
+  SELECT table_name, any_value(rows) AS rows, any_value(columns) AS columns,
+    string_agg(rpad("column", w, ' ') || '    ' || lpad(dtype, d, ' '), chr(10) ORDER BY col_idx) AS lines
+  FROM (SELECT *, CAST(max(length("column")) OVER (PARTITION BY table_name) AS INTEGER) AS w,
+    CAST(max(length(dtype)) OVER (PARTITION BY table_name) AS INTEGER) AS d FROM prof) GROUP BY table_name)"""]
+    pages_ = []
+    for t, columns in _TABLE_COLUMNS.items():
+        text_of = {c: f"format('{{:g}}', {c})" if c in _FLOAT_COLUMNS else f"CAST({c} AS VARCHAR)" for c in columns}
+        pad = {c: "rpad" if c in _TEXT_COLUMNS else "lpad" for c in columns}
+        order = ", ".join(_FILE_ORDER[t])
+        fraction = {c: f"CASE WHEN contains({c}, '.') THEN length({c}) - instr({c}, '.') ELSE -1 END" for c in columns}
+        aligned = ", ".join(f"{c} || repeat(' ', max({fraction[c]}) OVER () - ({fraction[c]})) AS {c}" if c in _FLOAT_COLUMNS else c for c in columns)
+        widths = ", ".join(f"CAST(greatest({len(c) + 2}, max(length({c}))) AS INTEGER) AS w_{c}" for c in columns)
+        head = " || ' | ' || ".join(f"{pad[c]}('{c}', w_{c}, ' ')" for c in columns)
+        rule = " || '|' || ".join(f"repeat('-', w_{c} + 1) || ':'" if pad[c] == "lpad" else f"':' || repeat('-', w_{c} + 1)" for c in columns)
+        line = " || ' | ' || ".join(f"{pad[c]}({c}, w_{c}, ' ')" for c in columns)
+        ctes += [
+            f"{t}_t AS (SELECT rn, {', '.join(f'{x} AS {c}' for c, x in text_of.items())} FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM {t}) WHERE rn <= 5)",
+            f"{t}_a AS (SELECT rn, {aligned} FROM {t}_t)", f"{t}_w AS (SELECT {widths} FROM {t}_a)",
+            f"{t}_s AS (SELECT any_value('| ' || {head} || ' |' || chr(10) || '|' || {rule} || '|') || chr(10) || string_agg('| ' || {line} || ' |', chr(10) ORDER BY rn) AS sample FROM {t}_a, {t}_w)"]
+        pages_.append(f"""SELECT '{t}.csv' AS filename, '{t}' AS doc_id, 'other' AS category, rows, columns,
+  '<!--' || chr(10) || 'chunk_id: {t}_p1' || chr(10) || 'source: {t}.csv' || chr(10) || 'page: 1' || chr(10) || 'category: other' || chr(10)
+  || 'hash: ' || sha256('{t}') || chr(10) || '-->' || chr(10) || chr(10) || '# {t}.csv' || chr(10) || chr(10) || '## Summary' || chr(10)
+  || '- Document ID: {t}' || chr(10) || '- Rows: ' || rows || chr(10) || '- Columns: ' || columns || chr(10) || '- CSV File: {t}.csv' || chr(10) || chr(10)
+  || '## Column Information' || chr(10) || lines || chr(10) || chr(10) || '## Sample Data (First 5 rows)' || chr(10) || sample || chr(10) || chr(10)
+  || '## Processing Information' || chr(10) || '- Extracted using: pandas' || chr(10) || '- Processing timestamp: {I.RUN_TIME}' || chr(10) AS md
+  FROM info, {t}_s WHERE table_name = '{t}'""")
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(pages_)}"
+
+
+@query(_profile_page_sql())
 def profile_render(spark, sf):
-    order = {"customer": ["c_custkey"], "lineitem": ["l_orderkey", *_LINE_ORDER], "orders": ["o_orderkey"], "part": ["p_partkey"]}
     out = None
-    for name, keys in order.items():
+    for name, keys in _FILE_ORDER.items():
         one = tables.profile_render(f"{name}.csv", I.table(spark, sf, name), keys, F.sha2(F.lit(name), 256), I.RUN_TIME)
         out = one if out is None else out.unionByName(one)
     return out
@@ -566,9 +603,16 @@ def vector_merge(spark, sf):
     return _shown(search.merge_stores(*_stored_and_incoming(spark, sf)))
 
 
-@query()
+@query(f"""WITH {_FIXED}, src AS (SELECT doc_id || '_chunk_' || chunk_index AS chunk_id, chunk FROM fixed),
+  {O.tfidf('src', embed.DIMENSIONS, embed.WORD_BREAK)}
+  SELECT src.chunk_id, CAST(count(w) AS INTEGER) AS terms, round(coalesce(max(w), 0), 6) AS peak, round(coalesce(sum(w), 0), 6) AS total,
+    round(coalesce(sum(w * bucket), 0), 6) AS moment FROM src LEFT JOIN weights USING (chunk_id) GROUP BY src.chunk_id""")
 def embed_tfidf(spark, sf):
     texts = chunks.chunk_fixed(_texts(spark, sf)).select("chunk_id", "chunk")
-    return embed.TfidfEmbedder.fit(texts).embed(texts).select(
-        "chunk_id", F.size("embedding").alias("dimensions"),
-        F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x), 4).alias("squared_norm"))
+    vectors = embed.TfidfEmbedder.fit(texts).embed(texts, "float64")
+    add = lambda a, x: a + x
+    by_place = F.transform("embedding", lambda x, i: x * i)
+    return vectors.select(
+        "chunk_id", F.size(F.filter("embedding", lambda x: x > 0)).alias("terms"), F.round(F.array_max("embedding"), 6).alias("peak"),
+        F.round(F.aggregate("embedding", F.lit(0.0), add), 6).alias("total"),
+        F.round(F.aggregate(by_place, F.lit(0.0), add), 6).alias("moment"))

@@ -172,3 +172,43 @@ spans AS (
 chunks AS (
   SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY path, a) - 1 AS INTEGER) AS chunk_index, chunk
   FROM (SELECT *, {strip('raw')} AS chunk FROM spans) WHERE chunk <> '')"""
+
+
+def tfidf(source: str, dimensions: int, word_break: str) -> str:
+    """CTEs: source(chunk_id, chunk) to weights(chunk_id, bucket, w): hashed tf-idf of unit length.
+
+    The bucket is the public 32-bit MurmurHash3 of the word's bytes with seed 42.
+    """
+    m = 4294967296
+
+    def times(a: str, b: int) -> str:
+        return f"(({a}) * {b}::UBIGINT) % {m}"
+
+    def mixed(k: str) -> str:
+        first = times(k, 0xCC9E2D51)
+        turned = f"(({first}) * 32768) % {m} + ({first}) // 131072"
+        return times(turned, 0x1B873593)
+
+    def block(at: str, n: int) -> str:
+        return " + ".join(f"bytes[{at} + {i}]::UBIGINT * {256 ** i}::UBIGINT" for i in range(n))
+
+    step = f"list_reduce(list_prepend(42::UBIGINT, blocks), lambda h, k: ((((xor(h, k) * 8192) % {m} + xor(h, k) // 524288) * 5) % {m} + {0xE6546B64}) % {m})"
+    last = "CASE n % 4 " + " ".join(f"WHEN {r} THEN {mixed(block('n // 4 * 4 + 1', r))}" for r in (1, 2, 3)) + " ELSE 0::UBIGINT END"
+    f1 = times("xor(a, a // 65536)", 0x85EBCA6B)
+    f2 = times("xor(b, b // 8192)", 0xC2B2AE35)
+    return f"""words AS (
+  SELECT chunk_id, word FROM (SELECT chunk_id, unnest(regexp_split_to_array(lower(chunk), '{word_break}')) AS word FROM {source}) WHERE word <> ''),
+vocabulary AS (
+  SELECT word, n, list_transform(range(0, n), lambda i: ('0x' || substring(h, i * 2 + 1, 2))::UBIGINT) AS bytes FROM (
+    SELECT word, hex(encode(word)) AS h, strlen(word) AS n FROM (SELECT DISTINCT word FROM words))),
+parts AS (
+  SELECT word, n, bytes, list_transform(range(0, n // 4), lambda i: {mixed(block('i * 4 + 1', 4))}) AS blocks FROM vocabulary),
+mixes AS (SELECT word, xor(xor({step}, {last}), n::UBIGINT) AS a FROM parts),
+second AS (SELECT word, {f1} AS b FROM mixes),
+third AS (SELECT word, {f2} AS c FROM second),
+buckets AS (SELECT word, xor(c, c // 65536) % {dimensions} AS bucket FROM third),
+tf AS (SELECT chunk_id, bucket, count(*) AS tf FROM words JOIN buckets USING (word) GROUP BY ALL),
+df AS (SELECT bucket, ln(((SELECT count(*) FROM {source}) + 1.0::DOUBLE) / (count(*) + 1)) AS idf FROM tf GROUP BY bucket),
+raw AS (SELECT chunk_id, bucket, tf * idf AS w FROM tf JOIN df USING (bucket)),
+norms AS (SELECT chunk_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY chunk_id),
+weights AS (SELECT chunk_id, bucket, w / norm AS w FROM raw JOIN norms USING (chunk_id) WHERE w > 0)"""
