@@ -26,6 +26,7 @@ class JobConfig:
     output_dir: str = "build"
     embed: bool = False
     embedding_model: str = "tfidf"
+    chunker: str = "recursive"
     chunk_size: int = 1000
     chunk_overlap: int = 200
     search_k: int = 5

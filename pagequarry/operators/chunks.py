@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -60,6 +60,14 @@ def chunk_fixed(docs: DataFrame, content: str = "text", config: JobConfig = JobC
     return explode_chunks(docs, fixed_chunks(F.col(content), config.chunk_size, config.chunk_overlap))
 
 
+# Chunkers by name: a text column, the size and the overlap give an array of chunks.
+CHUNKERS: dict[str, Callable[[Column, int, int], Column]] = {"recursive": recursive_chunks, "fixed": fixed_chunks}
+
+
+def register_chunker(name: str, chunker: Callable[[Column, int, int], Column]) -> None:
+    CHUNKERS[name] = chunker
+
+
 def chunk_stats(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("chunk_count"), F.sum("chunk_size").alias("chunk_chars"))
@@ -78,7 +86,7 @@ def chunk_markdown(files: DataFrame, config: JobConfig = JobConfig()) -> DataFra
         F.col("doc_id").alias("source_doc_id"), F.col("md_file").alias("source_file"), "category",
         F.col("hash").alias("file_hash"), F.lit("markdown").alias("file_type"),
         naming.page_from_name(stem).alias("page"), clean.alias("clean"))
-    pieces = recursive_chunks(F.col("clean"), config.chunk_size, config.chunk_overlap)
+    pieces = CHUNKERS[config.chunker](F.col("clean"), config.chunk_size, config.chunk_overlap)
     return explode_chunks(ready, pieces, "source_doc_id", "source_file", "category", "file_hash",
                           "file_type", "page")
 

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.config import EMBED_ERROR
 from pagequarry.operators.report import with_file_counts
+from pagequarry.operators.skew import join_salted
 
 DIMENSIONS = 256
 WORD_BREAK = r"[^\p{L}\p{N}]+"
@@ -57,6 +58,19 @@ class TfidfEmbedder:
         return list(self.embed(spark.createDataFrame([(query,)], [column])).first()["embedding"])
 
 
+# Embedders by name: classes with fit, embed, embed_query, save and load.
+EMBEDDERS: dict[str, type] = {"tfidf": TfidfEmbedder}
+
+
+def register_embedder(name: str, embedder: type) -> None:
+    EMBEDDERS[name] = embedder
+
+
+def attach_embeddings(chunks: DataFrame, given: DataFrame, key: str, spread_by: Column) -> DataFrame:
+    """Chunks with vectors computed elsewhere, one vector per ``key``."""
+    return join_salted(chunks, given, key, spread_by)
+
+
 def embedding_outcome(records: DataFrame, chunk_counts: DataFrame, vector_db: str, key: str = "doc_id") -> DataFrame:
     """Fill the embeddings struct of eligible records from their chunk counts; a document
     without chunks failed to embed. Each side has one row per ``key``."""

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagequarry.functions import vectors as V
+from pagequarry.functions.text import preview
 from pagequarry.operators.embed import TfidfEmbedder
 
 QUERY_BLOCK = 1024
@@ -44,6 +45,17 @@ def search_documents(vectors: DataFrame, embedder: TfidfEmbedder, query: str, k:
     return search_topk(vectors, embedder.embed_query(vectors.sparkSession, query), k)
 
 
+def format_hits(hits: DataFrame, content: str = "chunk") -> DataFrame:
+    """Search results as rank, content, preview, metadata and score; smaller scores are nearer.
+
+    Takes the k rows of one search, so the window over all of them is a window over k rows.
+    """
+    rank = F.row_number().over(Window.orderBy("l2_distance", "chunk_id"))
+    metadata = [c for c in hits.columns if c not in (content, "embedding", "l2_distance", "cosine")]
+    return hits.select(rank.alias("rank"), F.col(content).alias("content"), preview(F.col(content)).alias("preview"),
+                       F.struct(*metadata).alias("metadata"), F.col("l2_distance").alias("similarity_score"), "cosine")
+
+
 def _nearest_in_task(ids: list[str], matrix: np.ndarray, k: int):
     """Arrow function: per task, the k rows nearest to each query.
 

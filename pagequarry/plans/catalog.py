@@ -174,8 +174,9 @@ def embed_eligible(spark, sf):
   FROM results ORDER BY section, path""")
 def status_report(spark, sf):
     reg, idx = I.registry_and_index(spark, sf)
-    processed = I.records(incremental.incremental_new(reg, idx), I.labels(spark, sf))
-    return report.status_report(processed, incremental.incremental_skipped(reg, idx))
+    split = materialize(incremental.incremental_split(reg, idx), "split")
+    processed = I.records(split.filter("is_new"), I.labels(spark, sf))
+    return report.status_report(processed, split.filter("not is_new"))
 
 
 @query(f"""WITH {O.RESULTS} SELECT doc_id, event_no, level, message FROM (
@@ -616,3 +617,37 @@ def embed_tfidf(spark, sf):
         "chunk_id", F.size(F.filter("embedding", lambda x: x > 0)).alias("terms"), F.round(F.array_max("embedding"), 6).alias("peak"),
         F.round(F.aggregate("embedding", F.lit(0.0), add), 6).alias("total"),
         F.round(F.aggregate(by_place, F.lit(0.0), add), 6).alias("moment"))
+
+
+@query(f"""WITH {_FIXED} SELECT doc_id || '_chunk_' || chunk_index AS chunk_id, label, round(embedding[1]::DOUBLE, 6) AS first_value
+  FROM fixed JOIN embeddings ON CAST(vec_id AS VARCHAR) = doc_id""")
+def embed_precomputed(spark, sf):
+    """Chunks with the vector another system computed for their document."""
+    made = chunks.chunk_fixed(_texts(spark, sf)).drop("chunk")
+    given = I.vectors(spark, sf).withColumnRenamed("chunk_id", "doc_id")
+    return embed.attach_embeddings(made, given, "doc_id", F.col("chunk_index")).select(
+        "chunk_id", "label", F.round(F.element_at("embedding", 1).cast("double"), 6).alias("first_value"))
+
+
+@query(f"""WITH {_FIXED}, src AS (SELECT doc_id || '_chunk_' || chunk_index AS chunk_id, chunk FROM fixed),
+  both_sides AS (SELECT chunk_id, chunk FROM src UNION ALL SELECT 'query ' || item_id, text FROM benchmark),
+  {O.tfidf('both_sides', embed.DIMENSIONS, embed.WORD_BREAK, fitted_on='src')},
+  q AS (SELECT * FROM weights WHERE chunk_id LIKE 'query %'), c AS (SELECT * FROM weights WHERE chunk_id NOT LIKE 'query %'),
+  dots AS (SELECT q.chunk_id AS query_id, c.chunk_id, sum(q.w * c.w) AS dot FROM q JOIN c USING (bucket) GROUP BY ALL),
+  sizes AS (SELECT b.chunk_id, coalesce(sum(w * w), 0) AS size FROM both_sides b LEFT JOIN weights USING (chunk_id) GROUP BY ALL),
+  pairs AS (SELECT item_id, s.chunk_id, sq.size + sc.size - 2 * coalesce(dot, 0) AS d
+    FROM benchmark JOIN sizes sq ON sq.chunk_id = 'query ' || item_id CROSS JOIN src s JOIN sizes sc ON sc.chunk_id = s.chunk_id
+    LEFT JOIN dots ON query_id = 'query ' || item_id AND dots.chunk_id = s.chunk_id),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(d, 9), chunk_id) AS rank FROM pairs)
+  SELECT CAST(item_id AS VARCHAR) AS query_id, CAST(rank AS INTEGER) AS rank, chunk_id, round(abs(d), 5) AS l2_distance,
+    substring(chunk, 1, 200) || '...' AS preview
+  FROM ranked JOIN src USING (chunk_id) WHERE rank <= 3""")
+def search_text(spark, sf):
+    """For every benchmark text the 3 nearest chunks of the documents."""
+    made = materialize(chunks.chunk_fixed(_texts(spark, sf)).select("chunk_id", "chunk"), "chunks")
+    embedder = embed.TfidfEmbedder.fit(made)
+    asked = I.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("chunk"))
+    stored = materialize(embedder.embed(made, "float64").select("chunk_id", "embedding"), "vectors")
+    hits = search.search_batch(stored, embedder.embed(asked, "float64"), 3)
+    return hits.join(made, "chunk_id").select(
+        "query_id", "rank", "chunk_id", F.round(F.abs("l2_distance"), 5).alias("l2_distance"), text.preview(F.col("chunk")).alias("preview"))

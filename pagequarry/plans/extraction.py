@@ -132,17 +132,17 @@ def _embed(markdown: DataFrame, root: str, batch_id: int, config: JobConfig) ->
     The model is fitted by the first run and kept, so that vectors of all runs can be compared.
     """
     made = stores.store(chunks.chunk_markdown(markdown, config), f"{root}/chunks/batch_id={batch_id}")
-    embedder = load_embedder(f"{root}/model")
+    embedder = load_embedder(f"{root}/model", config)
     if embedder is None:
-        embedder = embed.TfidfEmbedder.fit(made)
+        embedder = embed.EMBEDDERS[config.embedding_model].fit(made)
         embedder.save(f"{root}/model")
     embedder.embed(made).write.mode("overwrite").parquet(f"{root}/vectors/batch_id={batch_id}")
     return made.groupBy(F.col("source_doc_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("chunk_count"))
 
 
-def load_embedder(path: str) -> embed.TfidfEmbedder | None:
+def load_embedder(path: str, config: JobConfig):
     try:
-        return embed.TfidfEmbedder.load(path)
+        return embed.EMBEDDERS[config.embedding_model].load(path)
     except Exception as e:  # noqa: BLE001 - the reader of models has no type of its own for a missing path
         if "does not exist" not in str(e):
             raise
@@ -176,5 +176,5 @@ def search_run(spark: SparkSession, config: JobConfig, query: str, k: int | None
     vectors = stored_vectors(spark, config)
     if vectors is None:
         return None
-    embedder = load_embedder(f"{config.output_dir.rstrip('/')}/model")
-    return search.search_documents(vectors, embedder, query, k or config.search_k)
+    embedder = load_embedder(f"{config.output_dir.rstrip('/')}/model", config)
+    return search.format_hits(search.search_documents(vectors, embedder, query, k or config.search_k))

@@ -174,12 +174,14 @@ chunks AS (
   FROM (SELECT *, {strip('raw')} AS chunk FROM spans) WHERE chunk <> '')"""
 
 
-def tfidf(source: str, dimensions: int, word_break: str) -> str:
-    """CTEs: source(chunk_id, chunk) to weights(chunk_id, bucket, w): hashed tf-idf of unit length.
+def tfidf(source: str, dimensions: int, word_break: str, fitted_on: str | None = None) -> str:
+    """CTEs: source(chunk_id, chunk) to weights(chunk_id, bucket, w): hashed tf-idf of unit length,
+    with the document frequencies of ``fitted_on``, by default the source itself.
 
     The bucket is the public 32-bit MurmurHash3 of the word's bytes with seed 42.
     """
     m = 4294967296
+    fitted = fitted_on or source
 
     def times(a: str, b: int) -> str:
         return f"(({a}) * {b}::UBIGINT) % {m}"
@@ -208,7 +210,9 @@ second AS (SELECT word, {f1} AS b FROM mixes),
 third AS (SELECT word, {f2} AS c FROM second),
 buckets AS (SELECT word, xor(c, c // 65536) % {dimensions} AS bucket FROM third),
 tf AS (SELECT chunk_id, bucket, count(*) AS tf FROM words JOIN buckets USING (word) GROUP BY ALL),
-df AS (SELECT bucket, ln(((SELECT count(*) FROM {source}) + 1.0::DOUBLE) / (count(*) + 1)) AS idf FROM tf GROUP BY bucket),
+seen AS (SELECT bucket, count(*) AS n FROM tf WHERE chunk_id IN (SELECT chunk_id FROM {fitted}) GROUP BY bucket),
+df AS (SELECT bucket, ln(((SELECT count(*) FROM {fitted}) + 1.0::DOUBLE) / (coalesce(n, 0) + 1)) AS idf
+  FROM (SELECT DISTINCT bucket FROM tf) LEFT JOIN seen USING (bucket)),
 raw AS (SELECT chunk_id, bucket, tf * idf AS w FROM tf JOIN df USING (bucket)),
 norms AS (SELECT chunk_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY chunk_id),
 weights AS (SELECT chunk_id, bucket, w / norm AS w FROM raw JOIN norms USING (chunk_id) WHERE w > 0)"""

@@ -44,7 +44,8 @@ def test_runs_over_a_folder(spark, config, tmp_path):
     assert {r["label"] for r in first.report.collect()} == {"OK", "Failed"}
 
     hit = extraction.search_run(spark, config, "pears", 1).first()
-    assert hit["source_file"] == "md/legal/ExhibitA1_p2.md" and hit["page"] == 2
+    assert hit["metadata"]["source_file"] == "md/legal/ExhibitA1_p2.md" and hit["metadata"]["page"] == 2
+    assert hit["rank"] == 1 and "pears" in hit["content"] and hit["preview"].endswith("...")
 
     # A second run passes over all but the unread PDF, which was not indexed.
     second = by_name(extraction.run_extraction(spark, config))
@@ -70,7 +71,7 @@ def test_path_lists_by_size(spark, config, monkeypatch, tmp_path):
     monkeypatch.setattr(extraction, "BROADCAST_PATHS", 0)
     name = docs_dir(tmp_path, "more.pdf", b"more")
     assert by_name(extraction.run_extraction(spark, config))[name]["status"] == "completed"
-    assert extraction.search_run(spark, config, "apples", 1).first()["page"] == 1
+    assert extraction.search_run(spark, config, "apples", 1).first()["metadata"]["page"] == 1
 
 
 def test_empty_folder(spark, tmp_path):
