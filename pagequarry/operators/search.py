@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 from pagequarry.functions import vectors as V
 from pagequarry.functions.text import preview
 from pagequarry.operators.embed import TfidfEmbedder
+from pagequarry.session import materialize, work_folder
 
+_HITS = "query_id string, chunk_id string, l2_distance double"
 QUERY_BLOCK = 1024
 ROW_BLOCK = 4096
 
@@ -98,28 +101,30 @@ def _nearest_in_task(ids: list[str], matrix: np.ndarray, k: int):
 def search_batch(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """For each query (query_id, embedding) the k nearest vectors (chunk_id, embedding).
 
-    Queries go to the tasks in blocks of ``QUERY_BLOCK``, one scan of the vectors per block, so a
-    task holds one block however many queries there are. No query-vector pair leaves a task except
-    the k nearest of each query.
+    Up to ``QUERY_BLOCK`` queries are answered by one scan of the vectors. More are taken block by
+    block, one scan each, whose hits are written before the next block is fetched: driver and tasks
+    hold one block however many queries there are. No query-vector pair leaves a task except the k
+    nearest of each query.
     """
-    narrow = vectors.select("chunk_id", "embedding")
-    found = None
-    block: list = []
+    spark = vectors.sparkSession
+    narrow = vectors.select("chunk_id", "embedding").filter(F.col("embedding").isNotNull())
 
     def scan(rows: list) -> DataFrame:
         matrix = np.asarray([r["embedding"] for r in rows], dtype=np.float64)
-        return narrow.mapInArrow(_nearest_in_task([r["query_id"] for r in rows], matrix, k),
-                                 "query_id string, chunk_id string, l2_distance double")
-
-    for row in queries.select(F.col("query_id").cast("string"), "embedding").toLocalIterator():
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            found = scan(block) if found is None else found.unionByName(scan(block))
-            block = []
-    if block or found is None:
-        part = scan(block) if block else vectors.sparkSession.createDataFrame(
-            [], "query_id string, chunk_id string, l2_distance double")
-        found = part if found is None else found.unionByName(part)
+        return narrow.mapInArrow(_nearest_in_task([r["query_id"] for r in rows], matrix, k), _HITS)
+
+    asked = queries.select(F.col("query_id").cast("string"), "embedding")
+    rows = asked.limit(QUERY_BLOCK + 1).collect()
+    if not rows:
+        found = spark.createDataFrame([], _HITS)
+    elif len(rows) <= QUERY_BLOCK:
+        found = scan(rows)
+    else:
+        path = work_folder(spark, "hits")
+        stream = materialize(asked, "queries").toLocalIterator()
+        for n, block in enumerate(iter(lambda: list(islice(stream, QUERY_BLOCK)), [])):
+            scan(block).write.parquet(f"{path}/block={n}")
+        found = spark.read.schema(_HITS).parquet(path).select("query_id", "chunk_id", "l2_distance")
     w = Window.partitionBy("query_id").orderBy("l2_distance", "chunk_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
