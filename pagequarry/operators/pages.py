@@ -67,6 +67,15 @@ def page_estimate(pages: DataFrame, full_texts: DataFrame) -> DataFrame:
     return with_text.select("doc_id", "page", "text", "text_length", "estimated").unionByName(filled)
 
 
+def estimate_blank_pages(page_texts: Column, full_text: Column) -> Column:
+    """The same rule inside one row: an array of page texts with its blanks filled from the whole text."""
+    n = F.size(page_texts)
+    found = F.transform(F.array(F.split(full_text, "\n", -1)), lambda ls: F.struct(
+        ls.alias("lines"), F.greatest(F.lit(1), F.floor(F.size(ls) / n).cast("int")).alias("step")))
+    return F.flatten(F.transform(found, lambda f: F.transform(page_texts, lambda t, i: F.when(
+        F.length(t) > 0, t).otherwise(F.array_join(F.slice(f["lines"], i * f["step"] + 1, f["step"]), "\n")))))
+
+
 def choose_extractor(pages: DataFrame) -> DataFrame:
     """Of page rows by several methods keep, per document, all rows of the first method.
 

@@ -159,8 +159,8 @@ def _summary_markdown(filename: Column, title: Column, page: Column, csv_name: C
         F.lit(f"\n\n## Processing Information\n- Extracted using: pandas\n- Processing timestamp: {run_time}\n"))
 
 
-def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Column, run_time: str) -> DataFrame:
-    """Markdown summary of one tabular file: counts, dtypes and its first rows."""
+def _rendered_table(filename: str, df: DataFrame, order: list[str], title: Column, page: int, output: Column,
+                    file_hash: Column, run_time: str) -> DataFrame:
     cells = F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns])
     first = df.orderBy(*order).limit(SAMPLE_ROWS).select(F.struct(*order).alias("k"), cells.alias("v"))
     sample = first.agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("sample"))
@@ -169,10 +169,25 @@ def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Co
     whole = halves.groupBy("table_name").agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in ("rows", "columns", "cols", "sample")])
     name = F.lit(filename)
-    doc = naming.doc_id(name)
-    md = _summary_markdown(name, name, F.lit(1), F.concat(doc, F.lit(".csv")), file_hash, run_time)
-    return whole.select(name.alias("filename"), doc.alias("doc_id"), naming.category(name).alias("category"),
-                        "rows", "columns", md.alias("md"))
+    cat = naming.category(name)
+    md = _summary_markdown(name, title, F.lit(page), F.concat(output, F.lit(".csv")), file_hash, run_time)
+    return whole.select(name.alias("filename"), naming.doc_id(name).alias("doc_id"), cat.alias("category"),
+                        naming.md_path(cat, output).alias("md_file"), "rows", "columns", md.alias("md"))
+
+
+def profile_render(filename: str, df: DataFrame, order: list[str], file_hash: Column, run_time: str) -> DataFrame:
+    """Markdown summary of one tabular file: counts, dtypes and its first rows by ``order``."""
+    name = F.lit(filename)
+    return _rendered_table(filename, df, order, name, 1, naming.doc_id(name), file_hash, run_time)
+
+
+def workbook_render(filename: str, sheets: dict[str, tuple[DataFrame, list[str]]], file_hash: Column, run_time: str) -> DataFrame:
+    """Markdown summaries of a workbook's sheets, numbered from 1; each comes with its row order."""
+    doc = naming.doc_id(F.lit(filename))
+    return reduce(DataFrame.unionByName, [
+        _rendered_table(filename, df, order, F.lit(f"{filename} - Sheet: {sheet}"), i,
+                        naming.sheet_output_name(doc, F.lit(sheet)), file_hash, run_time)
+        for i, (sheet, (df, order)) in enumerate(sheets.items(), 1)])
 
 
 def render_cell_tables(cells: DataFrame, files: DataFrame, run_time: str) -> DataFrame:

@@ -425,15 +425,17 @@ _TEXT_COLUMNS = {"c_name", "c_mktsegment", "l_returnflag", "l_linestatus", "l_sh
 _FLOAT_COLUMNS = {"c_acctbal", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice", "p_retailprice"}
 
 
-def _profile_page_sql() -> str:
-    """Pages of the four tables as files: the sample is formatted, aligned on decimal points and padded in SQL."""
+def _profile_page_sql(shown: list[tuple[str, str, str, str, int, str, str]]) -> str:
+    """Pages of tables as (table, filename, doc_id, category, page, title, output name): the sample
+    is formatted, aligned on decimal points and padded in SQL."""
     ctes = [f"prof AS ({_profile_sql(typed=True)})", """info AS (
   SELECT table_name, any_value(rows) AS rows, any_value(columns) AS columns,
     string_agg(rpad("column", w, ' ') || '    ' || lpad(dtype, d, ' '), chr(10) ORDER BY col_idx) AS lines
   FROM (SELECT *, CAST(max(length("column")) OVER (PARTITION BY table_name) AS INTEGER) AS w,
     CAST(max(length(dtype)) OVER (PARTITION BY table_name) AS INTEGER) AS d FROM prof) GROUP BY table_name)"""]
     pages_ = []
-    for t, columns in _TABLE_COLUMNS.items():
+    for t, filename, doc, category, page, title, output in shown:
+        columns = _TABLE_COLUMNS[t]
         text_of = {c: f"format('{{:g}}', {c})" if c in _FLOAT_COLUMNS else f"CAST({c} AS VARCHAR)" for c in columns}
         pad = {c: "rpad" if c in _TEXT_COLUMNS else "lpad" for c in columns}
         order = ", ".join(_FILE_ORDER[t])
@@ -447,17 +449,19 @@ def _profile_page_sql() -> str:
             f"{t}_t AS (SELECT rn, {', '.join(f'{x} AS {c}' for c, x in text_of.items())} FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM {t}) WHERE rn <= 5)",
             f"{t}_a AS (SELECT rn, {aligned} FROM {t}_t)", f"{t}_w AS (SELECT {widths} FROM {t}_a)",
             f"{t}_s AS (SELECT any_value('| ' || {head} || ' |' || chr(10) || '|' || {rule} || '|') || chr(10) || string_agg('| ' || {line} || ' |', chr(10) ORDER BY rn) AS sample FROM {t}_a, {t}_w)"]
-        pages_.append(f"""SELECT '{t}.csv' AS filename, '{t}' AS doc_id, 'other' AS category, rows, columns,
-  '<!--' || chr(10) || 'chunk_id: {t}_p1' || chr(10) || 'source: {t}.csv' || chr(10) || 'page: 1' || chr(10) || 'category: other' || chr(10)
-  || 'hash: ' || sha256('{t}') || chr(10) || '-->' || chr(10) || chr(10) || '# {t}.csv' || chr(10) || chr(10) || '## Summary' || chr(10)
-  || '- Document ID: {t}' || chr(10) || '- Rows: ' || rows || chr(10) || '- Columns: ' || columns || chr(10) || '- CSV File: {t}.csv' || chr(10) || chr(10)
+        pages_.append(f"""SELECT '{filename}' AS filename, '{doc}' AS doc_id, '{category}' AS category,
+  'md/{category}/{output}.md' AS md_file, rows, columns,
+  '<!--' || chr(10) || 'chunk_id: {doc}_p{page}' || chr(10) || 'source: {filename}' || chr(10) || 'page: {page}' || chr(10)
+  || 'category: {category}' || chr(10) || 'hash: ' || sha256('{doc}') || chr(10) || '-->' || chr(10) || chr(10)
+  || '# {title}' || chr(10) || chr(10) || '## Summary' || chr(10)
+  || '- Document ID: {doc}' || chr(10) || '- Rows: ' || rows || chr(10) || '- Columns: ' || columns || chr(10) || '- CSV File: {output}.csv' || chr(10) || chr(10)
   || '## Column Information' || chr(10) || lines || chr(10) || chr(10) || '## Sample Data (First 5 rows)' || chr(10) || sample || chr(10) || chr(10)
   || '## Processing Information' || chr(10) || '- Extracted using: pandas' || chr(10) || '- Processing timestamp: {I.RUN_TIME}' || chr(10) AS md
   FROM info, {t}_s WHERE table_name = '{t}'""")
     return f"WITH {', '.join(ctes)} {' UNION ALL '.join(pages_)}"
 
 
-@query(_profile_page_sql())
+@query(_profile_page_sql([(t, f"{t}.csv", t, "other", 1, f"{t}.csv", t) for t in _TABLE_COLUMNS]))
 def profile_render(spark, sf):
     out = None
     for name, keys in _FILE_ORDER.items():
@@ -466,6 +470,17 @@ def profile_render(spark, sf):
     return out
 
 
+_SHEETS = {"All customers": "customer", "Parts": "part", "Order list": "orders"}
+
+
+@query(_profile_page_sql([
+    (t, "bank statement.xlsx", "bankstatement", "financial", i, f"bank statement.xlsx - Sheet: {name}", f"bankstatement_{name.replace(' ', '')}")
+    for i, (name, t) in enumerate(_SHEETS.items(), 1)]))
+def workbook_render(spark, sf):
+    sheets = {name: (I.table(spark, sf, t), _FILE_ORDER[t]) for name, t in _SHEETS.items()}
+    return tables.workbook_render("bank statement.xlsx", sheets, F.sha2(F.lit("bankstatement"), 256), I.RUN_TIME)
+
+
 def _summary_sql() -> str:
     cells = " || ' | ' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _LINE_COLUMNS)
     head = "| " + " | ".join(_LINE_COLUMNS) + " |"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pagequarry.config import UNSUPPORTED_ERROR
 from pagequarry.functions import naming
 
-_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def scan_files(spark: SparkSession, root: str, any_case: bool = False) -> DataFrame:
@@ -27,13 +27,13 @@ def scan_files(spark: SparkSession, root: str, any_case: bool = False) -> DataFr
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], _FILES)
+        return spark.createDataFrame([], FILES)
 
 
 def scan_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The named files, each taken literally."""
     if not paths:
-        return spark.createDataFrame([], _FILES)
+        return spark.createDataFrame([], FILES)
     literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
     return spark.read.format("binaryFile").load(literal)
 

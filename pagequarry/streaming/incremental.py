@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagequarry.config import JobConfig
+from pagequarry.functions.naming import base_name
 from pagequarry.operators.incremental import incremental_new
 from pagequarry.operators.registry import last_record_wins, register
-from pagequarry.sources.files import fingerprint, select_supported
+from pagequarry.sources.files import FILES, fingerprint, select_supported
 from pagequarry.sources.stores import current_index, index_log
 
 RECORD = "doc_id string, path string, filename string, type string, category string, log string, length bigint, hash string"
@@ -36,6 +37,13 @@ def register_batch(root: str, config: JobConfig) -> Callable[[DataFrame, int], N
     return run
 
 
+def stream_files(spark: SparkSession, root: str, files_per_batch: int = 100_000) -> DataFrame:
+    """Supported files as they arrive below a folder."""
+    raw = (spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
+           .option("pathGlobFilter", "*.{pdf,xlsx,csv}").option("maxFilesPerTrigger", str(files_per_batch)).load(root))
+    return raw.select("path", base_name(F.col("path")).alias("filename"), "length", "content")
+
+
 def start_incremental(files: DataFrame, root: str, config: JobConfig = JobConfig()) -> StreamingQuery:
     """Register every file of a stream (path, filename, length, content) that is not yet indexed,
     then stop; run it again when more files have arrived."""

@@ -35,6 +35,18 @@ def test_page_estimate_against_line_arithmetic(spark):
     assert rows(got, "doc_id", "page", "text") == sorted(expected)
 
 
+def test_page_estimate_inside_a_row(spark):
+    given, expected = [], []
+    for total, n in product([1, 2, 5, 7, 12], [1, 2, 3, 5, 9]):
+        lines, per = [f"line {i}" for i in range(total)], max(1, total // n)
+        own = ["own" if p % 3 == 0 else "" for p in range(1, n + 1)]
+        given.append((len(given), own, "\n".join(lines)))
+        expected.append([t or "\n".join(lines[p * per:min((p + 1) * per, total)]) for p, t in enumerate(own)])
+    df = spark.createDataFrame(given, "i int, own array<string>, full string")
+    got = df.select("i", pages.estimate_blank_pages(F.col("own"), F.col("full")).alias("p")).orderBy("i").collect()
+    assert [r["p"] for r in got] == expected
+
+
 def test_estimate_without_full_text_stays_empty(spark):
     got = pages.page_estimate(spark.createDataFrame([("d", 1, "", 0)], PAGE), spark.createDataFrame([], "doc_id string, text string"))
     assert rows(got, "text", "text_length") == [("", 0)]

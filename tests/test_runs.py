@@ -99,6 +99,18 @@ def test_stream_registers_new_files_only(spark, tmp_path):
     assert run() == ([("a", "/1/a.pdf"), ("b", "/2/b.csv")], 3)
 
 
+def test_stream_of_files_in_a_folder(spark, tmp_path):
+    docs, root = tmp_path / "docs", str(tmp_path / "run")
+    (docs / "sub").mkdir(parents=True)
+    for n in ("a.pdf", "sub/b.csv", "c.txt"):
+        (docs / n).write_bytes(b"x")
+    for _ in range(2):
+        stream.start_incremental(stream.stream_files(spark, str(docs), 1), root).awaitTermination()
+    log = stores.index_log(spark, root, stream.RECORD)
+    assert sorted(r["filename"] for r in log.collect()) == ["a.pdf", "b.csv"]
+    assert {r["hash"] for r in log.collect()} == {__import__("hashlib").sha256(b"x").hexdigest()}
+
+
 def test_replayed_batch_overwrites_itself(spark, tmp_path):
     root = str(tmp_path / "run")
     batch = spark.createDataFrame([("/1/a.pdf", "a.pdf", 1, "A")], "path string, filename string, length bigint, content string")
