@@ -111,18 +111,21 @@ def extract_pages(docs: DataFrame, methods: list[str]) -> DataFrame:
     """Page rows of documents: ``content`` becomes method, page, text and text_length.
 
     Per document the first method that yields pages gives all of them; a document no method can
-    read gives no rows. Trying the next method is a coalesce inside the row, so falling back moves
-    no content.
+    read gives no rows. A method is tried where those before it gave nothing, as a condition inside
+    the row, so falling back moves no content. (A Python method still sees every row.)
     """
-
-    def attempt(name: str) -> Column:
-        tried = F.transform(F.array(EXTRACTORS[name](F.col("content"))),
-                            lambda t: F.struct(F.lit(name).alias("method"), t.alias("texts")))
-        return F.get(F.filter(tried, lambda a: F.size(a["texts"]) > 0), F.lit(0))
-
     keep = [c for c in docs.columns if c != "content"]
-    got = docs.select(*keep, F.coalesce(*[attempt(m) for m in methods]).alias("got"))
-    rows = got.select(*keep, F.col("got.method").alias("method"), F.posexplode("got.texts").alias("pos", "raw"))
+    texts, method = F.lit(None).cast("array<string>"), F.lit(None).cast("string")
+    tried = docs
+    for i, name in enumerate(methods):
+        # A column of its own each time: Spark then evaluates the extractor once per row.
+        tried = tried.withColumn(f"_raw{i}", F.when(texts.isNull(), EXTRACTORS[name](F.col("content"))))
+        got = F.size(f"_raw{i}") > 0
+        tried = tried.withColumn(f"_texts{i}", F.when(got, F.col(f"_raw{i}")))
+        texts = F.coalesce(texts, F.col(f"_texts{i}"))
+        method = F.coalesce(method, F.when(F.col(f"_texts{i}").isNotNull(), name))
+    # The outer form, since the plain one is planned with a filter that evaluates the extractors again.
+    rows = tried.select(*keep, method.alias("method"), F.posexplode_outer(texts).alias("pos", "raw")).filter("pos is not null")
     body = F.coalesce("raw", F.lit(""))
     return rows.select(*keep, "method", (F.col("pos") + 1).alias("page"), body.alias("text"), F.length(body).alias("text_length"))
 

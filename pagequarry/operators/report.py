@@ -89,6 +89,7 @@ def category_breakdown(records: DataFrame) -> DataFrame:
 
 def doc_events(results: DataFrame, run_time: str) -> DataFrame:
     """Log rows of a run: start, then skip or completion, per document."""
+    # Fixed texts of the log.
     start = F.concat(F.lit("Starting "), F.col("type"), F.lit(" processing: "), F.col("filename"))
     done = (F.when(F.col("status") == "skipped", "File skipped - duplicate detected (same SHA-256 hash)")
             .when((F.col("status") == "failed") & (F.col("pages") == 0), "Could not extract page information")
