@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pagequarry.config import JobConfig
 from pagequarry.functions import naming
 from pagequarry.operators import chunks, embed, incremental, pages, registry, report, rollup, search, tables
+from pagequarry.operators.skew import join_salted
 from pagequarry.session import materialize
 from pagequarry.sources import stores, tabular
 from pagequarry.sources.files import fingerprint, scan_files, scan_paths
@@ -166,9 +167,10 @@ def stored_vectors(spark: SparkSession, config: JobConfig) -> DataFrame | None:
     latest = runs.groupBy("source_doc_id").agg(F.max("batch_id").alias("latest"))
     stale = runs.join(latest, "source_doc_id").filter("batch_id < latest").select("source_doc_id", "batch_id")
     stale = materialize(stale, "stale")
+    keys = ["source_doc_id", "batch_id"]
     if stale.count() <= BROADCAST_PATHS:
-        stale = F.broadcast(stale)
-    return vectors.join(stale, ["source_doc_id", "batch_id"], "left_anti")
+        return vectors.join(F.broadcast(stale), keys, "left_anti")
+    return join_salted(vectors, stale, keys, F.col("chunk_id"), "left_anti")
 
 
 def search_run(spark: SparkSession, config: JobConfig, query: str, k: int | None = None) -> DataFrame | None:

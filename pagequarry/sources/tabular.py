@@ -62,7 +62,11 @@ def _rows_of(content: bytes) -> tuple[list[str], list[list[str]]] | None:
         lines = [r for r in csv.reader(io.StringIO(bytes(content).decode("utf-8-sig"), newline="")) if r]
     except (UnicodeDecodeError, csv.Error):
         return None
-    if not lines or any(len(r) > len(lines[0]) for r in lines):
+    if not lines:
+        return None
+    # Leading fields without a header are row labels when the first row has them; they are no columns.
+    labels = max(0, len(lines[1]) - len(lines[0])) if len(lines) > 1 else 0
+    if any(len(r) > len(lines[0]) + labels for r in lines):
         return None
     seen: dict[str, int] = {}
     header = []
@@ -71,7 +75,7 @@ def _rows_of(content: bytes) -> tuple[list[str], list[list[str]]] | None:
         again = seen.get(name, 0)
         seen[name] = again + 1
         header.append(f"{name}.{again}" if again else name)
-    return header, lines[1:]
+    return header, [r[labels:] for r in lines[1:]]
 
 
 def csv_cells(files: DataFrame) -> DataFrame:

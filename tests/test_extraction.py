@@ -68,7 +68,7 @@ def test_runs_over_a_folder(spark, config, tmp_path):
 def test_path_lists_by_size(spark, config, monkeypatch, tmp_path):
     monkeypatch.setattr(extraction, "NAMED_PATHS", 0)
     assert extraction.run_extraction(spark, config).summary.first()["successful"] == 3
-    monkeypatch.setattr(extraction, "BROADCAST_PATHS", 0)
+    monkeypatch.setattr(extraction, "BROADCAST_PATHS", -1)
     name = docs_dir(tmp_path, "more.pdf", b"more")
     assert by_name(extraction.run_extraction(spark, config))[name]["status"] == "completed"
     assert extraction.search_run(spark, config, "apples", 1).first()["metadata"]["page"] == 1

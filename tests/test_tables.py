@@ -39,11 +39,12 @@ def test_cell_profile_of_many_tables(spark):
 
 def test_many_csv_files_at_once(spark):
     files = [("/a.csv", "a.csv", "h", b"id,id,\n1,x,true\n2,,false\n\n3,z,true\n"), ("/b.csv", "b.csv", "h", b"only,header\n"),
-             ("/bad.csv", "bad.csv", "h", b"a\n1,2\n"), ("/enc.csv", "enc.csv", "h", b"\xff\xff"), ("/empty.csv", "empty.csv", "h", b"")]
+             ("/bad.csv", "bad.csv", "h", b"a\n1\n1,2\n"), ("/lab.csv", "lab.csv", "h", b"a,b\nx,1,2\ny,3,4\n"), ("/enc.csv", "enc.csv", "h", b"\xff\xff"), ("/empty.csv", "empty.csv", "h", b"")]
     df = spark.createDataFrame(files, "path string, filename string, hash string, content binary")
     out = tables.render_cell_tables(tabular.csv_cells(df), df, "now").orderBy("path").collect()
     assert [(r["path"], r["rows"], r["columns"], r["md_file"]) for r in out] == [
-        ("/a.csv", 3, 3, "md/other/a.md"), ("/b.csv", 0, 2, "md/other/b.md")]
+        ("/a.csv", 3, 3, "md/other/a.md"), ("/b.csv", 0, 2, "md/other/b.md"), ("/lab.csv", 2, 2, "md/other/lab.md")]
+    assert "|   a |   b |\n|----:|----:|\n|   1 |   2 |\n|   3 |   4 |\n" in out[2]["md"]
     assert ("## Column Information\nid             int64\nid.1          object\nUnnamed: 2      bool\n\n## Sample Data (First 5 rows)\n"
             "|   id | id.1   | Unnamed: 2   |\n|-----:|:-------|:-------------|\n|    1 | x      | True         |\n"
             "|    2 | nan    | False        |\n|    3 | z      | True         |\n") in out[0]["md"]
