@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagequarry.config import STATUS_LABELS, STATUS_SYMBOLS
 from pagequarry.functions import text
@@ -105,6 +106,12 @@ def doc_events(results: DataFrame, run_time: str) -> DataFrame:
 
 
 def elapsed(events: DataFrame, key: str, ts: str = "ts") -> DataFrame:
-    """Seconds between the first and the last event of each key."""
-    micros = F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))
-    return events.groupBy(key).agg((micros / 1e6).alias("seconds"), F.count(F.lit(1)).alias("events"))
+    """Seconds between the first and the last event of each key, whatever the session's time zone."""
+    first, last = F.min(ts), F.max(ts)
+    if isinstance(events.schema[ts].dataType, T.TimestampNTZType):
+        gap = last - first
+        part = lambda unit: F.extract(F.lit(unit), gap)
+        seconds = (part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60 + part("SECOND")).cast("double")
+    else:
+        seconds = (F.unix_micros(last) - F.unix_micros(first)) / 1e6
+    return events.groupBy(key).agg(seconds.alias("seconds"), F.count(F.lit(1)).alias("events"))

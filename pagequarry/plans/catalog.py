@@ -250,10 +250,8 @@ def strip_comments(spark, sf):
 def md_readback(spark, sf):
     """Listed pages read back from the store; those of unreadable documents were never written."""
     unreadable = (I.registry_ids(spark, sf).join(I.labels(spark, sf).filter("toxic = 1"), "source_id").select("doc_id"))
-    listed = materialize(I.rendered(spark, sf), "rendered")
-    path = work_folder(spark, "md")
-    written = stores.store_markdown(listed.join(unreadable, "doc_id", "left_anti"), path)
-    return stores.attach_markdown(listed.select("md_file"), written)
+    written = stores.store_markdown(I.rendered(spark, sf).join(unreadable, "doc_id", "left_anti"), work_folder(spark, "md"))
+    return stores.attach_markdown(I.rendered(spark, sf).select("md_file"), written)
 
 
 @query(f"""WITH {O.RECORDS}, names AS (SELECT unnest(output_md) AS md_file FROM recs),

@@ -56,6 +56,15 @@ def test_events_and_elapsed(spark, tmp_path):
     assert back.count() == 4 and str(back.first()["run_date"]) == "2024-01-01"
     times = spark.sql("select 'a' k, timestamp_ntz'2024-01-01 00:00:01.5' ts union all select 'a', timestamp_ntz'2024-01-01 00:00:03'")
     assert tuple(report.elapsed(times, "k").first()) == ("a", 1.5, 2)
+    # Over a change of the clocks: wall-clock columns count as they are, instants by true time.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        days = spark.sql("select 'a' k, timestamp_ntz'2024-03-09 12:00:00' n, timestamp_ltz'2024-03-09 12:00:00' t union all "
+                         "select 'a', timestamp_ntz'2024-03-10 12:00:00.25', timestamp_ltz'2024-03-10 12:00:00.25'")
+        assert report.elapsed(days, "k", "n").first()["seconds"] == 86400.25
+        assert report.elapsed(days, "k", "t").first()["seconds"] == 82800.25
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_index_snapshots(spark, tmp_path):
