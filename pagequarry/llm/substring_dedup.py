@@ -4,7 +4,7 @@
    a window that a third of the corpus shares reaches the counting once per slice.
 2. Windows are dealt by the leading bits of their hash into buckets, a few for each shuffle partition. A bucket finds
    the hashes that several slices have; all but the earliest place are repeats. Hashes travel packed, without keys.
-3. Repeats return to their documents, merge into maximal removal intervals, and the words outside stay.
+3. Repeats return to their documents, packed by the documents' partition, merge into maximal removal intervals, and the words outside stay.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm.tokens import rolling, word_hashes, words
+from pagequarry.llm.tokens import mix, rolling, word_hashes, words
 
 WINDOW = 20
 SLICE_WORDS = 1_000_000  # windows hashed at once in a task: bounds its memory
@@ -26,7 +26,7 @@ LAST = 2**63 - 1
 
 _PLACED = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("starts", pa.binary()),
                      ("hashes", pa.binary())])
-_REPEATS = pa.schema([("doc_id", pa.int64()), ("starts", pa.binary())])
+_FOUND = pa.schema([("home", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("starts", pa.binary())])
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +99,7 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(docs), np.concatenate(starts)) if docs else (np.empty(0, np.int64), np.empty(0, np.uint32))
 
 
-def _repeats(table: pa.Table) -> pa.Table:
+def _repeats(table: pa.Table, homes: int) -> pa.Table:
     """Places of the windows of a bucket that also start earlier."""
     local = pa.compute.is_null(table.column("hashes"))
     placed = table.filter(pa.compute.invert(local))
@@ -117,24 +117,34 @@ def _repeats(table: pa.Table) -> pa.Table:
     late = (docs != docs[head]) | (starts != starts[head])
     own_docs, own_starts = _unpack(table.filter(local))
     docs, starts = np.r_[docs[late], own_docs], np.r_[starts[late], own_starts].astype(np.uint32)
+    home = (mix(docs.view(np.uint64)) % np.uint64(homes)).astype(np.int32)
+    order = np.lexsort((docs, home))
+    home, docs, starts = home[order], docs[order], starts[order]
+    first, count = _runs(home)
+    rows = [_pack(int(home[f]), docs[f:f + n], starts[f:f + n], None)[:4] for f, n in zip(first, count)]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, _FOUND.types)], schema=_FOUND)
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """All repeats of each document of a home."""
+    docs, starts = _unpack(table)
     order = np.argsort(docs, kind="stable")
     docs, starts = docs[order], starts[order]
     first, count = _runs(docs)
-    return pa.Table.from_arrays([pa.array(docs[first]), pa.array([starts[f:f + n].tobytes() for f, n in zip(first, count)],
-                                                                 pa.binary())], schema=_REPEATS)
+    return pa.table({"place": pa.array(docs[first]), "starts": pa.array([starts[f:f + n].tobytes() for f, n in zip(first, count)], pa.binary())})
 
 
 def _removed(texts: list, repeats: list, window: int) -> Iterator[tuple]:
     """Words, the removed ones, maximal removal intervals and the kept text of each document."""
-    for text, parts in zip(texts, repeats):
+    for text, starts in zip(texts, repeats):
         items = words(text)
         n = len(items)
         edge = np.zeros(n + 1, np.int32)
-        for p in parts or ():
-            at = np.frombuffer(p, np.uint32).astype(np.int64)
+        if starts:
+            at = np.unique(np.frombuffer(starts, np.uint32)).astype(np.int64)
             at = at[at <= n - window]
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + window, -1)
+            edge[at] += 1
+            edge[at + window] -= 1
         gone = np.cumsum(edge[:n]) > 0
         change = np.flatnonzero(np.diff(np.r_[False, gone, False]))
         kept = b" ".join([w for w, g in zip(items, gone.tolist()) if not g] if len(change) else items)
@@ -170,12 +180,16 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, slice_words: int = SL
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def late(table: pa.Table) -> pa.Table:
+        return _repeats(table, buckets)
+
     repeats = (
         slim.select(place.alias("place"), "text")
         .mapInArrow(partial(_placed, window=window, buckets=buckets, slice_words=slice_words),
                     "bucket int, docs binary, counts binary, starts binary, hashes binary")
-        .groupBy("bucket").applyInArrow(_repeats, "doc_id bigint, starts binary")
-        .groupBy(F.col("doc_id").alias("place")).agg(F.collect_list("starts").alias("starts"))
+        .groupBy("bucket").applyInArrow(late, "home int, docs binary, counts binary, starts binary")
+        .groupBy("home").applyInArrow(_gathered, "place bigint, starts binary")
     )
     return (slim.withColumn("place", place).join(repeats, "place", "left").select("doc_id", "text", "starts")
             .mapInArrow(partial(_cut, window=window, with_text=with_text), _RESULT))
