@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm.tokens import rolling, word_hashes
+from pagequarry.llm.tokens import plain_words, rolling, word_hashes
 from pagequarry.session import materialize
 
 MASKS = ("111010110111", "11011100101011", "1101010011101011")  # 1: the word counts, 0: it is ignored
@@ -24,14 +24,6 @@ MIN_SHARE = 0.8  # equal words of an overlap's length
 PENALTY = 3  # equal words that a substitution costs when an overlap is bounded
 FILTER_BITS = 23  # of the bitmap that holds documents' hashes back which no item can have: 8 MB in each task
 SHORT = 5  # words of the shortest item that is looked for
-_EDGE = b".,;:!?\"'()[]{}<>*&%$#@~`|/\\_-+="
-
-
-def plain_words(text: str | None) -> list[bytes]:
-    """Lower-cased words without ASCII marks at their edges."""
-    if not text:
-        return []
-    return [w for w in (x.strip(_EDGE) for x in text.lower().encode("utf-8", "surrogatepass").split()) if w]
 
 
 def _offsets(mask: str) -> tuple[int, ...]:

@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.language_id import identify
+from pagequarry.llm.licenses import license_scan
+from pagequarry.llm.maxscore import top_k
 from pagequarry.llm.minhash_dedup import near_dedup
 from pagequarry.llm.mixing import mix_sources
+from pagequarry.llm.pii import personal_data
 from pagequarry.llm.secrets import secret_scan
 from pagequarry.llm.substring_dedup import substring_dedup
+from pagequarry.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +31,18 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -38,13 +51,57 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources and languages are the directories of documents."""
+    docs = _table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.expr("cast(doc_id div 1000 as string)"), F.col("doc_id").cast("string"))
+    return license_scan(docs, path)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op4_minhash_dedup, op6_decontaminate, op7_mix_sources,
-                            op9_secret_scan)
+    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_maxscore, op4_minhash_dedup, op5_toxicity, op6_decontaminate, op7_mix_sources, op8_license_scan,
+                            op9_secret_scan, op10_personal_data)
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op3_maxscore": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+                     CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+    """,
+    "op7_mix_sources": f"""
+        WITH d AS (SELECT doc_id, source, CAST(coalesce(len({_WORDS}), 0) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+                   FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
+        c AS (SELECT *, 3 * source_size / CAST(weight AS DOUBLE) AS stop,
+                     sum(3 * source_size) OVER x - 3 * source_size AS caps, sum(weight) OVER x - weight AS weights
+              FROM w WINDOW x AS (ORDER BY 3 * source_size / CAST(weight AS DOUBLE), source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+        l AS (SELECT *, CAST((SELECT sum(source_size) FROM w) - caps AS DOUBLE) / CAST((SELECT sum(weight) FROM w) - weights AS DOUBLE) AS level FROM c),
+        f AS (SELECT arg_min(level, stop) AS level FROM l WHERE stop >= level),
+        t AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), f.level * weight) AS target FROM w, f),
+        p AS (SELECT d.*, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS budget,
+                     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               CAST(size * (budget // greatest(source_size, 1))
+                    + greatest(0, least(size, budget - (budget // greatest(source_size, 1)) * source_size - before)) AS BIGINT) AS taken,
+               source
+        FROM p
+    """,
+}

@@ -14,6 +14,16 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+_EDGE = b".,;:!?\"'()[]{}<>*&%$#@~`|/\\_-+="
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Lower-cased words without ASCII marks at their edges."""
+    if not text:
+        return []
+    return [w for w in (x.strip(_EDGE) for x in text.lower().encode("utf-8", "surrogatepass").split()) if w]
+
+
 def lower_ascii(text: str | None) -> str | None:
     """Lower-cases A-Z and nothing else."""
     return text.translate(_LOWER) if text else text
