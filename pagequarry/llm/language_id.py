@@ -71,17 +71,19 @@ class Model:
         self._memo: dict[str, np.ndarray | None] = {}
 
     def _table(self, rows: list[tuple[str, str, int]], part: Callable[[str], int]) -> tuple[dict[str, int], np.ndarray]:
-        """Places of the items and their log frequencies; each part (all words, or the n-grams of an order) adds up to 1."""
+        """Places of the items and their log frequencies; each part (all words, or the n-grams of an order) by itself."""
         lang_at = {x: i for i, x in enumerate(self.langs)}
         at: dict[str, int] = {}
         for _, item, _ in rows:
             at.setdefault(item, len(at))
-        counts = np.full((len(at), len(self.langs)), SMOOTH)
+        counts = np.zeros((len(at), len(self.langs)))
         for lang, item, n in rows:
             counts[at[item], lang_at[lang]] += n
         parts = np.fromiter((part(x) for x in at), np.int64, len(at))
         for p in np.unique(parts):
-            counts[parts == p] /= counts[parts == p].sum(axis=0)
+            sums = np.maximum(counts[parts == p].sum(axis=0), 1)
+            # an item unseen in a language is as rare in a language of little text as in one of much
+            counts[parts == p] = counts[parts == p] / sums + SMOOTH / sums.max()
         return at, np.log(counts).astype(np.float32)
 
     def _backoff(self, w: str) -> np.ndarray | None:
