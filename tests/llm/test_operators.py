@@ -136,19 +136,19 @@ def test_toxicity_held_out(spark):
     bad = ["clodpate", "numskull", "mooncalf"]
     odd = [r for r in ODD if r[0] != 74]  # one text of 60,000 words would outweigh all of this corpus
     rows, labels = [], []
-    for i in range(100, 900):
+    for i in range(100, 1700):
         w = prose(i, 50).split()
-        if i % 3 == 0:
-            for at in range(3, 50, 8):
-                w[at] = bad[(i + at) % 3]
+        if i % 8 == 0:
+            for at in (5, 20, 40):
+                w[at] = bad[(i // 8 + at) % 3]
         rows.append((i, " ".join(w), "en", "s"))
-        labels.append((i, int(i % 3 == 0), None))
+        labels.append((i, int(i % 8 == 0), None))
     df = table(spark, rows + odd)
     y = spark.createDataFrame([*labels, (None, 1, None), (105, None, None), (9999, 1, None), (103, 7, None)], "doc_id long, toxic int, text string")
     found = toxicity.score_toxicity(df, y).collect()
     assert len(found) == len(rows) + len(odd) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in found)
     own = [r for r in found if r.doc_id is not None and r.doc_id >= 100 and r.held_out]
-    assert np.mean([r.predicted == int(r.doc_id % 3 == 0) for r in own]) > 0.95
+    assert np.mean([r.predicted == int(r.doc_id % 8 == 0) for r in own]) > 0.95
     assert all(r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 4 == 2) for r in found)
     assert toxicity.score_toxicity(df, y.where("toxic = 0")).where("score > 0.3").isEmpty()
     assert toxicity.score_toxicity(df.where("false"), y.where("false")).count() == 0
