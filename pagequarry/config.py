@@ -7,9 +7,9 @@ from dataclasses import dataclass
 # File types, categories, statuses and labels that stored records use.
 FILE_TYPES = {".pdf": "pdf", ".xlsx": "excel", ".csv": "csv"}
 CATEGORIES = ("financial", "legal", "transcript", "other")
-STATUS_LABELS = {"completed": "OK", "failed": "Failed", "skipped": "Skipped"}
+STATUS_LABELS = {"completed": "OK", "failed": "Failed", "skipped": "Skipped", "superseded": "Superseded"}
 STATUS_SYMBOLS = {"OK": "✅ OK", "Failed": "❌ Failed", "Unknown": "❓ Unknown",
-                  "Skipped": "⚠️ Skipped"}
+                  "Skipped": "⚠️ Skipped", "Superseded": "⏭️ Superseded"}
 UNSUPPORTED_ERROR = "Unsupported file type"
 EMBED_ERROR = "Failed to create embeddings"
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")

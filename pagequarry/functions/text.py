@@ -46,13 +46,14 @@ def strip_comments(c: Column, strict: bool = True) -> Column:
     return F.substr(kept, F.lit(2))
 
 
-# Patterns that turn markup into text, applied in order.
+# Patterns that turn markup into text, applied in order. A tag ends before the next one begins, so that
+# tags that are never closed are not scanned again and again.
 HTML_RULES = (
-    (r"(?is)<script[^>]*>.*?</script>", " "),
-    (r"(?is)<style[^>]*>.*?</style>", " "),
+    (r"(?is)<script[^<>]*>.*?</script>", " "),
+    (r"(?is)<style[^<>]*>.*?</style>", " "),
     (r"(?s)<!--.*?-->", " "),
-    (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|header|footer|title|head|body|html)(?:\s[^>]*)?/?>", "\n"),
-    (r"<[^>]+>", ""),
+    (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|header|footer|title|head|body|html)(?:\s[^<>]*)?/?>", "\n"),
+    (r"<[^<>]+>", ""),
     (r"&nbsp;", " "),
     (r"&lt;", "<"),
     (r"&gt;", ">"),

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pagequarry.config import JobConfig
 from pagequarry.functions import naming
 from pagequarry.operators import chunks, embed, incremental, pages, registry, report, rollup, search, tables
-from pagequarry.operators.skew import join_salted
 from pagequarry.session import materialize
 from pagequarry.sources import stores, tabular
 from pagequarry.sources.files import fingerprint, scan_files, scan_paths
@@ -103,7 +102,7 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
     status = (F.when(~F.col("is_new"), "skipped").when(~F.col("wanted"), "superseded")
               .when(readable, "completed").otherwise("failed"))
     done = (split.join(counts, "path", "left").withColumn("status", status)
-            .withColumn("pages", F.when(F.col("type") == "csv", 1).when(F.col("type") == "pdf", F.coalesce("md_files", F.lit(0))).otherwise(0))
+            .withColumn("pages", F.when(~F.col("wanted") & F.col("is_new"), 0).when(F.col("type") == "csv", 1).when(F.col("type") == "pdf", F.coalesce("md_files", F.lit(0))).otherwise(0))
             .fillna(0, ["md_files", "csv_files"]).withColumn("created", F.lit(run_time)))
     if config.embed:
         chunk_counts = _embed(markdown, root, batch_id, config).join(split.filter("wanted").select("doc_id", "path"), "doc_id")
@@ -134,6 +133,8 @@ def _embed(markdown: DataFrame, root: str, batch_id: int, config: JobConfig) ->
     """
     made = stores.store(chunks.chunk_markdown(markdown, config), f"{root}/chunks/batch_id={batch_id}")
     embedder = load_embedder(f"{root}/model", config)
+    if embedder is None and made.isEmpty():
+        return made.select(F.col("source_doc_id").alias("doc_id"), F.lit(0).cast("long").alias("chunk_count"))  # nothing to learn from
     if embedder is None:
         embedder = embed.EMBEDDERS[config.embedding_model].fit(made)
         embedder.save(f"{root}/model")
@@ -151,10 +152,9 @@ def load_embedder(path: str, config: JobConfig):
 
 
 def stored_vectors(spark: SparkSession, config: JobConfig) -> DataFrame | None:
-    """Vectors of all runs, for each document those of its last run; None before the first.
+    """Vectors of all runs, for each document those of the run that its latest index entry names; None before the first.
 
-    The index log says which runs of which documents are out of date. Their number is counted; up
-    to ``BROADCAST_PATHS`` they are broadcast, so that a search does not shuffle the vectors.
+    Vectors of a run that died before it wrote its index are named by no entry and stay out.
     """
     root = config.output_dir.rstrip("/")
     try:
@@ -163,14 +163,9 @@ def stored_vectors(spark: SparkSession, config: JobConfig) -> DataFrame | None:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    runs = stores.index_log(spark, root, RECORD).select(F.col("doc_id").alias("source_doc_id"), "batch_id")
-    latest = runs.groupBy("source_doc_id").agg(F.max("batch_id").alias("latest"))
-    stale = runs.join(latest, "source_doc_id").filter("batch_id < latest").select("source_doc_id", "batch_id")
-    stale = materialize(stale, "stale")
-    keys = ["source_doc_id", "batch_id"]
-    if stale.count() <= BROADCAST_PATHS:
-        return vectors.join(F.broadcast(stale), keys, "left_anti")
-    return join_salted(vectors, stale, keys, F.col("chunk_id"), "left_anti")
+    latest = (stores.index_log(spark, root, RECORD).groupBy(F.col("doc_id").alias("source_doc_id"))
+              .agg(F.max("batch_id").alias("batch_id")))
+    return vectors.join(latest, ["source_doc_id", "batch_id"], "left_semi")
 
 
 def search_run(spark: SparkSession, config: JobConfig, query: str, k: int | None = None) -> DataFrame | None:

@@ -78,3 +78,21 @@ def test_empty_folder(spark, tmp_path):
     run = extraction.run_extraction(spark, JobConfig(input_dir=str(tmp_path / "none"), output_dir=str(tmp_path / "out")))
     s = run.summary.first()
     assert (s["total_files"], s["total_pages"], s["exit_code"]) == (0, 0, 1) and run.report.count() == 0
+
+
+def test_embedding_with_nothing_to_embed(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    config = JobConfig(input_dir=str(tmp_path / "in"), output_dir=str(tmp_path / "out"), embed=True)
+    run = extraction.run_extraction(spark, config)
+    assert run.results.count() == 0 and run.summary.count() == 1
+
+
+def test_unclosed_tags_take_linear_time(spark):
+    import time
+
+    from pagequarry.functions.text import html_to_text
+
+    page = spark.createDataFrame([("a <script " * 100_000 + "b <" * 10_000,)], "t string")
+    started = time.time()
+    assert page.select(html_to_text(page.t)).first()[0]
+    assert time.time() - started < 20
