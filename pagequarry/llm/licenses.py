@@ -8,9 +8,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagequarry.session import materialize
+
 LEAST_COSINE = 0.5
 FILE_SHARE = 0.1  # a licence file consists of its statement to this share of its words
 # Notices of well-known licences.
@@ -65,13 +67,21 @@ class Matcher:
             norm = math.sqrt(sum(w * w for w in weights.values()))
             self.templates.append((name, {t: w / norm for t, w in weights.items()}))
 
-    def line(self, found: list[str]) -> tuple[float, str]:
-        """The best cosine to a template; terms that no template has are taken for rare."""
+    def line(self, found: list[str], least: float = 0.0) -> tuple[float, str]:
+        """The best cosine to a template; terms that no template has are taken for rare.
+
+        Lines that cannot reach ``least``, even if all their template terms met in one template, give nothing.
+        """
         own = Counter(found)
-        if not VOCABULARY.intersection(own):
+        shared = VOCABULARY.intersection(own)
+        if not shared:
+            return 0.0, ""
+        mine = {t: own[t] * self.idf[t] for t in shared}
+        inside = sum(w * w for w in mine.values())
+        norm = math.sqrt(inside + self.top ** 2 * sum(n * n for t, n in own.items() if t not in shared))
+        if math.sqrt(inside) < (least - 1e-9) * norm:
             return 0.0, ""
-        norm = math.sqrt(sum((n * self.idf.get(t, self.top)) ** 2 for t, n in own.items()))
-        return max((sum(n * self.idf[t] * weights[t] for t, n in own.items() if t in weights) / norm, name) for name, weights in self.templates)
+        return max((sum(w * weights[t] for t, w in mine.items() if t in weights) / norm, name) for name, weights in self.templates)
 
     def text(self, text: str | None) -> tuple[str | None, float, float]:
         """Best licence of any sentence or line, its cosine, and the share of the text's terms that it has."""
@@ -79,7 +89,7 @@ class Matcher:
         for part in _SPLIT.split(text or ""):
             found = terms(part)
             total += len(found)
-            if (c := self.line(found)) > best:
+            if (c := self.line(found, best[0])) > best:
                 best, size = c, len(found)
         return (best[1] if best[0] >= LEAST_COSINE else None), best[0], size / max(total, 1)
 
@@ -101,17 +111,19 @@ def license_scan(files: DataFrame, path: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(name, pa.string()), pa.array(cosine, pa.float64()),
                                               pa.array(share, pa.float64())], ["doc_id", "path", "own_license", "cosine", "share"])
 
-    own = files.select(F.col("doc_id").cast("long").alias("doc_id"), path.cast("string").alias("path"), "text").mapInArrow(
+    own = materialize(files.select(F.col("doc_id").cast("long").alias("doc_id"), path.cast("string").alias("path"), "text").mapInArrow(
         scan, "doc_id bigint, path string, own_license string, cosine double, share double")
-    parent = F.regexp_replace("path", "/?[^/]*$", "")
-    best = Window.partitionBy("dir").orderBy(F.desc("cosine"), "path")
+        .withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")), "licences")
+    # one row a directory, combined before it is shuffled; ancestors are those of directories, not of files
     given = (own.where(F.col("own_license").isNotNull() & (F.col("share") >= FILE_SHARE) & F.col("path").isNotNull())
-             .select(parent.alias("dir"), F.col("own_license").alias("given"), "cosine", "path")
-             .withColumn("_n", F.row_number().over(best)).where("_n = 1").select("dir", "given"))
-    steps = F.split(parent, "/")
-    above = (own.where("own_license is null and path is not null").select("path").distinct()
-             .withColumn("dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/"))))
-             .distinct())
-    nearest = above.join(given, "dir").groupBy("path").agg(F.max(F.struct(F.length("dir").alias("n"), "dir", "given")).alias("near"))
-    return (own.join(nearest, "path", "left")
-            .select("doc_id", "path", "own_license", "cosine", F.coalesce("own_license", "near.given").alias("license"), F.col("near.dir").alias("license_dir")))
+             .groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "path", F.col("own_license").alias("given"))).alias("best"))
+             .select(F.col("dir").alias("above"), "best.given"))
+    steps = F.split("dir", "/")
+    ancestors = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/"))
+    nearest = (own.where("own_license is null and path is not null").select("dir").distinct()
+               .select("dir", F.explode(F.array_distinct(ancestors)).alias("above")).join(given, "above")
+               .groupBy("dir").agg(F.max(F.struct(F.length("above").alias("n"), "above", "given")).alias("near")))
+    lacks = F.col("own_license").isNull()
+    return (own.join(nearest, "dir", "left")
+            .select("doc_id", "path", "own_license", "cosine", F.coalesce("own_license", "near.given").alias("license"),
+                    F.when(lacks, F.col("near.above")).alias("license_dir")))
