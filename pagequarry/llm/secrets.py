@@ -71,26 +71,36 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
             .drop("_mixed"))
 
 
+def ownership(spans: DataFrame) -> DataFrame:
+    """(_value, n_owners, n_repositories) of (_value, _owner, _repository): distinct owners, and repositories as owners have them.
+
+    Each step is combined before its shuffle: a value that a third of the corpus has is a row a task and owner.
+    """
+    return (spans.select("_value", "_owner", "_repository").distinct()
+            .groupBy("_value", "_owner").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("_value").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories")))
+
+
 def owned_values(found: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
-    """(doc_id, _text, live, copied): spans of each document whose value stays with an owner, and of the copied ones."""
+    """(doc_id, _text, live, copied and the most owners and repositories of a value): spans of each document whose value
+    stays with an owner, and of the copied ones."""
     spans = (found.where("size(_base) + size(_more) > 0")
              .select("doc_id", "_text", "_owner", "_repository", F.explode(F.concat("_base", "_more")).alias("span"))
              .withColumn("_value", F.sha2(F.col("span.v"), 256)))
-    # distinct pairs first: a value that a third of the corpus has is one row a task and owner
-    owners = spans.groupBy("_value", "_owner").agg(F.lit(1).alias("one")).groupBy("_value").agg(F.count(F.lit(1)).alias("n_owners"))
     plain = F.size(F.array_distinct(F.split(F.col("span.v"), ""))) < PLAIN_CHARACTERS
     live = (F.col("n_owners") < copied_owners) & ~plain
-    judged = spans.join(owners, "_value").withColumn("live", live)
+    judged = spans.join(ownership(spans), "_value").withColumn("live", live)
     return (judged.groupBy("doc_id", "_text", "_repository")
             .agg(F.collect_set(F.when(F.col("live"), F.col("span"))).alias("_live"),
-                 F.collect_set(F.when(F.col("n_owners") >= copied_owners, F.col("span"))).alias("_copied")))
+                 F.collect_set(F.when(F.col("n_owners") >= copied_owners, F.col("span"))).alias("_copied"),
+                 F.max("n_owners").alias("_owners"), F.max("n_repositories").alias("_repositories")))
 
 
 def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """Secrets in every row of ``docs`` (doc_id, text and the owner's and repository's columns).
 
-    doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end in code points, end exclusive), live_spans and
-    copied_spans. Base kinds are always listed. A mixed-case token without an assignment is added while its value looks
+    doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end in code points, end exclusive), live_spans,
+    copied_spans, most_owners and most_repositories (of any of its values; 0 without one). Base kinds are always listed. A mixed-case token without an assignment is added while its value looks
     live: fewer than ``COPIED_OWNERS`` owners have it.
 
     Null and empty texts have no spans. A null owner is one owner, a null repository one repository. Rows that repeat
@@ -107,7 +117,8 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
     added = F.filter(live, lambda m: (m["place"] == len(KINDS)) & ~F.exists("_base", lambda b: (b["s"] <= m["s"]) & (m["e"] <= b["e"])))
     return (base.alias("b").join(owned.alias("o"), F.expr("b.doc_id <=> o.doc_id and b._text = o._text and b._repository <=> o._repository"), "left")
             .select("b.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", _listed(F.concat("_base", added)).alias("spans"),
-                    _listed(live).alias("live_spans"), _listed(copied).alias("copied_spans")))
+                    _listed(live).alias("live_spans"), _listed(copied).alias("copied_spans"),
+                    F.coalesce("o._owners", F.lit(0)).alias("most_owners"), F.coalesce("o._repositories", F.lit(0)).alias("most_repositories")))
 
 
 def mask_live(docs: DataFrame) -> DataFrame:

@@ -224,6 +224,7 @@ def test_secrets(spark):
         assert (r.n_assign, r.n_access, r.n_hex) in [tuple(sum(x[3] == k for x in b) for k in ("assign", "access", "hex")) for b in byte[r.doc_id]]
     by = {r.doc_id: r for r in found}
     assert by[2].spans == "mixed:5:44" and by[5].spans == "" and by[5].copied_spans == "mixed:4:43"
+    assert [(by[i].most_owners, by[i].most_repositories) for i in (2, 4, 5)] == [(1, 1), (0, 0), (4, 4)]
     masked = {r.doc_id: r for r in secrets.mask_live(table(spark, rows)).collect()}
     assert masked[2].text == "bare [SECRET] end" and masked[2].n_chars == 17 and masked[5].text == texts[5] and masked[3].text is None
 
