@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagequarry.session import materialize
+
 # Fixed values of the scan: kind, pattern, group that holds the value, shortest value.
 KINDS = (
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
@@ -106,7 +108,7 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
     Null and empty texts have no spans. A null owner is one owner, a null repository one repository. Rows that repeat
     a doc_id and a text each get the row's result. Other columns are ignored. An empty table gives no rows.
     """
-    found = scan(docs, owner, repository)
+    found = materialize(scan(docs, owner, repository), "secrets")  # texts are scanned once
     kinds = F.col("_base")
     count = lambda i: F.size(F.filter(kinds, lambda x: x["place"] == i)).cast("long")
     base = found.select("doc_id", "_text", "_repository", "_base", *(count(i).alias(f"n_{k[0]}") for i, k in enumerate(KINDS)),
@@ -123,7 +125,7 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
 
 def mask_live(docs: DataFrame) -> DataFrame:
     """``docs`` (columns kept) with live-looking values' spans masked in the text; n_chars, if there, follows it."""
-    live = owned_values(scan(docs)).where("size(_live) > 0").select(F.col("doc_id").alias("_id"), "_text", "_live")
+    live = owned_values(materialize(scan(docs).where("size(_base) + size(_more) > 0"), "secrets")).where("size(_live) > 0").select(F.col("doc_id").alias("_id"), "_text", "_live")
     keyed = docs.withColumn("_key", F.xxhash64("text"))
     joined = keyed.join(live, F.expr("doc_id <=> _id and _key = _text"), "left")
     spans = F.array_sort(F.transform("_live", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
