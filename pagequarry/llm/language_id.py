@@ -16,6 +16,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagequarry.session import materialize
+
 TRAIN_DOCS = 4000  # about so many documents of each language are learned from, picked by hash
 MAX_WORDS = 100_000  # words and n-grams of the model, the most frequent in all languages: bounds what is broadcast
 MAX_GRAMS = 50_000
@@ -24,7 +26,6 @@ ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
-_MEMO = 50_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -68,7 +69,6 @@ class Model:
         self.langs = langs
         self.words, self.word_logs = self._table(words, lambda _: 0)
         self.grams, self.gram_logs = self._table(n_grams, len)
-        self._memo: dict[str, np.ndarray | None] = {}
 
     def _table(self, rows: list[tuple[str, str, int]], part: Callable[[str], int]) -> tuple[dict[str, int], np.ndarray]:
         """Places of the items and their log frequencies; each part (all words, or the n-grams of an order) by itself."""
@@ -86,32 +86,31 @@ class Model:
             counts[parts == p] = counts[parts == p] / sums + SMOOTH / sums.max()
         return at, np.log(counts).astype(np.float32)
 
-    def _backoff(self, w: str) -> np.ndarray | None:
+    def _unseen(self, w: str) -> list[int]:
+        """Places of the known n-grams of a word, of the longest order that has one."""
         for order in ORDERS:
             seen = [self.grams[g] for g in grams(w, order) if g in self.grams]
             if seen:
-                return self.gram_logs[seen].mean(axis=0)
-        return None
-
-    def _unseen(self, w: str) -> np.ndarray | None:
-        if w not in self._memo:
-            if len(self._memo) >= _MEMO:
-                self._memo.clear()
-            self._memo[w] = self._backoff(w)
-        return self._memo[w]
+                return seen
+        return []
 
     def predict(self, text: str | None) -> tuple[str, float]:
         items = Counter(_LETTERS.findall(text.lower())) if text else None
         if not items or not self.langs:
             return UNKNOWN, 0.0
-        known = [(self.words[w], n) for w, n in items.items() if w in self.words]
-        total = np.zeros(len(self.langs))
-        if known:
-            rows, n = zip(*known)
-            total += np.array(n) @ self.word_logs[list(rows)]
+        known, times = [], []
+        parts, sizes, unseen_times = [], [], []
         for w, n in items.items():
-            if w not in self.words and (row := self._unseen(w)) is not None:
-                total += n * row
+            if (at := self.words.get(w)) is not None:
+                known.append(at)
+                times.append(n)
+            elif seen := self._unseen(w):
+                parts += seen
+                sizes.append(len(seen))
+                unseen_times.append(n)
+        total = np.array(times, np.float64) @ self.word_logs[known] if known else np.zeros(len(self.langs))
+        if parts:  # each unseen word has the mean of its n-grams
+            total = total + np.repeat(np.array(unseen_times) / np.array(sizes), sizes) @ self.gram_logs[parts]
         p = np.exp(total - total.max())
         p /= p.sum()
         best = int(p.argmax())  # a tie goes to the first by code point
@@ -128,8 +127,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WO
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     sample = own.join(sizes, "lang").where(pick < F.lit(train_docs) / F.col("_n"))
-    counts = (sample.select("lang", "text").mapInArrow(_counts, "lang string, word string, n bigint")
-              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    counts = materialize(sample.select("lang", "text").mapInArrow(_counts, "lang string, word string, n bigint")
+                         .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")  # texts are read once
     n_grams = counts.mapInArrow(_gram_counts, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     take = lambda rows, item, most: [tuple(r) for r in rows.orderBy(F.desc("n"), item, "lang").limit(most).collect()]
     words, known = take(counts, "word", max_words), take(n_grams, "gram", max_grams)
