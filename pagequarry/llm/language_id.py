@@ -126,7 +126,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WO
     own = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    sample = own.join(sizes, "lang").where(pick < F.lit(train_docs) / F.col("_n"))
+    # a row a language, of which the model has a column each: broadcast, so that no text is shuffled
+    sample = own.join(F.broadcast(sizes), "lang").where(pick < F.lit(train_docs) / F.col("_n"))
     counts = materialize(sample.select("lang", "text").mapInArrow(_counts, "lang string, word string, n bigint")
                          .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")  # texts are read once
     n_grams = counts.mapInArrow(_gram_counts, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
