@@ -67,8 +67,8 @@ def register_embedder(name: str, embedder: type) -> None:
 
 
 def attach_embeddings(chunks: DataFrame, given: DataFrame, key: str, spread_by: Column) -> DataFrame:
-    """Chunks with vectors computed elsewhere, one vector per ``key``."""
-    return join_salted(chunks, given, key, spread_by)
+    """Every chunk, with the vector computed elsewhere for its ``key`` (one per key), or null where there is none."""
+    return join_salted(chunks, given, key, spread_by, how="left")
 
 
 def embedding_outcome(records: DataFrame, chunk_counts: DataFrame, vector_db: str, key: str = "doc_id") -> DataFrame:

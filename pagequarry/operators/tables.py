@@ -210,28 +210,32 @@ def render_cell_tables(cells: DataFrame, files: DataFrame, run_time: str) -> Dat
 
 def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], columns: list[str],
                     per_part: int = TABLES_PER_TEXT) -> DataFrame:
-    """Per document, its tables in number order: name, counts, first columns, first rows.
+    """Per document a title and its tables in number order: name, counts, first column names, first rows.
 
     ``rows`` has table_id and the data columns, ``order`` among them; ``tables`` has doc_id, table_id,
-    table_idx and csv_name. Documents of many tables come in parts, as in the page rollups.
+    table_idx and csv_name. Documents of many tables come in parts, as in the page rollups; parts join
+    without anything between them.
     """
-    header = columns[:PREVIEW_COLUMNS]
     counts = table_rows(rows, "table_id")
     # Rows stay typed until the sample is taken: only the few sampled ones become text.
-    line = markdown.pipe_row(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
+    cells = F.array(*[F.col(c).cast("string") for c in columns])
     samples = (
         table_sample(rows.select("table_id", *columns, *[c for c in order if c not in columns]), "table_id", order)
-        .groupBy("table_id").agg(F.array_join(ordered("sample_row", line), "\n").alias("body"))
+        .groupBy("table_id").agg(ordered("sample_row", cells).alias("sample"))
     )
-    head = "| " + " | ".join(columns) + " |\n|" + " --- |" * len(columns) + "\n"
-    # Fixed layout of one table's entry.
+    types = dict(rows.dtypes)
+    names = F.array(*map(F.lit, columns))
+    dtypes = F.array(*[F.lit("bool" if types[c] == "boolean" else "") for c in columns])
+    # Fixed layout of a document's title and of one table's entry.
+    title = F.when(F.col("part") == 0, F.concat(F.lit("# Table Summaries for "), F.col("doc_id"), F.lit("\n\n"))).otherwise("\n")
     entry = F.concat(
-        F.lit("## "), F.col("csv_name"), F.lit("\n\n- Rows: "), F.col("rows").cast("string"),
-        F.lit(f"\n- Columns: {len(columns)}\n- Column names: {', '.join(header)}\n\n{head}"),
-        F.col("body"), F.lit("\n\n---"))
+        F.lit("## "), F.col("csv_name"), F.lit(".csv\n- Rows: "), F.col("rows").cast("string"),
+        F.lit(f"\n- Columns: {len(columns)}\n### Columns Preview: {', '.join(columns[:PREVIEW_COLUMNS])}\n\n"),
+        _render_samples(names, dtypes, F.col("sample")), F.lit("\n\n---"))
     return (
         counts.join(samples, "table_id").join(tables, "table_id")
         .select("doc_id", "table_idx", part_of(F.col("table_idx"), per_part).alias("part"), entry.alias("entry"))
         .groupBy("doc_id", "part")
-        .agg(F.count(F.lit(1)).alias("tables"), F.array_join(ordered("table_idx", F.col("entry")), "\n\n").alias("summary"))
+        .agg(F.count(F.lit(1)).alias("tables"), F.array_join(ordered("table_idx", F.col("entry")), "\n").alias("entries"))
+        .select("doc_id", "part", "tables", F.concat(title, F.col("entries")).alias("summary"))
     )

@@ -479,19 +479,29 @@ def workbook_render(spark, sf):
 
 
 def _summary_sql() -> str:
-    cells = " || ' | ' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _LINE_COLUMNS)
-    head = "| " + " | ".join(_LINE_COLUMNS) + " |"
-    rule = "|" + " --- |" * len(_LINE_COLUMNS)
+    columns = _LINE_COLUMNS
+    text_of = ", ".join(f"{f'format({chr(39)}{{:g}}{chr(39)}, {c})' if c in _FLOAT_COLUMNS else f'CAST({c} AS VARCHAR)'} AS {c}" for c in columns)
+    pad = {c: "rpad" if c in _TEXT_COLUMNS else "lpad" for c in columns}
+    fraction = {c: f"CASE WHEN contains({c}, '.') THEN length({c}) - instr({c}, '.') ELSE -1 END" for c in columns}
+    aligned = ", ".join(f"{c} || repeat(' ', max({fraction[c]}) OVER (PARTITION BY table_id) - ({fraction[c]})) AS {c}" if c in _FLOAT_COLUMNS else c for c in columns)
+    widths = ", ".join(f"CAST(greatest({len(c) + 2}, max(length({c}))) AS INTEGER) AS w_{c}" for c in columns)
+    head = " || ' | ' || ".join(f"{pad[c]}('{c}', w_{c}, ' ')" for c in columns)
+    rule = " || '|' || ".join(f"repeat('-', w_{c} + 1) || ':'" if pad[c] == "lpad" else f"':' || repeat('-', w_{c} + 1)" for c in columns)
+    line = " || ' | ' || ".join(f"{pad[c]}({c}, w_{c}, ' ')" for c in columns)
     return f"""WITH {O.NUMBERED}, first_rows AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_LINE_ORDER)}) AS rn FROM lineitem),
-  sample AS (SELECT l_orderkey AS table_id, string_agg('| ' || {cells} || ' |', chr(10) ORDER BY rn) AS body FROM first_rows WHERE rn <= 5 GROUP BY 1),
+  as_text AS (SELECT table_id, rn, {text_of} FROM (SELECT *, l_orderkey AS table_id FROM first_rows WHERE rn <= 5)),
+  level AS (SELECT table_id, rn, {aligned} FROM as_text), widths AS (SELECT table_id, {widths} FROM level GROUP BY table_id),
+  sample AS (SELECT table_id, any_value('| ' || {head} || ' |' || chr(10) || '|' || {rule} || '|') || chr(10)
+    || string_agg('| ' || {line} || ' |', chr(10) ORDER BY rn) AS body FROM level JOIN widths USING (table_id) GROUP BY table_id),
   counted AS (SELECT l_orderkey AS table_id, count(*) AS rows FROM lineitem GROUP BY 1),
-  entries AS (SELECT doc_id, table_idx, '## ' || doc_id || '_table' || table_idx || chr(10) || chr(10) || '- Rows: ' || rows || chr(10)
-    || '- Columns: {len(_LINE_COLUMNS)}' || chr(10) || '- Column names: {', '.join(_LINE_COLUMNS[:10])}' || chr(10) || chr(10)
-    || '{head}' || chr(10) || '{rule}' || chr(10) || body || chr(10) || chr(10) || '---' AS entry
-    FROM counted JOIN sample USING (table_id) JOIN numbered USING (table_id))
-  SELECT doc_id, CAST((table_idx - 1) // {tables.TABLES_PER_TEXT} AS INTEGER) AS part, count(*) AS tables,
-    string_agg(entry, chr(10) || chr(10) ORDER BY table_idx) AS summary FROM entries GROUP BY 1, 2"""
+  entries AS (SELECT doc_id, table_idx, '## ' || doc_id || '_table' || table_idx || '.csv' || chr(10) || '- Rows: ' || rows || chr(10)
+    || '- Columns: {len(columns)}' || chr(10) || '### Columns Preview: {', '.join(columns[:10])}' || chr(10) || chr(10)
+    || body || chr(10) || chr(10) || '---' AS entry
+    FROM counted JOIN sample USING (table_id) JOIN numbered USING (table_id)),
+  parts AS (SELECT doc_id, CAST((table_idx - 1) // {tables.TABLES_PER_TEXT} AS INTEGER) AS part, count(*) AS tables,
+    string_agg(entry, chr(10) ORDER BY table_idx) AS body FROM entries GROUP BY 1, 2)
+  SELECT doc_id, part, tables, CASE WHEN part = 0 THEN '# Table Summaries for ' || doc_id || chr(10) || chr(10) ELSE chr(10) END || body AS summary FROM parts"""
 
 
 @query(_summary_sql())
@@ -621,7 +631,7 @@ def vector_merge(spark, sf):
   SELECT src.chunk_id, CAST(count(w) AS INTEGER) AS terms, round(coalesce(max(w), 0), 6) AS peak, round(coalesce(sum(w), 0), 6) AS total,
     round(coalesce(sum(w * bucket), 0), 6) AS moment FROM src LEFT JOIN weights USING (chunk_id) GROUP BY src.chunk_id""")
 def embed_tfidf(spark, sf):
-    texts = chunks.chunk_fixed(_texts(spark, sf)).select("chunk_id", "chunk")
+    texts = materialize(chunks.chunk_fixed(_texts(spark, sf)).select("chunk_id", "chunk"), "chunks")  # read to fit and to embed
     vectors = embed.TfidfEmbedder.fit(texts).embed(texts, "float64")
     add = lambda a, x: a + x
     by_place = F.transform("embedding", lambda x, i: x * i)
@@ -632,9 +642,9 @@ def embed_tfidf(spark, sf):
 
 
 @query(f"""WITH {_FIXED} SELECT doc_id || '_chunk_' || chunk_index AS chunk_id, label, round(embedding[1]::DOUBLE, 6) AS first_value
-  FROM fixed JOIN embeddings ON CAST(vec_id AS VARCHAR) = doc_id""")
+  FROM fixed LEFT JOIN embeddings ON CAST(vec_id AS VARCHAR) = doc_id""")
 def embed_precomputed(spark, sf):
-    """Chunks with the vector another system computed for their document."""
+    """Chunks with the vector another system computed for their document, null where it has none."""
     made = chunks.chunk_fixed(_texts(spark, sf)).drop("chunk")
     given = I.vectors(spark, sf).withColumnRenamed("chunk_id", "doc_id")
     return embed.attach_embeddings(made, given, "doc_id", F.col("chunk_index")).select(

@@ -87,10 +87,12 @@ def test_sample_and_summaries(spark):
     named = tables.table_numbering(listed.drop("table_idx").withColumn("o", F.substring("table_id", 2, 1).cast("int")), "o")
     out = tables.table_summaries(rows, named, ["n"], ["n", "v"])
     text = out.first()["summary"]
-    assert text.startswith("## d_table1\n\n- Rows: 8\n- Columns: 2\n- Column names: n, v\n\n| n | v |\n| --- | --- |\n| 0 | v0 |")
-    assert text.endswith("## d_table2\n\n- Rows: 1\n- Columns: 2\n- Column names: n, v\n\n| n | v |\n| --- | --- |\n| 0 |  |\n\n---")
+    assert text.startswith("# Table Summaries for d\n\n## d_table1.csv\n- Rows: 8\n- Columns: 2\n### Columns Preview: n, v\n\n"
+                           "|   n | v   |\n|----:|:----|\n|   0 | v0  |\n")
+    assert text.endswith("---\n## d_table2.csv\n- Rows: 1\n- Columns: 2\n### Columns Preview: n, v\n\n"
+                         "|   n |   v |\n|----:|----:|\n|   0 | nan |\n\n---")
     split = tables.table_summaries(rows, named, ["n"], ["n", "v"], per_part=1).orderBy("part").collect()
-    assert [r["tables"] for r in split] == [1, 1] and "\n\n".join(r["summary"] for r in split) == text
+    assert [r["tables"] for r in split] == [1, 1] and "".join(r["summary"] for r in split) == text
 
 
 def test_workbook(spark):
