@@ -88,8 +88,8 @@ def category_breakdown(records: DataFrame) -> DataFrame:
             .withColumn("category", F.coalesce("category", F.lit("total"))))
 
 
-def doc_events(results: DataFrame, run_time: str) -> DataFrame:
-    """Log rows of a run: start, then skip or completion, per document."""
+def doc_events(results: DataFrame, run_time: str, end_time: str | None = None) -> DataFrame:
+    """Log rows of a run: start at ``run_time``, then skip or completion at ``end_time``, per document."""
     # Fixed texts of the log.
     start = F.concat(F.lit("Starting "), F.col("type"), F.lit(" processing: "), F.col("filename"))
     done = (F.when(F.col("status") == "skipped", "File skipped - duplicate detected (same SHA-256 hash)")
@@ -99,10 +99,11 @@ def doc_events(results: DataFrame, run_time: str) -> DataFrame:
                                 F.lit(", MD files: "), F.col("md_files").cast("string"),
                                 F.lit(", CSV files: "), F.col("csv_files").cast("string"))))
     level = F.when(F.col("status") == "failed", "ERROR").otherwise("INFO")
+    at = lambda t: F.lit(t).cast("timestamp_ntz").alias("ts")
     events = F.array(
-        F.struct(F.lit(1).alias("event_no"), F.lit("INFO").alias("level"), start.alias("message")),
-        F.struct(F.lit(2).alias("event_no"), level.alias("level"), done.alias("message")))
-    return with_file_counts(results).select("doc_id", F.lit(run_time).cast("timestamp_ntz").alias("ts"), F.inline(events))
+        F.struct(at(run_time), F.lit(1).alias("event_no"), F.lit("INFO").alias("level"), start.alias("message")),
+        F.struct(at(end_time or run_time), F.lit(2).alias("event_no"), level.alias("level"), done.alias("message")))
+    return with_file_counts(results).select("doc_id", F.inline(events))
 
 
 def elapsed(events: DataFrame, key: str, ts: str = "ts") -> DataFrame:

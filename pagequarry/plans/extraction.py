@@ -90,7 +90,7 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
     cells = stores.store(
         tabular.csv_cells(content.filter("type = 'csv'"))
         .withColumn("doc_id", naming.doc_id(name)).withColumn("category", naming.category(name)),
-        f"{root}/csv/batch_id={batch_id}", "category")
+        f"{root}/csv/batch_id={batch_id}", "category", mode="errorifexists")  # the first write: two runs never share a number
     table_md = tables.render_cell_tables(cells, found.filter("type = 'csv'"), run_time)
     shared = ["path", "doc_id", "category", "hash", "md_file", "md"]
     markdown = stores.store_markdown(
@@ -115,7 +115,7 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
     fields = [f.split()[0] for f in RECORD.split(", ")]
     indexed = results.filter("wanted and not (type = 'pdf' and pages = 0)")
     indexed.select(*fields).write.mode("overwrite").parquet(f"{root}/index/batch_id={batch_id}")
-    stores.append_events(report.doc_events(results, run_time), f"{root}/logs")
+    stores.append_events(report.doc_events(results, run_time, datetime.now().isoformat()), f"{root}/logs", batch_id)
     page_results = markdown.select("doc_id", F.coalesce("page", F.lit(1)).alias("page"), "md_file")
     table_results = markdown.filter("csv_file is not null").select("doc_id", F.lit("csv").alias("method"), F.lit(1).alias("table_idx"), "csv_file")
     return Run(

@@ -48,9 +48,9 @@ def export_index_json(index: DataFrame, path: str) -> None:
     index.write.mode("overwrite").json(path)
 
 
-def store(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+def store(df: DataFrame, path: str, *partition_by: str, mode: str = "overwrite") -> DataFrame:
     """Write a table and return it as read back; one without rows reads back empty."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -84,10 +84,12 @@ def attach_markdown(listed: DataFrame, stored: DataFrame) -> DataFrame:
     return listed.join(stored.select("md_file", "md"), "md_file", "left")
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    """Append log events; a rerun of the same day replaces nothing and adds its own rows."""
+def append_events(events: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Add log events; a rerun of the same day replaces nothing. With a ``batch_id`` they get a folder
+    of their own, which a retry of that batch writes anew."""
+    folder, mode = (path, "append") if batch_id is None else (f"{path}/batch_id={batch_id}", "overwrite")
     (events.withColumn("run_date", F.to_date("ts"))
-     .write.mode("append").partitionBy("run_date").parquet(path))
+     .write.mode(mode).partitionBy("run_date").parquet(folder))
 
 
 def append_vectors(vectors: DataFrame, path: str) -> None:

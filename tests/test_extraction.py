@@ -1,6 +1,7 @@
 import pytest
 
 from pagequarry.config import JobConfig
+from pagequarry.operators import report
 from pagequarry.plans import extraction
 
 
@@ -43,6 +44,11 @@ def test_runs_over_a_folder(spark, config, tmp_path):
     assert {r["doc_id"]: r["output_md"] for r in first.outputs.collect()}["ExhibitA1"] == ["md/legal/ExhibitA1_p1.md", "md/legal/ExhibitA1_p2.md"]
     assert {r["label"] for r in first.report.collect()} == {"OK", "Failed"}
 
+    log = spark.read.parquet(f"{config.output_dir}/logs")
+    assert log.count() == 10 and log.select("batch_id").distinct().count() == 1
+    spent = report.elapsed(log, "doc_id").collect()
+    assert len(spent) == 5 and all(r["seconds"] > 0 and r["events"] == 2 for r in spent)
+
     hit = extraction.search_run(spark, config, "pears", 1).first()
     assert hit["metadata"]["source_file"] == "md/legal/ExhibitA1_p2.md" and hit["metadata"]["page"] == 2
     assert hit["rank"] == 1 and "pears" in hit["content"] and hit["preview"].endswith("...")
