@@ -21,7 +21,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest doc_id stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest doc_id stays."""
     return drop_near_copies(docs)
 
 

@@ -9,7 +9,8 @@
 4. Inside a component links are confirmed on full shingle sets: in blocks of bounded size, every block against every
    other, each giving out a spanning forest of its links. The components of those are the result.
 
-A pair with Jaccard similarity 0.85 differs in 4.8 of 32 places on average and in more than 15 with probability 3e-6.
+A pair with Jaccard similarity 0.85 differs in 4.8 of 32 places on average and in more than 15 with probability 4e-6; one
+with 0.80, from which the pipeline takes near copies, in 6.4 and with probability 1.5e-4.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from pagequarry.llm.tokens import lower_ascii, mix, rolling, word_hashes, words
 from pagequarry.session import materialize
 
 SHINGLE = 5
-PERCENT = 85
+PERCENT = 85  # of the query op4
+COPY_PERCENT = 80  # of near copies that a pipeline drops
 PLACES, BITS, CHUNKS, DISTANCE = 32, 16, 8, 15
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 1_000_000  # of a block in the confirmation: bounds a task's memory
 HELD = 65_536  # signatures of one key that a task compares with each other; beyond, parts are joined unseen
@@ -226,7 +228,7 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, distance: int = DISTANCE
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that near_dedup does not keep; all columns."""
-    gone = near_dedup(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+def drop_near_copies(docs: DataFrame, percent: int = COPY_PERCENT) -> DataFrame:
+    """``docs`` without the documents that near_dedup does not keep at ``percent``; all columns."""
+    gone = near_dedup(docs, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")

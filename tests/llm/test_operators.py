@@ -67,6 +67,15 @@ def test_near_dedup_against_brute_force(spark, block, monkeypatch):
     assert minhash_dedup.drop_near_copies(table(spark, rows)).columns == table(spark, rows).columns
 
 
+def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = [f"x{i}" if i in (30, 60) else w for i, w in enumerate(base)]  # 86 of 106 shingles
+    far = [f"y{i}" if i in (20, 50, 80) else w for i, w in enumerate(base)]  # 81 of 111
+    docs = table(spark, [(i, " ".join(w), "en", "s") for i, w in enumerate((base, near, far), 1)])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == [1, 3]
+    assert all(r.kept for r in minhash_dedup.near_dedup(docs).collect())
+
+
 def test_pigeonhole_keys_meet_every_pair_within_the_distance():
     import pyarrow as pa
 
