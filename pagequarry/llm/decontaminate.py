@@ -2,12 +2,14 @@
 
 Fixed masks pick some words out of a span and ignore the rest, so a hash survives substitutions at ignored places. The
 hashes of test items and training documents are joined; around each hit the words of both are compared along the
-diagonal, and overlaps that are long and alike enough count.
+diagonal, and overlaps that are long and alike enough count. The masks are chosen so that wherever substitutions lie, one
+of them fits between those of any stretch with ``MIN_MATCH`` equal words that are ``MIN_SHARE`` of it: none is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import partial
 
 import numpy as np
@@ -18,10 +20,9 @@ from pyspark.sql import functions as F
 from pagequarry.llm.tokens import plain_words, rolling, word_hashes
 from pagequarry.session import materialize
 
-MASKS = ("111010110111", "11011100101011", "1101010011101011")  # 1: the word counts, 0: it is ignored
+MASKS = ("111111", "1101111", "1110111", "110100000111")  # 1: the word counts, 0: it is ignored
 MIN_MATCH = 13  # equal words of an overlap; of a shorter item, all its words
 MIN_SHARE = 0.8  # equal words of an overlap's length
-PENALTY = 3  # equal words that a substitution costs when an overlap is bounded
 FILTER_BITS = 23  # of the bitmap that holds documents' hashes back which no item can have: 8 MB in each task
 SHORT = 5  # words of the shortest item that is looked for
 
@@ -76,16 +77,24 @@ def _doc_seeds(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...], runs:
                  pa.array(np.concatenate(places).astype(np.int32))], ["seed", "doc_id", "_text", "doc_at"])
 
 
-def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, penalty: int = PENALTY) -> tuple[int, int, int]:
-    """(start, end, equal words) in the document of the best stretch along a diagonal (document minus item place)."""
+def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, min_share: float = MIN_SHARE) -> tuple[int, int, int]:
+    """(start, end, equal words) in the document of the stretch along a diagonal (document minus item place) with the
+    most equal words of those that are equal to ``min_share``; of several the shortest, then the first."""
     lo, hi = max(0, diagonal), min(len(doc), len(item) + diagonal)
     same = doc[lo:hi] == item[lo - diagonal:hi - diagonal]
-    gain = np.cumsum(np.where(same, 1, -penalty))
-    floor = np.minimum.accumulate(np.r_[0, gain[:-1]])
-    end = int(np.argmax(gain - floor))
-    before = np.r_[0, gain][:end + 1]
-    start = int(len(before) - 1 - np.argmin(before[::-1]))
-    return lo + start, lo + end + 1, int(same[start:end + 1].sum())
+    starts = np.flatnonzero(same)
+    if not len(starts):
+        return lo, lo, 0
+    share = Fraction(str(min_share))
+    # a stretch has the share if the sum does not fall over it; whole numbers, so that the share itself counts
+    total = np.r_[0, np.cumsum(np.where(same, share.denominator - share.numerator, -share.numerator))]
+    ahead = np.maximum.accumulate(total[::-1])  # the highest sum from a place on, from the last place to the first
+    ends = len(same) - np.searchsorted(ahead, total[starts])  # the farthest that is as high as the start
+    last = np.r_[0, np.maximum.accumulate(np.where(same, np.arange(1, len(same) + 1), 0))][ends]  # ends on an equal word
+    equal = np.r_[0, np.cumsum(same)]
+    found = equal[last] - equal[starts]
+    best = np.lexsort((last - starts, -found))[0]
+    return lo + int(starts[best]), lo + int(last[best]), int(found[best])
 
 
 def _verify(batches: Iterator[pa.RecordBatch], min_match: int, min_share: float) -> Iterator[pa.RecordBatch]:
@@ -95,9 +104,9 @@ def _verify(batches: Iterator[pa.RecordBatch], min_match: int, min_share: float)
             if last[0] != (doc.as_py(), key.as_py()):
                 last = (doc.as_py(), key.as_py()), word_hashes(plain_words(text.as_py()))
             hashes, words = last[1], word_hashes(plain_words(item_text.as_py()))
-            found = [best_overlap(hashes, words, d) for d in diagonals.as_py() if -len(words) < d < len(hashes)]
+            found = [best_overlap(hashes, words, d, min_share) for d in diagonals.as_py() if -len(words) < d < len(hashes)]
             need = min(min_match, len(words))
-            found = [f for f in found if f[2] >= need and f[2] >= min_share * (f[1] - f[0])]
+            found = [f for f in found if f[2] >= need]
             if found:
                 start, end, same = max(found, key=lambda f: (f[2], -f[0]))
                 out.append((doc.as_py(), key.as_py(), item.as_py(), start, end, same, len(words)))
@@ -136,7 +145,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MA
 
     doc_id, item_id, the best overlap's place in the document's plain words (end exclusive), its equal words and the
     item's length. An overlap needs ``min_match`` equal words, or all of a shorter item, and ``min_share`` of its
-    length equal. Items of fewer than ``SHORT`` words are not looked for; of items shorter than a mask only whole copies.
+    length equal; of several the one with the most equal words counts. None is missed unless less is asked for than
+    ``MIN_MATCH`` and ``MIN_SHARE``. Items of fewer than ``SHORT`` words are not looked for; of items of fewer than ``min_match`` only whole copies.
 
     Null and empty texts and null item ids meet nothing. Rows with a null doc_id are judged like others. Equal rows give
     equal results; rows that repeat a doc_id with other texts each give theirs. Other columns are ignored.

@@ -176,6 +176,49 @@ def test_decontamination_with_substitutions(spark):
     assert decontaminate.contamination(table(spark, rows), bench.where("false")).count() == 0
 
 
+def plain_overlap(same, share):
+    """Most equal words of any stretch with ``share`` tenths of them equal."""
+    return max((sum(same[i:j]) for i in range(len(same)) for j in range(i + 1, len(same) + 1) if 10 * sum(same[i:j]) >= share * (j - i)), default=0)
+
+
+def test_best_overlap_against_every_stretch():
+    rng = np.random.default_rng(8)
+    for n in [*range(1, 40)] * 3:
+        item = np.arange(n).astype(np.uint64)
+        same = rng.random(n) < rng.choice([0.2, 0.5, 0.8, 0.9])
+        doc = np.r_[[990, 991], np.where(same, item, 999)].astype(np.uint64)
+        start, end, equal = decontaminate.best_overlap(doc, item, 2)
+        assert equal == plain_overlap(same.tolist(), 8) == same[max(start - 2, 0):max(end - 2, 0)].sum() and 10 * equal >= 8 * (end - start)
+
+
+def test_masks_fit_every_overlap_by_the_rule():
+    masks = [int(m, 2) for m in decontaminate.MASKS]
+    span = max(map(len, decontaminate.MASKS))
+    state = np.arange(1 << span)
+    hit = np.any([(state & m) == m for m in masks], axis=0)
+    least = np.where(state == 0, 0, 10_000)  # substitutions, by which of the last words are equal, if no mask has fitted
+    for n in range(1, 200):
+        before = np.minimum(least[:1 << span - 1], least[1 << span - 1:])
+        least = np.where(hit, 10_000, np.stack([before + 1, before], axis=1).ravel())
+        assert n - least.min() < 13 or 10 * (n - least.min()) < 8 * n, n
+
+
+def test_decontamination_of_short_passages_at_the_threshold(spark):
+    rng = np.random.default_rng(12)
+    rows, items, want = [], [], set()
+    for i in range(120):
+        n, k = [(15, 2), (16, 3), (20, 3), (20, 4), (25, 5), (30, 6), (16, 4), (30, 20)][i % 8]
+        words = [f"b{i}x{j}" for j in range(n)]
+        gone = set(rng.choice(n, k, replace=False).tolist())
+        items.append((i, " ".join(words)))
+        rows.append((i, prose(i, 10) + " " + " ".join("swap" if j in gone else w for j, w in enumerate(words)) + " " + prose(900 + i, 10), "en", "s"))
+        if (equal := plain_overlap([j not in gone for j in range(n)], 8)) >= 13:
+            want.add((i, i, equal))
+    assert len(want) > 80
+    found = decontaminate.contamination(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.equal_words) for r in found} == want
+
+
 def test_mixing(spark):
     rows = near_rows() + ODD
     found = mixing.mix_sources(table(spark, rows)).collect()
