@@ -18,9 +18,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.session import materialize
 
-TRAIN_DOCS = 4000  # about so many documents of each language are learned from, picked by hash
-MAX_WORDS = 100_000  # words and n-grams of the model, the most frequent in all languages: bounds what is broadcast
-MAX_GRAMS = 50_000
+TRAIN_DOCS = 4000  # about so many documents of each language are learned from, picked by hash: bounds what is broadcast
 LONGEST = 24  # letters of a word that can be known
 ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
@@ -62,34 +60,49 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["lang", "gram", "n"])
 
 
+class Table:
+    """Items and, by language that has them, how much more frequent they are than where they are unseen (logs).
+
+    What an unseen item has is the same in every language, so it tells none apart and takes no room.
+    """
+
+    def __init__(self, langs: list[str], rows: list[tuple[str, str, int]], part: Callable[[str], int]):
+        """Each part (all words, or the n-grams of an order) by itself."""
+        lang_at = {x: i for i, x in enumerate(langs)}
+        self.at: dict[str, int] = {}
+        item = np.fromiter((self.at.setdefault(x, len(self.at)) for _, x, _ in rows), np.int64, len(rows))
+        lang = np.fromiter((lang_at[x] for x, _, _ in rows), np.int64, len(rows))
+        n = np.fromiter((n for _, _, n in rows), np.float64, len(rows))
+        parts = np.fromiter((part(x) for _, x, _ in rows), np.int64, len(rows))
+        logs = np.zeros(len(rows))
+        for p in np.unique(parts):
+            own = parts == p
+            sums = np.maximum(np.bincount(lang[own], n[own], len(langs)), 1)
+            # an item unseen in a language is as rare in a language of little text as in one of much
+            logs[own] = np.log1p(n[own] / sums[lang[own]] * (sums.max() / SMOOTH))
+        order = np.argsort(item, kind="stable")
+        self.langs, self.logs = lang[order].astype(np.int32), logs[order].astype(np.float32)
+        self.begin = np.r_[0, np.cumsum(np.bincount(item, minlength=len(self.at)))]
+
+    def sums(self, places: list[int], times: np.ndarray, size: int) -> np.ndarray:
+        """Logs by language of the items at ``places``, each so many times."""
+        at = np.array(places, np.int64)
+        n = self.begin[at + 1] - self.begin[at]
+        rows = np.repeat(self.begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.langs[rows], self.logs[rows] * np.repeat(times, n), size)
+
+
 class Model:
     """Log frequencies by language of known words and n-grams."""
 
     def __init__(self, langs: list[str], words: list[tuple[str, str, int]], n_grams: list[tuple[str, str, int]]):
         self.langs = langs
-        self.words, self.word_logs = self._table(words, lambda _: 0)
-        self.grams, self.gram_logs = self._table(n_grams, len)
-
-    def _table(self, rows: list[tuple[str, str, int]], part: Callable[[str], int]) -> tuple[dict[str, int], np.ndarray]:
-        """Places of the items and their log frequencies; each part (all words, or the n-grams of an order) by itself."""
-        lang_at = {x: i for i, x in enumerate(self.langs)}
-        at: dict[str, int] = {}
-        for _, item, _ in rows:
-            at.setdefault(item, len(at))
-        counts = np.zeros((len(at), len(self.langs)))
-        for lang, item, n in rows:
-            counts[at[item], lang_at[lang]] += n
-        parts = np.fromiter((part(x) for x in at), np.int64, len(at))
-        for p in np.unique(parts):
-            sums = np.maximum(counts[parts == p].sum(axis=0), 1)
-            # an item unseen in a language is as rare in a language of little text as in one of much
-            counts[parts == p] = counts[parts == p] / sums + SMOOTH / sums.max()
-        return at, np.log(counts).astype(np.float32)
+        self.words, self.grams = Table(langs, words, lambda _: 0), Table(langs, n_grams, len)
 
     def _unseen(self, w: str) -> list[int]:
         """Places of the known n-grams of a word, of the longest order that has one."""
         for order in ORDERS:
-            seen = [self.grams[g] for g in grams(w, order) if g in self.grams]
+            seen = [self.grams.at[g] for g in grams(w, order) if g in self.grams.at]
             if seen:
                 return seen
         return []
@@ -101,27 +114,27 @@ class Model:
         known, times = [], []
         parts, sizes, unseen_times = [], [], []
         for w, n in items.items():
-            if (at := self.words.get(w)) is not None:
+            if (at := self.words.at.get(w)) is not None:
                 known.append(at)
                 times.append(n)
             elif seen := self._unseen(w):
                 parts += seen
                 sizes.append(len(seen))
                 unseen_times.append(n)
-        total = np.array(times, np.float64) @ self.word_logs[known] if known else np.zeros(len(self.langs))
+        total = self.words.sums(known, np.array(times, np.float64), len(self.langs)) if known else np.zeros(len(self.langs))
         if parts:  # each unseen word has the mean of its n-grams
-            total = total + np.repeat(np.array(unseen_times) / np.array(sizes), sizes) @ self.gram_logs[parts]
+            total = total + self.grams.sums(parts, np.repeat(np.array(unseen_times) / np.array(sizes), sizes), len(self.langs))
         p = np.exp(total - total.max())
         p /= p.sum()
         best = int(p.argmax())  # a tie goes to the first by code point
         return self.langs[best], float(p[best])
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """Learn from the texts and languages of rows that are not held out, about ``train_docs`` of each language.
 
-    The rows of a language with the smallest hashes are taken. Counting is done in Spark; only the model, bounded by
-    ``max_words`` and ``max_grams``, comes to the driver.
+    The rows of a language with the smallest hashes are taken. Counting is done in Spark; only the model comes to the
+    driver: all words and n-grams of the sample, which bounds them for each language by itself.
     """
     own = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
@@ -131,10 +144,13 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WO
     counts = materialize(sample.select("lang", "text").mapInArrow(_counts, "lang string, word string, n bigint")
                          .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")  # texts are read once
     n_grams = counts.mapInArrow(_gram_counts, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    take = lambda rows, item, most: [tuple(r) for r in rows.orderBy(F.desc("n"), item, "lang").limit(most).collect()]
-    words, known = take(counts, "word", max_words), take(n_grams, "gram", max_grams)
-    langs = {r[0] for r in words}
-    return Model(sorted(langs), words, [r for r in known if r[0] in langs])
+
+    def rows(table: DataFrame) -> list[tuple[str, str, int]]:
+        found = table.toArrow()
+        return list(zip(*(found.column(i).to_pylist() for i in range(3))))
+
+    words = rows(counts)
+    return Model(sorted({r[0] for r in words}), words, rows(n_grams))
 
 
 def predicted(text: Column, model: Model) -> Column:

@@ -124,6 +124,19 @@ def test_backoff_goes_to_shorter_grams():
     assert model.predict("zoz")[0] == "fr" and model.predict("123") == ("und", 0.0) and model.predict("qqq")[1] == 0.5
 
 
+def test_language_with_a_handful_of_documents_beside_big_ones(spark):
+    def text(lang, i):  # many words, most of them once, made of letters of the language only
+        rng = np.random.default_rng([lang, i])
+        return " ".join("".join(rng.choice(list(("abcdef", "ghijkl", "mnopqr")[lang]), 10)) for _ in range((6000, 6000, 30)[lang]))
+
+    rows = [(i, text(i % 2, i), ("aa", "bb")[i % 2], "s") for i in range(30)] + [(i, text(2, i), "zz", "s") for i in range(100, 106)]
+    model = language_id.train(table(spark, rows))
+    assert model.langs == ["aa", "bb", "zz"]
+    learned = [t for i, t, lang, _ in rows if zlib.crc32(str(i).encode()) % 5 and lang]
+    assert len(model.words.at) == len({w for t in learned for w in t.split()}) > 120_000
+    assert {model.predict(text(2, i))[0] for i in (500, 501)} == {"zz"} and model.predict(text(0, 502))[0] == "aa"
+
+
 def test_maxscore_against_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 16)]) for i in range(400)]
