@@ -1,4 +1,5 @@
-"""Licence scan: TF-IDF cosine of lines to templates, then inheritance from the nearest directory with a licence file."""
+"""Licence scan: TF-IDF cosine of whole files to licence texts and of lines to notices, then inheritance from the nearest
+directory with a licence file."""
 
 from __future__ import annotations
 
@@ -6,6 +7,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from importlib.resources import files as resources
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,7 +16,9 @@ from pyspark.sql import functions as F
 from pagequarry.session import materialize
 
 LEAST_COSINE = 0.5
-FILE_SHARE = 0.1  # a licence file consists of its statement to this share of its words
+TEXT_COSINE = 0.8  # of a whole file to the text of a licence
+FILE_SHARE = 0.1  # a licence file that holds no such text and has no such name consists of its statement to this share of its words
+FILE_NAME = r"(?i)(^|/)((un)?licen[cs]e|copying)([._-][^/]*)?$"
 # Notices of well-known licences.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -39,7 +43,10 @@ def terms(text: str | None) -> list[str]:
     return _TERM.findall(text.lower()) if text else []
 
 
-VOCABULARY = frozenset(t for _, text in TEMPLATES for t in terms(text))
+TEXTS = tuple(sorted((p.name.removesuffix(".txt"), p.read_text(encoding="utf-8"))
+                     for p in resources(__package__).joinpath("license_texts").iterdir() if p.name.endswith(".txt")))
+NOTICE_TERMS = frozenset(t for _, text in TEMPLATES for t in terms(text))
+VOCABULARY = NOTICE_TERMS.union(t for _, text in TEXTS for t in terms(text))
 
 
 def _frequencies(docs: DataFrame) -> tuple[dict[str, int], int]:
@@ -61,19 +68,18 @@ class Matcher:
     def __init__(self, frequencies: dict[str, int], documents: int):
         self.top = math.log(documents + 1) + 1
         self.idf = {t: math.log((documents + 1) / (frequencies.get(t, 0) + 1)) + 1 for t in VOCABULARY}
-        self.templates = []
-        for name, text in TEMPLATES:
+        self.templates, self.texts = self._unit(TEMPLATES), self._unit(TEXTS)
+
+    def _unit(self, templates: tuple[tuple[str, str], ...]) -> list[tuple[str, dict[str, float]]]:
+        out = []
+        for name, text in templates:
             weights = {t: n * self.idf[t] for t, n in Counter(terms(text)).items()}
             norm = math.sqrt(sum(w * w for w in weights.values()))
-            self.templates.append((name, {t: w / norm for t, w in weights.items()}))
-
-    def line(self, found: list[str], least: float = 0.0) -> tuple[float, str]:
-        """The best cosine to a template; terms that no template has are taken for rare.
+            out.append((name, {t: w / norm for t, w in weights.items()}))
+        return out
 
-        Lines that cannot reach ``least``, even if all their template terms met in one template, give nothing.
-        """
-        own = Counter(found)
-        shared = VOCABULARY.intersection(own)
+    def _best(self, own: Counter, known: frozenset[str], templates: list[tuple[str, dict[str, float]]], least: float) -> tuple[float, str]:
+        shared = known.intersection(own)
         if not shared:
             return 0.0, ""
         mine = {t: own[t] * self.idf[t] for t in shared}
@@ -81,24 +87,49 @@ class Matcher:
         norm = math.sqrt(inside + self.top ** 2 * sum(n * n for t, n in own.items() if t not in shared))
         if math.sqrt(inside) < (least - 1e-9) * norm:
             return 0.0, ""
-        return max((sum(w * weights[t] for t, w in mine.items() if t in weights) / norm, name) for name, weights in self.templates)
+        return max((sum(w * weights[t] for t, w in mine.items() if t in weights) / norm, name) for name, weights in templates)
+
+    def line(self, found: list[str], least: float = 0.0) -> tuple[float, str]:
+        """The best cosine to a template; terms that no template has are taken for rare.
+
+        Lines that cannot reach ``least``, even if all their template terms met in one template, give nothing.
+        """
+        return self._best(Counter(found), NOTICE_TERMS, self.templates, least)
+
+    def whole(self, own: Counter, head: list[str]) -> tuple[float, str]:
+        """The best cosine to the text of a licence, of a file with these terms, if it reaches ``TEXT_COSINE``."""
+        cosine, name = self._best(own, VOCABULARY, self.texts, TEXT_COSINE)
+        if cosine < TEXT_COSINE:
+            return 0.0, ""
+        # the Affero text is the GPL's but for a section
+        return cosine, "AGPL-3.0" if name == "GPL-3.0" and "affero" in head else name
 
     def text(self, text: str | None) -> tuple[str | None, float, float]:
-        """Best licence of any sentence or line, its cosine, and the share of the text's terms that it has."""
+        """The licence whose text this is, or the best of any sentence or line; its cosine, and the share of the text's
+        terms that state it."""
         best, size, total = (0.0, ""), 0, 0
+        own: Counter = Counter()
+        head: list[str] = []
         for part in _SPLIT.split(text or ""):
             found = terms(part)
             total += len(found)
+            own.update(found)
+            if len(head) < 10:
+                head += found
             if (c := self.line(found, best[0])) > best:
                 best, size = c, len(found)
+        cosine, name = self.whole(own, head[:10])
+        if name:
+            return name, cosine, 1.0
         return (best[1] if best[0] >= LEAST_COSINE else None), best[0], size / max(total, 1)
 
 
 def license_scan(files: DataFrame, path: Column) -> DataFrame:
     """doc_id, path, own_license, cosine, license, license_dir of each row of ``files`` (doc_id, text).
 
-    A file's own licence is the template nearest to one of its sentences or lines. A file without one has that of the nearest
-    directory above it with a licence file: one that its statement makes up to ``FILE_SHARE``. Of several in a directory the nearest to its template
+    A file's own licence is the one whose text it is, or else the notice nearest to one of its sentences or lines. A file
+    without one has that of the nearest directory above it with a licence file: one that is a licence's text, has the name
+    of a licence file and an own licence, or that its statement makes up to ``FILE_SHARE``. Of several in a directory the nearest to its template
     counts, then the smallest path. Null and empty texts have no own licence; a null path inherits nothing and leaves nothing.
     Repeated rows give equal results; other columns are ignored. An empty table gives no rows.
     """
@@ -115,7 +146,7 @@ def license_scan(files: DataFrame, path: Column) -> DataFrame:
         scan, "doc_id bigint, path string, own_license string, cosine double, share double")
         .withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")), "licences")
     # one row a directory, combined before it is shuffled; ancestors are those of directories, not of files
-    given = (own.where(F.col("own_license").isNotNull() & (F.col("share") >= FILE_SHARE) & F.col("path").isNotNull())
+    given = (own.where(F.col("own_license").isNotNull() & ((F.col("share") >= FILE_SHARE) | F.col("path").rlike(FILE_NAME)) & F.col("path").isNotNull())
              .groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "path", F.col("own_license").alias("given"))).alias("best"))
              .select(F.col("dir").alias("above"), "best.given"))
     steps = F.split("dir", "/")

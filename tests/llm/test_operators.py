@@ -333,6 +333,23 @@ def test_licenses_inherit_from_the_nearest_directory(spark):
     assert licenses.license_scan(table(spark, rows).where("false"), F.col("source")).count() == 0
 
 
+def test_licenses_inherit_from_whole_texts(spark):
+    import textwrap
+
+    text = {n: t.replace("<year> <copyright holders>", "2031 Someone Else") for n, t in licenses.TEXTS}
+    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0"} == set(text)
+    affero = text["GPL-3.0"].replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE")
+    rows = [(1, "Released under the MIT License.", "en", "LICENSE")]
+    for i, (name, t) in enumerate([*text.items(), ("AGPL-3.0", affero)]):
+        rows += [(10 + i, textwrap.fill(t, 60) if i % 2 else t, "en", f"{name}/{'terms' if i % 3 else 'LICENSE.txt'}"), (50 + i, prose(i), "en", f"{name}/src/x")]
+    rows += [(90, prose(90, 400) + "\nLicensed under CC BY 4.0.\n" + prose(91, 400), "en", "named/COPYING.md"), (91, prose(92), "en", "named/x"),
+             (92, prose(93, 400) + "\nLicensed under CC BY 4.0.\n" + prose(94, 400), "en", "other/license_list/notes"), (93, prose(95), "en", "other/license_list/x")]
+    found = {r.doc_id: r for r in licenses.license_scan(table(spark, rows), F.col("source")).collect()}
+    for i, name in enumerate([*text, "AGPL-3.0"]):
+        assert (found[10 + i].own_license, found[50 + i].license, found[50 + i].license_dir) == (name, name, name)
+    assert (found[91].license, found[92].license, found[93].license) == ("CC-BY-4.0", "CC-BY-4.0", "MIT")
+
+
 def test_pipeline_stages_follow_the_operators(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
