@@ -45,7 +45,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixing),
 ]
 
-#: Language models and signatures cannot be stated in SQL; tests compare every stage with a plain version.
+#: Language models and signatures cannot be stated in SQL; tests compare near copies and single overlaps
+#: with plain versions, the other stages with expected results of made-up rows.
 ORACLE_SQL = None
 
 
