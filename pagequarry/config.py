@@ -33,6 +33,8 @@ class JobConfig:
     duplicate_rule: str = "doc_id_and_hash"
     retry_failed: bool = False
     strict_comments: bool = True
+    sheet_source: str | None = None
+    table_methods: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.chunk_size < 1 or self.chunk_overlap < 0:

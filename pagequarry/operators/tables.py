@@ -111,20 +111,21 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [table_profile(n, d) for n, d in tables.items()])
 
 
-def cell_profile(cells: DataFrame, table_key: str = "table_id") -> DataFrame:
+def cell_profile(cells: DataFrame, *table_key: str) -> DataFrame:
     """Profile of very many tables held as text cells (table key, row_no, col_idx, column, value).
 
     Row 0 holds the headers. ``first_cells`` are the cells of the first rows. Counts and kinds are
     combined before the shuffle, so a huge table costs a row per column and input partition.
     """
+    table_key = table_key or ("table_id",)
     data = F.col("row_no") > 0
     marked = cells.withColumn("kind", F.when(data, cell_kind(F.col("value"))))
     value = F.when(F.col("kind") != _MISSING, F.col("value"))
     early = F.when(data & (F.col("row_no") <= SAMPLE_ROWS), F.struct("row_no", value.alias("value")))
-    return (marked.groupBy(table_key, "col_idx", "column")
+    return (marked.groupBy(*table_key, "col_idx", "column")
             .agg(F.count_if(data).alias("rows"), F.count_if(F.col("kind") == _MISSING).alias("missing"),
                  F.bit_or("kind").alias("kinds"), F.collect_list(early).alias("first_cells"))
-            .select(table_key, "col_idx", "column", "rows", "missing", dtype_of(F.col("kinds")).alias("dtype"), "first_cells"))
+            .select(*table_key, "col_idx", "column", "rows", "missing", dtype_of(F.col("kinds")).alias("dtype"), "first_cells"))
 
 
 def _dtype_lines(columns: Column) -> Column:
@@ -191,9 +192,15 @@ def workbook_render(filename: str, sheets: dict[str, tuple[DataFrame, list[str]]
 
 
 def render_cell_tables(cells: DataFrame, files: DataFrame, run_time: str) -> DataFrame:
-    """Markdown summaries of many CSV files from their cells; ``files`` has path, filename, hash."""
-    columns = cell_profile(cells, "path")
-    tables = columns.groupBy("path").agg(
+    """Markdown summaries of the tables of many files from their cells; ``files`` has path, filename, hash.
+
+    Cells may have table_no and table_name: sheets of a workbook, each with a page of its own. Without them a file is one table.
+    """
+    if "table_no" not in cells.columns:
+        cells = cells.withColumns({"table_no": F.lit(1), "table_name": F.lit(None).cast("string")})
+    keys = ["path", "table_no", "table_name"]
+    columns = cell_profile(cells, *keys)
+    tables = columns.groupBy(*keys).agg(
         F.max("rows").alias("rows"), F.count(F.lit(1)).alias("columns"),
         F.sort_array(F.collect_list(F.struct("col_idx", "column", "dtype", "first_cells"))).alias("cols"))
     row_numbers = F.when(F.col("rows") > 0, F.sequence(F.lit(1), F.least(F.lit(SAMPLE_ROWS), F.col("rows")).cast("int"))
@@ -201,11 +208,13 @@ def render_cell_tables(cells: DataFrame, files: DataFrame, run_time: str) -> Dat
     sample = F.transform(row_numbers, lambda n: F.transform("cols", lambda c: F.get(
         F.transform(F.filter(c["first_cells"], lambda x: x["row_no"] == n), lambda x: x["value"]), F.lit(0))))
     named = tables.withColumn("sample", sample).join(files.select("path", "filename", "hash"), "path")
-    name = F.col("filename")
+    name, sheet = F.col("filename"), F.col("table_name")
     doc, cat = naming.doc_id(name), naming.category(name)
-    md = _summary_markdown(name, name, F.lit(1), F.concat(doc, F.lit(".csv")), F.col("hash"), run_time)
-    return named.select("path", doc.alias("doc_id"), cat.alias("category"), "hash", "rows", "columns",
-                        naming.md_path(cat, doc).alias("md_file"), naming.csv_path(cat, doc).alias("csv_file"), md.alias("md"))
+    output = F.when(sheet.isNull(), doc).otherwise(naming.sheet_output_name(doc, sheet))
+    title = F.when(sheet.isNull(), name).otherwise(F.concat(name, F.lit(" - Sheet: "), sheet))
+    md = _summary_markdown(name, title, F.col("table_no"), F.concat(output, F.lit(".csv")), F.col("hash"), run_time)
+    return named.select("path", doc.alias("doc_id"), cat.alias("category"), "hash", "rows", "columns", "table_no",
+                        naming.md_path(cat, output).alias("md_file"), naming.csv_path(cat, output).alias("csv_file"), md.alias("md"))
 
 
 def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], columns: list[str],

@@ -1,8 +1,9 @@
 """One whole run: scan a folder, process what is new, store the results, report.
 
 Everything is written below ``config.output_dir``, which all executors must share:
-``index/`` (record log), ``md/`` (rendered pages), ``csv/`` (table cells), ``logs/`` (events) and,
-when embedding, ``chunks/``, ``vectors/`` and ``model/``. Each run adds ``batch_id=<run>`` folders.
+``index/`` (record log), ``md/`` (rendered pages), ``csv/`` (a file per table), ``logs/`` (events) and,
+when embedding, ``chunks/``, ``vectors/`` and ``model/``. Each run adds ``batch_id=<run>`` folders, but for ``csv/``, where a
+document's newer tables replace its older ones.
 """
 
 from __future__ import annotations
@@ -15,21 +16,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.config import JobConfig
+from pagequarry.config import UNSUPPORTED_ERROR, JobConfig
 from pagequarry.functions import naming
 from pagequarry.operators import chunks, embed, incremental, pages, registry, report, rollup, search, tables
 from pagequarry.session import materialize
 from pagequarry.sources import stores, tabular
-from pagequarry.sources.files import fingerprint, scan_files, scan_paths
+from pagequarry.sources.folder import read_named, scan_folder, write_named
 
 RECORD = ("doc_id string, path string, filename string, type string, category string, log string, length bigint, hash string, "
           "pages int, md_files int, csv_files int, status string, created string, "
           "embeddings struct<status:string,vector_db:string,chunk_count:int,error:string>")
-# Paths broadcast to the scan: about 200 bytes each, so some 100 MB at most.
-BROADCAST_PATHS = 500_000
-# New files read by name; their paths pass through the driver.
-NAMED_PATHS = 10_000
-
 
 @dataclass(frozen=True)
 class Run:
@@ -42,67 +38,48 @@ class Run:
     markdown: DataFrame
 
 
-def _new_content(spark: SparkSession, scan: DataFrame, split: DataFrame) -> DataFrame:
-    """Content of the files to process, with their registry columns, shuffled only as a last resort.
-
-    A scan reads every file it lists, so few new files are read by name. Otherwise the shorter list
-    of paths, to take or to leave out, is broadcast if its counted length is within
-    ``BROADCAST_PATHS``; beyond that the two sides are joined by path.
-    """
-    # At most two rows come back.
-    counts = {r["wanted"]: r["count"] for r in split.groupBy("wanted").count().collect()}
-    wanted, unwanted = split.filter("wanted").select("path"), split.filter("not wanted").select("path")
-    if counts.get(True, 0) <= NAMED_PATHS:
-        scan = scan_paths(spark, [r["path"] for r in wanted.collect()])
-    files = registry.register(scan.select("path", naming.base_name(F.col("path")).alias("filename"), "length", "content"))
-    hashed = files.withColumn("hash", F.sha2("content", 256))
-    if counts.get(True, 0) <= NAMED_PATHS:
-        return hashed
-    if counts.get(True, 0) <= BROADCAST_PATHS:
-        return hashed.join(F.broadcast(wanted), "path", "left_semi")
-    if counts.get(False, 0) <= BROADCAST_PATHS:
-        return hashed.join(F.broadcast(unwanted), "path", "left_anti")
-    return hashed.join(wanted, "path", "left_semi")
-
-
 def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, ...] = ("html", "text")) -> Run:
     """Process a folder. ``methods`` names the page extractors to try on PDF files, in order.
 
     Of new files that share a doc_id the last by path is processed; the others would only have been
-    overwritten by it and are reported as 'superseded'. Files no method can read are failed.
+    overwritten by it and are reported as 'superseded'. Files no method can read are failed. The scan hashes every file in
+    blocks; the contents of the files to process, and of no others, are then read where they are needed.
     """
     started = time.time()
     batch_id, run_time = int(started * 1000), datetime.now().isoformat()
     root = config.output_dir.rstrip("/")
-    scan = scan_files(spark, config.input_dir)
-    found = materialize(registry.register(fingerprint(
-        scan.select("path", naming.base_name(F.col("path")).alias("filename"), "length", "content"))), "registry")
+    scan = scan_folder(spark, config.input_dir)
+    found = materialize(registry.register(scan.select("path", naming.base_name(F.col("path")).alias("filename"), "length", "hash")), "registry")
     known = stores.current_index(stores.index_log(spark, root, RECORD))
     flagged = incremental.incremental_split(found, known, config)
     winners = registry.last_record_wins(flagged.filter("is_new").select("doc_id", "path"), "path")
     split = materialize(flagged.join(winners.select("path", F.lit(True).alias("wins")), "path", "left")
                         .withColumn("wanted", F.coalesce("wins", F.lit(False))).drop("wins"), "split")
-    content = _new_content(spark, scan, split)
+    wanted = split.filter("wanted").drop("is_new", "wanted")
+
+    def content(kind: str) -> DataFrame:
+        return read_named(wanted.filter(F.col("type") == kind), config.input_dir).drop("error")
 
-    pdf_pages = pages.extract_pages(content.filter("type = 'pdf'"), list(methods))
+    pdf_pages = pages.extract_pages(content("pdf"), list(methods))
     page_md = pages.render_pages(pdf_pages, F.col("method"), run_time, "path")
-    name = naming.base_name(F.col("path"))
-    cells = stores.store(
-        tabular.csv_cells(content.filter("type = 'csv'"))
-        .withColumn("doc_id", naming.doc_id(name)).withColumn("category", naming.category(name)),
-        f"{root}/csv/batch_id={batch_id}", "category", mode="errorifexists")  # the first write: two runs never share a number
-    table_md = tables.render_cell_tables(cells, found.filter("type = 'csv'"), run_time)
+    readers = {"csv": [tabular.csv_table], "excel": [tabular.SHEET_SOURCES[config.sheet_source]] if config.sheet_source else [],
+               "pdf": [tabular.TABLE_EXTRACTORS[name] for name in config.table_methods]}
+    cells = materialize(_cells(spark, content, readers), "cells")
+    table_md = tables.render_cell_tables(cells, found, run_time)
     shared = ["path", "doc_id", "category", "hash", "md_file", "md"]
-    markdown = stores.store_markdown(
-        page_md.select(*shared, "page", F.lit(None).cast("string").alias("csv_file"))
-        .unionByName(table_md.select(*shared, F.lit(None).cast("int").alias("page"), "csv_file")), f"{root}/md/batch_id={batch_id}")
+    markdown = stores.store_markdown(  # the first write: two runs never share a number
+        page_md.select(*shared, "page").unionByName(table_md.select(*shared, F.col("table_no").alias("page"))),
+        f"{root}/md/batch_id={batch_id}", mode="errorifexists")
+    csv_files = materialize(_write_tables(spark, content, readers, root), "csv")
 
-    counts = markdown.groupBy("path").agg(F.count(F.lit(1)).cast("int").alias("md_files"), F.count("csv_file").cast("int").alias("csv_files"))
+    counts = (markdown.groupBy("path").agg(F.count(F.lit(1)).cast("int").alias("md_files"))
+              .join(csv_files.groupBy("path").agg(F.count_distinct("csv_file").cast("int").alias("csv_files")), "path", "full"))
     readable = F.coalesce("md_files", F.lit(0)) > 0
+    unread = F.lit(config.sheet_source is None) & (F.col("type") == "excel") & F.col("wanted")
     status = (F.when(~F.col("is_new"), "skipped").when(~F.col("wanted"), "superseded")
               .when(readable, "completed").otherwise("failed"))
-    done = (split.join(counts, "path", "left").withColumn("status", status)
-            .withColumn("pages", F.when(~F.col("wanted") & F.col("is_new"), 0).when(F.col("type") == "csv", 1).when(F.col("type") == "pdf", F.coalesce("md_files", F.lit(0))).otherwise(0))
+    done = (split.join(counts, "path", "left").withColumn("status", status).withColumn("error", F.when(unread, UNSUPPORTED_ERROR))
+            .withColumn("pages", F.when(~F.col("wanted") & F.col("is_new"), 0).when(F.col("type") == "csv", 1).when(F.col("type") == "csv", 1).otherwise(F.coalesce("md_files", F.lit(0))))
             .fillna(0, ["md_files", "csv_files"]).withColumn("created", F.lit(run_time)))
     if config.embed:
         chunk_counts = _embed(markdown, root, batch_id, config).join(split.filter("wanted").select("doc_id", "path"), "doc_id")
@@ -111,13 +88,13 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
         done = done.withColumn("embeddings", F.lit(None).cast("struct<status:string,vector_db:string,chunk_count:int,error:string>"))
     results = materialize(done, "results")
 
-    # A PDF without pages is reported but not indexed, so that the next run tries it again.
+    # A PDF without pages, or a workbook that nothing reads, is reported but not indexed, so that the next run tries it again.
     fields = [f.split()[0] for f in RECORD.split(", ")]
-    indexed = results.filter("wanted and not (type = 'pdf' and pages = 0)")
+    indexed = results.filter("wanted and not (type = 'pdf' and pages = 0) and error is null")
     indexed.select(*fields).write.mode("overwrite").parquet(f"{root}/index/batch_id={batch_id}")
     stores.append_events(report.doc_events(results, run_time, datetime.now().isoformat()), f"{root}/logs", batch_id)
-    page_results = markdown.select("doc_id", F.coalesce("page", F.lit(1)).alias("page"), "md_file")
-    table_results = markdown.filter("csv_file is not null").select("doc_id", F.lit("csv").alias("method"), F.lit(1).alias("table_idx"), "csv_file")
+    page_results = markdown.select("doc_id", "page", "md_file")
+    table_results = csv_files.select("doc_id", "method", F.col("table_no").alias("table_idx"), "csv_file")
     return Run(
         results=results,
         summary=report.run_summary(results, time.time() - started),
@@ -126,6 +103,29 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
         markdown=markdown)
 
 
+def _cells(spark: SparkSession, content, readers: dict[str, list[tabular.TableSource]]) -> DataFrame:
+    """Cells of the files that are tables: CSV files, and workbooks if there is a reader of sheets."""
+    cells = spark.createDataFrame([], tabular.TABLE_CELLS)
+    for kind in ("csv", "excel"):
+        for read in readers[kind]:
+            cells = cells.union(tabular.table_cells(content(kind), read))
+    return cells
+
+
+def _write_tables(spark: SparkSession, content, readers: dict[str, list[tabular.TableSource]], root: str) -> DataFrame:
+    """Write every table as a CSV file under the name that the results report: path, doc_id, method, table_no, csv_file."""
+    written = spark.createDataFrame([], "path string, doc_id string, method string, table_no int, csv_file string")
+    for kind, sources in readers.items():
+        for n, read in enumerate(sources):
+            texts = tabular.table_texts(content(kind), read)
+            name = naming.base_name(F.col("path"))
+            doc = naming.doc_id(name)
+            named = texts.select("path", doc.alias("doc_id"), F.lit(f"{kind}{n}").alias("method"), "table_no",
+                                 naming.csv_path(naming.category(name), tabular.output_name(doc, kind)).alias("file"), "content")
+            written = written.unionByName(write_named(named, root).drop("length").withColumnRenamed("file", "csv_file"))
+    return written
+
+
 def _embed(markdown: DataFrame, root: str, batch_id: int, config: JobConfig) -> DataFrame:
     """Chunk and embed the run's Markdown; returns chunk counts per document.
 

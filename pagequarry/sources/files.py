@@ -1,9 +1,7 @@
-"""Folder scan and routing by type."""
+"""Listed files: filter, routing by type, fingerprint."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +13,8 @@ FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def scan_files(spark: SparkSession, root: str, any_case: bool = False) -> DataFrame:
-    """Every supported file below ``root``; a missing folder gives no rows.
+    """Supported files below ``root`` by Spark's own reader, which leaves out names that begin with a dot or an underscore and holds
+    each file whole; :func:`~pagequarry.sources.folder.scan_folder` has every name. A missing folder gives no rows.
 
     The extension filter runs while files are listed; ``content`` is read only if selected.
     """
@@ -30,14 +29,6 @@ def scan_files(spark: SparkSession, root: str, any_case: bool = False) -> DataFr
         return spark.createDataFrame([], FILES)
 
 
-def scan_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The named files, each taken literally."""
-    if not paths:
-        return spark.createDataFrame([], FILES)
-    literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
-    return spark.read.format("binaryFile").load(literal)
-
-
 def select_supported(files: DataFrame) -> DataFrame:
     """The same filter over a listing that is already a table."""
     return files.filter(naming.has_supported_suffix(F.col("path")))

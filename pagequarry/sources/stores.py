@@ -54,10 +54,10 @@ def store(df: DataFrame, path: str, *partition_by: str, mode: str = "overwrite")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def store_markdown(pages: DataFrame, path: str) -> DataFrame:
+def store_markdown(pages: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Rendered pages, a row each, partitioned by category, with the line ends a text-mode read
     gives. Needs category, md_file and md."""
-    return store(pages, path, "category").withColumn("md", text.unix_newlines(F.col("md")))
+    return store(pages, path, "category", mode=mode).withColumn("md", text.unix_newlines(F.col("md")))
 
 
 def export_markdown_files(pages: DataFrame, path: str) -> None:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator
-from functools import reduce
+import json
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial, reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -52,6 +54,102 @@ def workbook_sheets(doc: str, category: str, sheets: dict[str, DataFrame]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Tables of one file's content: (name or None, rows of texts, the first being the header).
+TableSource = Callable[[bytes], Iterable[tuple[str | None, list[list[str]]]]]
+SHEET_SOURCES: dict[str, TableSource] = {}
+TABLE_EXTRACTORS: dict[str, TableSource] = {}
+TABLE_CELLS = "path string, table_no int, table_name string, row_no int, col_idx int, column string, value string"
+TABLE_TEXTS = "path string, table_no int, table_name string, rows bigint, content binary"
+
+
+def register_sheet_source(name: str, read: TableSource) -> None:
+    """Make a reader of workbooks available by name: bytes to the sheets in order, each with its name."""
+    SHEET_SOURCES[name] = read
+
+
+def register_table_extractor(name: str, read: TableSource) -> None:
+    """Make a finder of tables in documents available by name: bytes to the tables in order."""
+    TABLE_EXTRACTORS[name] = read
+
+
+def json_sheets(content: bytes) -> list[tuple[str | None, list[list[str]]]]:
+    """A workbook as a JSON object of sheets, each a list of rows; null cells are empty."""
+    return [(name, [["" if v is None else str(v) for v in row] for row in rows]) for name, rows in json.loads(content).items()]
+
+
+def pipe_tables(content: bytes) -> list[tuple[str | None, list[list[str]]]]:
+    """Pipe tables in plain text: runs of lines that begin and end with a bar; lines of dashes between bars are no rows."""
+    found: list[tuple[str | None, list[list[str]]]] = []
+    rows: list[list[str]] = []
+    for line in [*content.decode("utf-8", "replace").splitlines(), ""]:
+        body = line.strip()
+        if len(body) > 1 and body[0] == body[-1] == "|":
+            cells = [c.strip() for c in body[1:-1].split("|")]
+            if any(c.strip("-:") or not c for c in cells):
+                rows.append(cells)
+        elif rows:
+            found.append((None, rows))
+            rows = []
+    return found
+
+
+register_sheet_source("json", json_sheets)
+register_table_extractor("pipes", pipe_tables)
+
+
+def csv_table(content: bytes) -> list[tuple[str | None, list[list[str]]]]:
+    table = _rows_of(content)
+    return [] if table is None else [(None, [table[0], *table[1]])]
+
+
+def _tables_in(read: TableSource, content: bytes | None) -> list[tuple[str | None, list[list[str]]]]:
+    """The file's tables; none if it cannot be read, so that one bad file costs itself only."""
+    try:
+        return [] if content is None else [(name, rows) for name, rows in read(bytes(content)) if rows]
+    except Exception:  # noqa: BLE001 - readers are the user's own
+        return []
+
+
+def _cells_of(batches: Iterator[pa.RecordBatch], read: TableSource) -> Iterator[pa.RecordBatch]:
+    names = [f.split()[0] for f in TABLE_CELLS.split(", ")]
+    types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for number, (name, rows) in enumerate(_tables_in(read, content.as_py()), 1):
+                header = rows[0]
+                for start in range(0, len(rows), _BATCH_ROWS):
+                    cells = [(path, number, name, n, i, h, row[i - 1] if n and i <= len(row) else None)
+                             for n, row in enumerate(rows[start:start + _BATCH_ROWS], start) for i, h in enumerate(header, 1)]
+                    if cells:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells), types)], names)
+
+
+def table_cells(files: DataFrame, read: TableSource) -> DataFrame:
+    """Cells of all tables of many files (path, content); row 0 holds the header."""
+    return files.select("path", "content").mapInArrow(partial(_cells_of, read=read), TABLE_CELLS)
+
+
+def _texts_of(batches: Iterator[pa.RecordBatch], read: TableSource) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for number, (name, rows) in enumerate(_tables_in(read, content.as_py()), 1):
+                out = io.StringIO(newline="")
+                csv.writer(out, lineterminator="\n").writerows(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path]), pa.array([number], pa.int32()), pa.array([name], pa.string()), pa.array([len(rows) - 1], pa.int64()),
+                     pa.array([out.getvalue().encode("utf-8", "surrogatepass")], pa.binary())], [f.split()[0] for f in TABLE_TEXTS.split(", ")])
+
+
+def table_texts(files: DataFrame, read: TableSource) -> DataFrame:
+    """Each table of many files (path, content) as the CSV file that is written of it, with its number of rows."""
+    return files.select("path", "content").mapInArrow(partial(_texts_of, read=read), TABLE_TEXTS)
+
+
+def output_name(doc: Column, kind: str) -> Column:
+    """Name of a table's outputs without suffix: by document, sheet, or number."""
+    return {"csv": doc, "excel": naming.sheet_output_name(doc, F.col("table_name")), "pdf": naming.table_name(doc, F.col("table_no"))}[kind]
+
+
 CELLS = "path string, row_no int, col_idx int, column string, value string"
 _BATCH_ROWS = 20_000
 

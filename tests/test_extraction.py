@@ -1,8 +1,11 @@
+from dataclasses import replace
+
 import pytest
 
 from pagequarry.config import JobConfig
 from pagequarry.operators import report
 from pagequarry.plans import extraction
+from pagequarry.sources import folder
 
 
 @pytest.fixture()
@@ -53,10 +56,11 @@ def test_runs_over_a_folder(spark, config, tmp_path):
     assert hit["metadata"]["source_file"] == "md/legal/ExhibitA1_p2.md" and hit["metadata"]["page"] == 2
     assert hit["rank"] == 1 and "pears" in hit["content"] and hit["preview"].endswith("...")
 
-    # A second run passes over all but the unread PDF, which was not indexed.
+    # A second run passes over all but the unread PDF and the workbook that nothing reads, which were not indexed.
     second = by_name(extraction.run_extraction(spark, config))
     assert {n: r["status"] for n, r in second.items()} == {
-        "Exhibit A(1).pdf": "skipped", "web report.pdf": "skipped", "broken.pdf": "failed", "bank.csv": "skipped", "sheet.xlsx": "skipped"}
+        "Exhibit A(1).pdf": "skipped", "web report.pdf": "skipped", "broken.pdf": "failed", "bank.csv": "skipped", "sheet.xlsx": "failed"}
+    assert got["sheet.xlsx"]["error"] == "Unsupported file type" and got["broken.pdf"]["error"] is None
 
     odd = docs_dir(tmp_path, "odd [1]{2}*.pdf", b"more")
     assert by_name(extraction.run_extraction(spark, config))[odd]["status"] == "completed"
@@ -71,15 +75,42 @@ def test_runs_over_a_folder(spark, config, tmp_path):
     assert len(sources) == 1 and "figs" in sources.pop()
 
 
-def test_path_lists_by_size(spark, config, monkeypatch, tmp_path):
-    monkeypatch.setattr(extraction, "NAMED_PATHS", 0)
-    assert extraction.run_extraction(spark, config).summary.first()["successful"] == 3
-    monkeypatch.setattr(extraction, "BROADCAST_PATHS", -1)
+def test_every_name_gives_a_row_and_files_are_read_in_packs(spark, config, monkeypatch, tmp_path):
+    docs = tmp_path / "docs"
+    (docs / "_dir").mkdir()
+    for name in ("_x.pdf", ".x.pdf", "_dir/y.pdf"):
+        (docs / name).write_bytes(name.encode())
+    monkeypatch.setattr(folder, "PACK_FILES", 2)
+    run = extraction.run_extraction(spark, config)
+    s = run.summary.first()
+    assert (s["total_files"], s["successful"], s["failed"]) == (8, 6, 2)
+    assert {n for n, r in by_name(run).items() if r["status"] == "completed"} >= {"_x.pdf", ".x.pdf", "y.pdf"}
     name = docs_dir(tmp_path, "more.pdf", b"more")
-    assert by_name(extraction.run_extraction(spark, config))[name]["status"] == "completed"
+    again = by_name(extraction.run_extraction(spark, config))
+    assert again[name]["status"] == "completed" and again["_x.pdf"]["status"] == "skipped"
     assert extraction.search_run(spark, config, "apples", 1).first()["metadata"]["page"] == 1
 
 
+def test_sheets_tables_and_csv_files_of_a_run(spark, config, tmp_path):
+    docs_dir(tmp_path, "sheet.xlsx", b'{"Data (1)": [["a", "b"], [1, null], [2, "x,y"]], "Empty": [], "Only head": [["h"]]}')
+    docs_dir(tmp_path, "bad book.xlsx", b"not a workbook")
+    docs_dir(tmp_path, "Exhibit A(1).pdf", "intro\n| k | v |\n| --- | --- |\n| é | 1 |\n\f| only |\nend".encode())
+    run = extraction.run_extraction(spark, replace(config, embed=False, sheet_source="json", table_methods=("pipes",)))
+    got = by_name(run)
+    assert {n: (r["status"], r["pages"], r["md_files"], r["csv_files"]) for n, r in got.items()} == {
+        "Exhibit A(1).pdf": ("completed", 2, 2, 2), "web report.pdf": ("completed", 1, 1, 0), "broken.pdf": ("failed", 0, 0, 0),
+        "bank.csv": ("completed", 1, 1, 1), "sheet.xlsx": ("completed", 2, 2, 2), "bad book.xlsx": ("failed", 0, 0, 0)}
+    out = {r["doc_id"]: r["output_csv"] for r in run.outputs.collect()}
+    assert out["sheet"] == ["csv/other/sheet_Data1.csv", "csv/other/sheet_Onlyhead.csv"] and out["bank"] == ["csv/financial/bank.csv"]
+    body = {name: (tmp_path / "build" / name).read_text() for names in out.values() for name in names}
+    assert body == {"csv/other/sheet_Data1.csv": 'a,b\n1,\n2,"x,y"\n', "csv/other/sheet_Onlyhead.csv": "h\n", "csv/financial/bank.csv": "day,amount\n1,2.5\n2,3\n",
+                    "csv/legal/ExhibitA1_table1.csv": "k,v\né,1\n", "csv/legal/ExhibitA1_table2.csv": "only\n"}
+    md = {r["md_file"]: r["md"] for r in run.markdown.collect()}
+    assert "# sheet.xlsx - Sheet: Data (1)\n" in md["md/other/sheet_Data1.md"] and "No data" in md["md/other/sheet_Onlyhead.md"]
+    again = by_name(extraction.run_extraction(spark, replace(config, embed=False, sheet_source="json", table_methods=("pipes",))))
+    assert again["sheet.xlsx"]["status"] == "skipped"
+
+
 def test_empty_folder(spark, tmp_path):
     run = extraction.run_extraction(spark, JobConfig(input_dir=str(tmp_path / "none"), output_dir=str(tmp_path / "out")))
     s = run.summary.first()
