@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pagequarry.config import JobConfig
 from pagequarry.functions import naming, text
 from pagequarry.operators import (chunks, embed, incremental, pages, registry, report, rollup, search, tables)
+from pagequarry.plans import extraction
 from pagequarry.plans import inputs as I
 from pagequarry.plans import oracle as O
 from pagequarry.session import materialize, spread, work_folder
 from pagequarry.sources import files as file_sources
-from pagequarry.sources import stores, tabular
+from pagequarry.sources import folder, stores, tabular
 from pagequarry.streaming import incremental as stream
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -207,6 +208,62 @@ def incremental_stream(spark, sf):
     return stores.current_index(stores.index_log(spark, root, stream.RECORD)).select("doc_id", "path", "type", "category", "hash")
 
 
+# --- whole runs over a folder --------------------------------------------------------------
+
+def _corpus(spark, sf) -> JobConfig:
+    """The documents written as files, and a run's settings for them."""
+    root = work_folder(spark, "corpus")
+    I.write_corpus(spark, sf, f"{root}/in")
+    return JobConfig(input_dir=f"{root}/in", output_dir=f"{root}/out", sheet_source="json", table_methods=("pipes",))
+
+
+_RESULT = ("filename", "doc_id", "type", "category", "length", "hash", "status", "pages", "md_files", "csv_files")
+
+
+@query(f"WITH {O.CORPUS} SELECT file, length, hash FROM corpus_run")
+def folder_scan(spark, sf):
+    config = _corpus(spark, sf)
+    scan = folder.scan_folder(spark, config.input_dir)
+    return scan.select(F.array_join(F.slice(F.split("path", "/"), -2, 2), "/").alias("file"), "length", "hash")
+
+
+@query(f"WITH {O.CORPUS} SELECT {', '.join(c for c in _RESULT if c not in ('status', 'md_files'))}, 'completed' AS status, pages AS md_files FROM corpus_run")
+def full_run(spark, sf):
+    return extraction.run_extraction(spark, _corpus(spark, sf)).results.select(*_RESULT)
+
+
+@query(f"""WITH {O.CORPUS} SELECT count(*) AS total_files, count(*) AS processed, count(*) AS successful, 0::BIGINT AS failed, 0::BIGINT AS skipped,
+  CAST(sum(pages) AS BIGINT) AS total_pages, CAST(sum(pages) AS BIGINT) AS total_md_files, CAST(sum(csv_files) AS BIGINT) AS total_csv_files,
+  0::BIGINT AS embedded_docs, 0::BIGINT AS embedding_failures, CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS exit_code FROM corpus_run""")
+def full_run_summary(spark, sf):
+    return extraction.run_extraction(spark, _corpus(spark, sf)).summary.drop("processing_time")
+
+
+@query(f"""WITH {O.CORPUS} SELECT filename, r.doc_id, type, category, CASE WHEN quality = 0 THEN length + 1 ELSE length END AS length,
+  CASE WHEN quality = 0 THEN sha256(content || chr(10)) ELSE hash END AS hash, CASE WHEN quality = 0 THEN 'completed' ELSE 'skipped' END AS status,
+  CASE WHEN quality = 0 OR type = 'csv' THEN pages ELSE 0 END AS pages, CASE WHEN quality = 0 THEN pages ELSE 0 END AS md_files, CASE WHEN quality = 0 THEN csv_files ELSE 0 END AS csv_files
+  FROM corpus_run r JOIN corpus c USING (filename) LEFT JOIN labels l ON l.doc_id = source_id""")
+def second_run(spark, sf):
+    """A run, then one after the files of low quality documents have changed."""
+    config = _corpus(spark, sf)
+    extraction.run_extraction(spark, config)
+    I.change_corpus(spark, sf, config.input_dir)
+    return extraction.run_extraction(spark, config).results.select(*_RESULT)
+
+
+@query(f"""WITH {O.CORPUS}, named AS (SELECT c.doc_id % 4 AS kind, source, lang, n_chars, r.doc_id, category, source_id FROM corpus_run r JOIN corpus c ON c.doc_id = source_id)
+  SELECT 'csv/' || category || '/' || doc_id || '.csv' AS file, 'id,"source, lang"' || chr(10) || source_id || ',"' || source || ', ' || lang || '"' || chr(10) AS content FROM named WHERE kind = 2
+  UNION ALL SELECT 'csv/' || category || '/' || doc_id || '_Data.csv', 'id,chars' || chr(10) || source_id || ',' || coalesce(n_chars, 0) || chr(10) FROM named WHERE kind = 1
+  UNION ALL SELECT 'csv/' || category || '/' || doc_id || '_Notes.csv', 'note' || chr(10) FROM named WHERE kind = 1
+  UNION ALL SELECT 'csv/' || category || '/' || doc_id || '_table1.csv', 'id,source' || chr(10) || source_id || ',' || source || chr(10) FROM named WHERE source_id % 8 = 0""")
+def run_with_tables(spark, sf):
+    """The CSV files of a run as they are read back: of CSV files, of sheets and of tables found in pages."""
+    config = _corpus(spark, sf)
+    extraction.run_extraction(spark, config)
+    written = folder.scan_folder(spark, f"{config.output_dir}/csv", content=True)
+    return written.select(F.array_join(F.slice(F.split("path", "/"), -3, 3), "/").alias("file"), F.col("content").cast("string").alias("content"))
+
+
 # --- pages and Markdown ---------------------------------------------------------------------
 
 @query(f"WITH {O.PAGED} SELECT * FROM paged")

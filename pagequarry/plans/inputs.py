@@ -15,6 +15,7 @@ from pagequarry.functions import naming
 from pagequarry.operators import embed, pages, registry, tables
 from pagequarry.session import materialize, spread
 from pagequarry.sources.files import fingerprint, select_supported
+from pagequarry.sources.folder import write_named
 
 # Fixed values of the derived corpus.
 NAME_PARTS = ("Bank_Statement", "hearing_Transcript", "expert report", "Exhibit", "notes", "transcript of bank")
@@ -47,6 +48,35 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing(table(spark, sf_dir, "documents"))
 
 
+def corpus_files(docs: DataFrame) -> DataFrame:
+    """file, content and type of the documents as files of a folder: text, workbooks as JSON and CSV; some names are hidden ones, and
+    every eighth document holds a table."""
+    number = F.col("doc_id")
+    lang, source = F.coalesce("lang", F.lit("none")), F.coalesce("source", F.lit("none"))
+    hidden = F.when(number % 11 == 0, "_").when(number % 11 == 1, ".").otherwise("")
+    filename = F.concat(hidden, source, F.lit("_"), _pick(NAME_PARTS, number), F.lit(" ("), (number % 7).cast("string"), F.lit(") "),
+                        number.cast("string"), _pick(SUFFIXES, number))
+    bars = F.when(number % 8 == 0, F.format_string("\n| id | source |\n| --- | --- |\n| %d | %s |\n", number, source)).otherwise("")
+    sheets = F.format_string('{"Data": [["id", "chars"], [%d, %d]], "Notes": [["note"]]}', number, F.coalesce("n_chars", F.lit(0)))
+    csv = F.format_string('id,"source, lang"\n%d,"%s, %s"\n', number, source, lang)
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(
+        F.col("doc_id").alias("source_id"), F.concat(lang, F.lit("/"), filename).alias("file"),
+        F.when(number % 4 == 1, sheets).when(number % 4 == 2, csv).otherwise(F.concat(text, bars)).alias("content"))
+
+
+def write_corpus(spark: SparkSession, sf_dir: str, root: str) -> int:
+    """Write the documents' files below ``root``; returns how many there are."""
+    return write_named(corpus_files(spread(table(spark, sf_dir, "documents"))), root).count()
+
+
+def change_corpus(spark: SparkSession, sf_dir: str, root: str) -> int:
+    """Write the files of low quality documents again, with a line more."""
+    low = labels(spark, sf_dir).filter("quality = 0")
+    changed = corpus_files(table(spark, sf_dir, "documents")).join(low.select("source_id"), "source_id", "left_semi")
+    return write_named(changed.withColumn("content", F.concat("content", F.lit("\n"))), root).count()
+
+
 def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supported files with id, type, category and hash, without their content."""
     supported = select_supported(listing(spread(table(spark, sf_dir, "documents"))))

@@ -36,6 +36,23 @@ FILES = f"""files AS (
         || doc_id || ({text_list(SUFFIXES)})[doc_id % {len(SUFFIXES)} + 1] AS filename
     FROM documents))"""
 
+# The documents as files of a folder, and what a run over them gives.
+CORPUS = f"""corpus AS (
+  SELECT *, lang || '/' || filename AS file, CASE doc_id % 4
+      WHEN 1 THEN '{{"Data": [["id", "chars"], [' || doc_id || ', ' || coalesce(n_chars, 0) || ']], "Notes": [["note"]]}}'
+      WHEN 2 THEN 'id,"source, lang"' || chr(10) || doc_id || ',"' || source || ', ' || lang || '"' || chr(10)
+      ELSE text || CASE WHEN doc_id % 8 = 0 THEN chr(10) || '| id | source |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || doc_id || ' | ' || source || ' |' || chr(10)
+        ELSE '' END END AS content FROM (
+    SELECT doc_id, n_chars, coalesce(text, '') AS text, coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+      CASE doc_id % 11 WHEN 0 THEN '_' WHEN 1 THEN '.' ELSE '' END || coalesce(source, 'none') || '_' || ({text_list(NAME_PARTS)})[doc_id % {len(NAME_PARTS)} + 1]
+        || ' (' || (doc_id % 7) || ') ' || doc_id || ({text_list(SUFFIXES)})[doc_id % {len(SUFFIXES)} + 1] AS filename
+    FROM documents)),
+  corpus_run AS (
+    SELECT file, filename, {DOC_ID} AS doc_id, {TYPE} AS type, {CATEGORY} AS category, strlen(content) AS length, sha256(content) AS hash,
+      CAST(CASE doc_id % 4 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE len(string_split(content, chr(12))) END AS INTEGER) AS pages,
+      CAST(CASE doc_id % 4 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE CAST(doc_id % 8 = 0 AS INTEGER) END AS INTEGER) AS csv_files, doc_id AS source_id
+    FROM corpus WHERE doc_id % 4 <> 3)"""
+
 ALL = FILES + f""", allfiles AS (
   SELECT source_id, path, filename, length, {DOC_ID} AS doc_id, {TYPE} AS type, {CATEGORY} AS category,
     sha256(content) AS hash FROM files)"""
