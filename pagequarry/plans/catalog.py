@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.config import JobConfig
 from pagequarry.functions import naming, text
-from pagequarry.operators import (chunks, embed, incremental, pages, registry, report, rollup, search, tables)
+from pagequarry.operators import (chunks, embed, incremental, ivf, pages, registry, report, rollup, search, tables)
 from pagequarry.plans import extraction
 from pagequarry.plans import inputs as I
 from pagequarry.plans import oracle as O
@@ -644,6 +644,34 @@ def search_lsh(spark, sf):
     return _rounded(search.search_lsh(model, stored, I.mean_vector(spark, sf)))
 
 
+def _ivf_hits(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, ivf.IvfModel]:
+    """Every vector whose id is divisible by 20 asks for its five nearest: exact hits, approximate hits, cells read."""
+    stored = I.vectors(spark, sf)
+    model = ivf.build_ivf(stored, work_folder(spark, "ivf"))
+    queries = materialize(stored.filter(F.col("chunk_id").cast("long") % 20 == 0).select(F.col("chunk_id").alias("query_id"), "embedding"), "queries")
+    exact = search.search_batch(stored, queries)
+    return exact, ivf.search_ivf(spark, model, queries), ivf.probed_cells(model, queries), model
+
+
+@query()
+def search_ivf(spark, sf):
+    return _rounded(_ivf_hits(spark, sf)[1])
+
+
+@query("""SELECT count(*) AS queries, count(*) * least(5, (SELECT count(*) FROM embeddings)) AS hits, true AS recall_reached, true AS few_cells_read
+  FROM embeddings WHERE vec_id % 20 = 0""")
+def search_ivf_quality(spark, sf):
+    """Whether at least nine tenths of the exact hits are found and each query reads less than a fifth of the cells."""
+    exact, found, cells, model = _ivf_hits(spark, sf)
+    found = materialize(found, "hits")
+    reach = exact.groupBy("query_id").agg(F.max("l2_distance").alias("reach"))
+    hit = found.join(reach, "query_id").agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("hits"),
+                                            F.count_if(F.col("l2_distance") <= F.col("reach") + 1e-9).alias("right"))
+    read = cells.groupBy("query_id").count().agg(F.max("count").alias("most"))  # one row each
+    return hit.join(F.broadcast(read)).select("queries", "hits", (F.col("right") >= 0.9 * F.col("hits")).alias("recall_reached"),
+                                              (F.col("most") < 0.2 * len(model.centroids)).alias("few_cells_read"))
+
+
 _DOUBLE = "CAST(embedding AS DOUBLE[])"
 _INCOMING = f"""incoming AS (
   SELECT CAST(vec_id AS VARCHAR) AS chunk_id, label, list_transform({_DOUBLE}, lambda x: -x) AS embedding
