@@ -15,7 +15,7 @@ from pagequarry.plans import inputs as I
 from pagequarry.plans import oracle as O
 from pagequarry.session import materialize, spread, work_folder
 from pagequarry.sources import files as file_sources
-from pagequarry.sources import folder, stores, tabular
+from pagequarry.sources import csv_blocks, folder, stores, tabular
 from pagequarry.streaming import incremental as stream
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -264,6 +264,17 @@ def run_with_tables(spark, sf):
     return written.select(F.array_join(F.slice(F.split("path", "/"), -3, 3), "/").alias("file"), F.col("content").cast("string").alias("content"))
 
 
+@query("SELECT doc_id, nullif(source, '') AS source, sha256(text) AS hash, CAST(length(text) AS INTEGER) AS chars FROM documents")
+def csv_parallel(spark, sf):
+    """The documents as CSV with quoted line breaks, read back in blocks of 256 KB."""
+    root = work_folder(spark, "csv-text")
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in ("source", "text")]
+    I.table(spark, sf, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), *quoted)).write.text(root)
+    listed = folder.scan_folder(spark, root, suffixes=".txt").select("path", "length")
+    table = csv_blocks.read_csv_blocks(spark, listed, root, "doc_id long, source string, text string", block_bytes=1 << 18, header=False)
+    return table.select("doc_id", "source", F.sha2("text", 256).alias("hash"), F.length("text").alias("chars"))
+
+
 # --- pages and Markdown ---------------------------------------------------------------------
 
 @query(f"WITH {O.PAGED} SELECT * FROM paged")

@@ -67,10 +67,11 @@ class FilePack(InputPartition):
 
 
 class FolderReader(DataSourceReader):
-    """Options: path; anyCase (suffixes in any case); content (true: with contents); packBytes, blockBytes, contentLimit."""
+    """Options: path; suffixes (comma-separated); anyCase (suffixes in any case); content (true: with contents); packBytes, blockBytes, contentLimit."""
 
     def __init__(self, options: dict[str, str]):
         self.root = options["path"]
+        self.suffixes = tuple(options.get("suffixes", ",".join(FILE_TYPES)).split(","))
         self.any_case = options.get("anycase", "false").lower() == "true"
         self.keep = int(options.get("contentlimit", CONTENT_LIMIT)) if options.get("content", "false").lower() == "true" else 0
         self.pack_bytes, self.block = int(options.get("packbytes", PACK_BYTES)), int(options.get("blockbytes", BLOCK_BYTES))
@@ -82,7 +83,7 @@ class FolderReader(DataSourceReader):
         found = fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
         for f in sorted((f for f in found if f.type == pafs.FileType.File), key=lambda f: f.path):
             name = f.path.lower() if self.any_case else f.path
-            if not name.endswith(tuple(FILE_TYPES)):
+            if not name.endswith(self.suffixes):
                 continue
             if pack and (size + f.size > self.pack_bytes or len(pack) == PACK_FILES):
                 packs.append(FilePack(pack))
@@ -112,7 +113,7 @@ class FolderSource(DataSource):
         return FolderReader(self.options)
 
 
-def scan_folder(spark: SparkSession, root: str, any_case: bool = False, content: bool = False, **options: int) -> DataFrame:
+def scan_folder(spark: SparkSession, root: str, any_case: bool = False, content: bool = False, **options: int | str) -> DataFrame:
     """Supported files below ``root`` with their SHA-256. Rows without a hash could not be read; ``error`` says why."""
     spark.dataSource.register(FolderSource)
     reader = spark.read.format("corpus_folder").option("anyCase", str(any_case)).option("content", str(content))

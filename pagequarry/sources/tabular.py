@@ -154,6 +154,18 @@ CELLS = "path string, row_no int, col_idx int, column string, value string"
 _BATCH_ROWS = 20_000
 
 
+def header_names(names: list[str]) -> list[str]:
+    """Column names of a header row: empty ones are numbered from 0, repeated ones get a suffix."""
+    seen: dict[str, int] = {}
+    header = []
+    for i, name in enumerate(names):
+        name = name or f"Unnamed: {i}"
+        again = seen.get(name, 0)
+        seen[name] = again + 1
+        header.append(f"{name}.{again}" if again else name)
+    return header
+
+
 def _rows_of(content: bytes) -> tuple[list[str], list[list[str]]] | None:
     """Header and rows of one CSV file; None when it cannot be read as a table."""
     try:
@@ -166,13 +178,7 @@ def _rows_of(content: bytes) -> tuple[list[str], list[list[str]]] | None:
     labels = max(0, len(lines[1]) - len(lines[0])) if len(lines) > 1 else 0
     if any(len(r) > len(lines[0]) + labels for r in lines):
         return None
-    seen: dict[str, int] = {}
-    header = []
-    for i, name in enumerate(lines[0]):
-        name = name or f"Unnamed: {i}"
-        again = seen.get(name, 0)
-        seen[name] = again + 1
-        header.append(f"{name}.{again}" if again else name)
+    header = header_names(lines[0])
     return header, [r[labels:] for r in lines[1:]]
 
 
