@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pagequarry.session import materialize
 
 TRAIN_DOCS = 4000  # about so many documents of each language are learned from, picked by hash: bounds what is broadcast
-LONGEST = 24  # letters of a word that can be known
 ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
 UNKNOWN = "und"
@@ -41,7 +40,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         by: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            by.setdefault(lang, Counter()).update(w for w in _LETTERS.findall((text.as_py() or "").lower()) if len(w) <= LONGEST)
+            by.setdefault(lang, Counter()).update(_LETTERS.findall((text.as_py() or "").lower()))
         rows = [(lang, w, n) for lang, c in by.items() for w, n in c.items()]
         if rows:
             lang, word, n = zip(*rows)
@@ -185,6 +184,14 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def keep_known_language(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told (``und``); all columns."""
-    known = predicted(F.col("text"), train(docs))["lang_pred"] != UNKNOWN
-    return docs.where(known)
+    """``docs`` without the rows whose language the model cannot tell; all columns, whatever their names.
+
+    Rejected are ``und``, so null and empty texts and texts without a letter, and texts of which the model knows no word and no n-gram, which leaves all languages
+    with equal shares: text in a script or of letters that no language was learned with. A tie of known words stays. Long texts are judged whole,
+    repeated rows alike, null ids like others; rows learn the model only if they have a lang. Where nothing could be learned every row goes; with one
+    language every row with a letter stays. An empty table gives no rows.
+    """
+    model = train(docs)
+    told = predicted(F.col("text"), model)
+    shares = F.lit((1 + 1e-9) / len(model.langs) if len(model.langs) > 1 else 0.0)
+    return docs.where((told["lang_pred"] != UNKNOWN) & (told["score"] > shares))
