@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.llm.tokens import plain_words, rolling, word_hashes
+from pagequarry.operators.membership import split_members, without_members
 from pagequarry.session import materialize
 
 MASKS = ("111111", "1101111", "1110111", "110100000111")  # 1: the word counts, 0: it is ignored
 MIN_MATCH = 13  # equal words of an overlap; of a shorter item, all its words
 MIN_SHARE = 0.8  # equal words of an overlap's length
 FILTER_BITS = 23  # of the bitmap that holds documents' hashes back which no item can have: 8 MB in each task
-SHORT = 5  # words of the shortest item that is looked for
+SHORTEST_ITEM = 5  # default of the parameter: shorter items are phrases that clean documents have too
 
 
 def _offsets(mask: str) -> tuple[int, ...]:
@@ -43,13 +44,13 @@ _ITEM = "seed bigint, item_id bigint, item_at int, run int"
 _DOC = "seed bigint, doc_id bigint, _text bigint, doc_at int"
 
 
-def _item_seeds(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+def _item_seeds(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...], shortest: int) -> Iterator[pa.RecordBatch]:
     longest = max(map(len, masks))
     for batch in batches:
         for item, text in zip(batch.column(0), batch.column(1)):
             hashes = word_hashes(plain_words(text.as_py()))
             n = len(hashes)
-            if n < SHORT:
+            if n < max(shortest, 1):
                 continue
             for seed, run in _seeds(hashes, masks, (n,) if n < longest else ()):
                 yield pa.RecordBatch.from_arrays(
@@ -116,10 +117,10 @@ def _verify(batches: Iterator[pa.RecordBatch], min_match: int, min_share: float)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
 
-def _overlaps(docs: DataFrame, benchmark: DataFrame, min_match: int, min_share: float) -> DataFrame:
+def _overlaps(docs: DataFrame, benchmark: DataFrame, min_match: int, min_share: float, shortest_item: int) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text")) \
         .where("item_id is not null and item_text is not null")
-    item_seeds = materialize(items.mapInArrow(partial(_item_seeds, masks=MASKS), _ITEM), "item-seeds")
+    item_seeds = materialize(items.mapInArrow(partial(_item_seeds, masks=MASKS, shortest=shortest_item), _ITEM), "item-seeds")
     # at most 2^FILTER_BITS numbers, and fewer lengths than the longest mask has places, come to the driver
     bits = item_seeds.select(F.expr(f"cast(seed & {(1 << FILTER_BITS) - 1} as int)").alias("b")).distinct().toArrow().column(0)
     bitmap = np.zeros(1 << FILTER_BITS, bool)
@@ -134,27 +135,35 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, min_match: int, min_share:
     hits = texts.select("doc_id", "_text", "text").mapInArrow(seeds, _DOC).join(item_seeds, "seed")
     met = (hits.groupBy("doc_id", "_text", "item_id").agg(F.collect_set(F.expr("doc_at - item_at")).alias("diagonals"))
            .join(items, "item_id").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key"), "item_id", "item_text", "diagonals"))
-    joined = texts.join(met, F.expr("doc_id <=> _id and _text = _key"))
+    met = materialize(met, "met")
+    hit, _ = split_members(texts, [F.col("doc_id"), F.col("_text")], met.select("_id", "_key"))  # only texts with a hit move
+    joined = hit.join(met, F.expr("doc_id <=> _id and _text = _key"))
     return joined.select("doc_id", "_text", "text", "item_id", "item_text", "diagonals").mapInArrow(
         partial(_verify, min_match=min_match, min_share=min_share),
         "doc_id bigint, _text bigint, item_id bigint, start_word int, end_word int, equal_words int, item_words int")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, min_share: float = MIN_SHARE) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, min_share: float = MIN_SHARE,
+                  shortest_item: int = SHORTEST_ITEM) -> DataFrame:
     """A row for each document of ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text) that overlap.
 
     doc_id, item_id, the best overlap's place in the document's plain words (end exclusive), its equal words and the
     item's length. An overlap needs ``min_match`` equal words, or all of a shorter item, and ``min_share`` of its
     length equal; of several the one with the most equal words counts. None is missed unless less is asked for than
-    ``MIN_MATCH`` and ``MIN_SHARE``. Items of fewer than ``SHORT`` words are not looked for; of items of fewer than ``min_match`` only whole copies.
+    ``MIN_MATCH`` and ``MIN_SHARE``. Items of fewer than ``shortest_item`` words are not looked for; of items of fewer than ``min_match`` only whole copies.
 
-    Null and empty texts and null item ids meet nothing. Rows with a null doc_id are judged like others. Equal rows give
-    equal results; rows that repeat a doc_id with other texts each give theirs. Other columns are ignored.
+    Null and empty texts and null item ids meet nothing; long texts are compared whole. Rows with a null doc_id are judged like others. Equal rows give
+    equal results; rows that repeat a doc_id with other texts each give theirs. Of equal overlaps the first counts. Other columns are ignored, whatever
+    their names. Empty ``docs`` or an empty ``benchmark`` give no rows.
     """
-    return _overlaps(docs, benchmark, min_match, min_share).drop("_text")
+    return _overlaps(docs, benchmark, min_match, min_share, shortest_item).drop("_text")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that overlap an item; all columns."""
-    gone = _overlaps(docs, benchmark, MIN_MATCH, MIN_SHARE).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key")).distinct()
-    return docs.join(gone, F.expr("doc_id <=> _id and xxhash64(text) = _key"), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shortest_item: int = SHORTEST_ITEM) -> DataFrame:
+    """``docs`` without the rows that overlap an item; all columns, whatever their names. No text is shuffled but those with a hit.
+
+    Null and empty texts stay, as does everything against an empty benchmark. Rows with a null doc_id and rows that repeat one go by their own text; equal rows go together.
+    Long texts are compared whole. An empty table gives no rows.
+    """
+    gone = _overlaps(docs, benchmark, MIN_MATCH, MIN_SHARE, shortest_item).select("doc_id", "_text")
+    return without_members(docs, [F.col("doc_id").cast("long"), F.xxhash64("text")], gone)
