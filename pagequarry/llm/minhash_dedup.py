@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.llm.components import components
 from pagequarry.llm.tokens import lower_ascii, mix, rolling, word_hashes, words
+from pagequarry.operators.membership import split_members, without_members
 from pagequarry.session import materialize
 
 SHINGLE = 5
@@ -205,7 +206,8 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, distance: int = DISTANCE
     sizes = (groups.join(classes.select("id", "n_shingles"), "id").groupBy("root")
              .agg(F.ceil(need).cast("int").alias("blocks")))
     members = materialize(groups.join(sizes, "root").select("id", "root", "blocks"), "members")
-    sets = (slim.join(members, slim.doc_id == members.id).select("id", "root", "blocks", "text")
+    near_texts, _ = split_members(slim, [F.col("doc_id")], members.select("id"))  # only texts that may have a link move
+    sets = (near_texts.join(members, F.col("doc_id") == F.col("id")).select("id", "root", "blocks", "text")
             .mapInArrow(_sets, "id bigint, root bigint, blocks int, shingles binary"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
     paired = (sets.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -229,6 +231,9 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, distance: int = DISTANCE
 
 
 def drop_near_copies(docs: DataFrame, percent: int = COPY_PERCENT) -> DataFrame:
-    """``docs`` without the documents that near_dedup does not keep at ``percent``; all columns."""
-    gone = near_dedup(docs, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
+    """``docs`` without the documents that near_dedup does not keep at ``percent``; all columns, whatever their names. Of each group the smallest doc_id stays.
+
+    Null and empty texts stay, as do rows with a null doc_id; rows that repeat a doc_id stay or go together. Long texts count whole. An empty table gives no rows.
+    """
+    gone = near_dedup(docs, percent).where("not kept").select("doc_id")
+    return without_members(docs, [F.col("doc_id").cast("long")], gone)
