@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagequarry.operators.membership import split_members
 from pagequarry.session import materialize
 
 # Fixed values of the scan: kind, pattern, group that holds the value, shortest value.
@@ -124,20 +125,29 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
 
 
 def mask_live(docs: DataFrame) -> DataFrame:
-    """``docs`` (columns kept) with live-looking values' spans masked in the text; n_chars, if there, follows it."""
-    live = owned_values(materialize(scan(docs).where("size(_base) + size(_more) > 0"), "secrets")).where("size(_live) > 0").select(F.col("doc_id").alias("_id"), "_text", "_live")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    joined = keyed.join(live, F.expr("doc_id <=> _id and _key = _text"), "left")
+    """``docs`` (columns kept, whatever their names) with live-looking values' spans masked in the text; n_chars, if there, follows it.
+
+    No text moves but those with a live value. Null and empty texts are left alone. Rows with a null doc_id, and rows that repeat one, are masked by their own
+    text; equal rows alike. Overlapping spans are masked once. Long texts are scanned whole. An empty table gives no rows.
+    """
+    live = materialize(owned_values(materialize(scan(docs).where("size(_base) + size(_more) > 0"), "secrets")).where("size(_live) > 0")
+                       .groupBy("doc_id", "_text").agg(F.array_distinct(F.flatten(F.collect_list("_live"))).alias("_live")), "live")
+    key = [F.col("doc_id"), F.xxhash64("text")]
+    hit, clean = split_members(docs, key, live.select("doc_id", "_text"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # the row's own names stay out of the join
+    joined = hit.select(row, key[0].alias("id"), key[1].alias("key")).join(
+        live.select(F.col("doc_id").alias("of"), "_text", "_live"), F.expr("id <=> of and key = _text"))
+    text = F.col("row")["text"]
     spans = F.array_sort(F.transform("_live", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
 
     def cut(acc: Column, x: Column) -> Column:
         fresh = x["s"] >= acc["at"]  # a span inside an earlier one is masked already
-        piece = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["s"] - acc["at"]), F.lit(MASK))
+        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(MASK))
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(fresh, piece).otherwise(acc["out"]).alias("out"))
 
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut)
-    masked = F.transform(F.array(done), lambda x: F.concat(x["out"], F.substring(F.col("text"), x["at"] + 1, F.length(F.col("text")))))[0]
-    out = joined.withColumn("text", F.when(F.col("_live").isNull(), F.col("text")).otherwise(masked))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_live").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    masked = F.transform(F.array(done), lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))[0]
+    told = joined.select("row", masked.alias("masked"))
+    types = dict(docs.dtypes)
+    value = {"text": F.col("masked"), "n_chars": F.length("masked").cast(types.get("n_chars", "long"))}
+    return told.select(*(value.get(c, F.col("row")[c]).alias(c) for c in docs.columns)).unionByName(clean)
