@@ -64,6 +64,10 @@ def _frequencies(docs: DataFrame) -> tuple[dict[str, int], int]:
     return found, found.pop("", 0)
 
 
+# Words that the Affero licence has, in its title and its own section, and the GPL, which names it too, has not.
+AFFERO = ("gnu affero general public license version 3", "interacting with it remotely through a computer network")
+
+
 class Matcher:
     def __init__(self, frequencies: dict[str, int], documents: int):
         self.top = math.log(documents + 1) + 1
@@ -96,29 +100,28 @@ class Matcher:
         """
         return self._best(Counter(found), NOTICE_TERMS, self.templates, least)
 
-    def whole(self, own: Counter, head: list[str]) -> tuple[float, str]:
+    def whole(self, own: Counter, flat: str) -> tuple[float, str]:
         """The best cosine to the text of a licence, of a file with these terms, if it reaches ``TEXT_COSINE``."""
         cosine, name = self._best(own, VOCABULARY, self.texts, TEXT_COSINE)
         if cosine < TEXT_COSINE:
             return 0.0, ""
-        # the Affero text is the GPL's but for a section
-        return cosine, "AGPL-3.0" if name == "GPL-3.0" and "affero" in head else name
+        # the Affero text is the GPL's but for its title and a section
+        return cosine, "AGPL-3.0" if name == "GPL-3.0" and any(p in flat for p in AFFERO) else name
 
     def text(self, text: str | None) -> tuple[str | None, float, float]:
         """The licence whose text this is, or the best of any sentence or line; its cosine, and the share of the text's
         terms that state it."""
         best, size, total = (0.0, ""), 0, 0
         own: Counter = Counter()
-        head: list[str] = []
+        flat: list[str] = []
         for part in _SPLIT.split(text or ""):
             found = terms(part)
             total += len(found)
             own.update(found)
-            if len(head) < 10:
-                head += found
+            flat += found
             if (c := self.line(found, best[0])) > best:
                 best, size = c, len(found)
-        cosine, name = self.whole(own, head[:10])
+        cosine, name = self.whole(own, " ".join(flat))
         if name:
             return name, cosine, 1.0
         return (best[1] if best[0] >= LEAST_COSINE else None), best[0], size / max(total, 1)
