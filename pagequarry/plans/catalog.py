@@ -397,11 +397,29 @@ def page_estimate(spark, sf):
     return pages.page_estimate(pages.page_rows(layer, F.col("doc_id"), F.col("page"), F.col("text")), full)
 
 
-@query(f"""WITH t AS (SELECT CAST(page_id AS VARCHAR) AS doc_id, {O.html_text('html')} AS text FROM pages)
-  SELECT doc_id, 1 AS page, text, CAST(length(text) AS INTEGER) AS text_length FROM t""")
-def page_text_html(spark, sf):
+_HTML_TEXT = f"""WITH t AS (SELECT CAST(page_id AS VARCHAR) AS doc_id, {O.html_text('html')} AS text FROM pages)
+  SELECT doc_id, 1 AS page, text, CAST(length(text) AS INTEGER) AS text_length FROM t"""
+
+
+def _html_pages(spark, sf, method: str) -> DataFrame:
     html = spread(I.table(spark, sf, "pages")).select(F.col("page_id").cast("string").alias("doc_id"), F.col("html").alias("content"))
-    return pages.extract_pages(html, ["html"]).drop("method")
+    return pages.extract_pages(html.withColumn("content", F.col("content").cast("binary")), [method]).drop("method")
+
+
+@query(_HTML_TEXT)
+def page_text_html(spark, sf):
+    """Text by built-in patterns."""
+    return _html_pages(spark, sf, "html_patterns")
+
+
+# entities of the pages that the patterns leave as they are: named characters, and one without its semicolon
+_NAMED = "(SELECT page_id, regexp_replace(replace(replace(html, '&copy;', chr(169)), '&middot;', chr(183)), '&amp([^;]|$)', '&amp;\\1', 'g') AS html FROM pages)"
+
+
+@query(_HTML_TEXT.replace("FROM pages", f"FROM {_NAMED}"))
+def page_text_scanned(spark, sf):
+    """Text by the scanner that runs use; on pages that close what they open it agrees with the patterns but for more entities."""
+    return _html_pages(spark, sf, "html")
 
 
 # --- tabular files --------------------------------------------------------------------------

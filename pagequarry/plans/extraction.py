@@ -1,8 +1,8 @@
 """One whole run: scan a folder, process what is new, store the results, report.
 
 Everything is written below ``config.output_dir``, which all executors must share:
-``index/`` (record log), ``md/`` (rendered pages), ``csv/`` (a file per table), ``logs/`` (events) and,
-when embedding, ``chunks/``, ``vectors/`` and ``model/``. Each run adds ``batch_id=<run>`` folders, but for ``csv/``, where a
+``index/`` (keyed log of records), ``md/`` (rendered pages), ``csv/`` (a file per table), ``logs/`` (events) and,
+when embedding, ``chunks/``, ``vectors/`` (keyed log) and ``model/``. Each run adds ``batch_id=<run>`` folders or a segment of a log; in ``csv/``, a
 document's newer tables replace its older ones.
 """
 
@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pagequarry.config import UNSUPPORTED_ERROR, JobConfig
 from pagequarry.functions import naming
@@ -22,6 +23,7 @@ from pagequarry.operators import chunks, embed, incremental, pages, registry, re
 from pagequarry.session import materialize
 from pagequarry.sources import stores, tabular
 from pagequarry.sources.folder import read_named, scan_folder, write_named
+from pagequarry.sources.keyed_log import KeyedLog
 
 RECORD = ("doc_id string, path string, filename string, type string, category string, log string, length bigint, hash string, "
           "pages int, md_files int, csv_files int, status string, created string, "
@@ -50,7 +52,8 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
     root = config.output_dir.rstrip("/")
     scan = scan_folder(spark, config.input_dir)
     found = materialize(registry.register(scan.select("path", naming.base_name(F.col("path")).alias("filename"), "length", "hash")), "registry")
-    known = stores.current_index(stores.index_log(spark, root, RECORD))
+    index = KeyedLog(spark, f"{root}/index", RECORD, "doc_id")
+    known = index.latest().drop("batch_id")
     flagged = incremental.incremental_split(found, known, config)
     winners = registry.last_record_wins(flagged.filter("is_new").select("doc_id", "path"), "path")
     split = materialize(flagged.join(winners.select("path", F.lit(True).alias("wins")), "path", "left")
@@ -82,7 +85,7 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
             .withColumn("pages", F.when(~F.col("wanted") & F.col("is_new"), 0).when(F.col("type") == "csv", 1).when(F.col("type") == "csv", 1).otherwise(F.coalesce("md_files", F.lit(0))))
             .fillna(0, ["md_files", "csv_files"]).withColumn("created", F.lit(run_time)))
     if config.embed:
-        chunk_counts = _embed(markdown, root, batch_id, config).join(split.filter("wanted").select("doc_id", "path"), "doc_id")
+        chunk_counts = _embed(markdown, split.filter("wanted").select("doc_id"), root, batch_id, config).join(split.filter("wanted").select("doc_id", "path"), "doc_id")
         done = embed.embedding_outcome(done, chunk_counts, "parquet", key="path")
     else:
         done = done.withColumn("embeddings", F.lit(None).cast("struct<status:string,vector_db:string,chunk_count:int,error:string>"))
@@ -91,7 +94,7 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
     # A PDF without pages, or a workbook that nothing reads, is reported but not indexed, so that the next run tries it again.
     fields = [f.split()[0] for f in RECORD.split(", ")]
     indexed = results.filter("wanted and not (type = 'pdf' and pages = 0) and error is null")
-    indexed.select(*fields).write.mode("overwrite").parquet(f"{root}/index/batch_id={batch_id}")
+    index.upsert(indexed.select(*fields), batch_id)
     stores.append_events(report.doc_events(results, run_time, datetime.now().isoformat()), f"{root}/logs", batch_id)
     page_results = markdown.select("doc_id", "page", "md_file")
     table_results = csv_files.select("doc_id", "method", F.col("table_no").alias("table_idx"), "csv_file")
@@ -126,7 +129,7 @@ def _write_tables(spark: SparkSession, content, readers: dict[str, list[tabular.
     return written
 
 
-def _embed(markdown: DataFrame, root: str, batch_id: int, config: JobConfig) -> DataFrame:
+def _embed(markdown: DataFrame, processed: DataFrame, root: str, batch_id: int, config: JobConfig) -> DataFrame:
     """Chunk and embed the run's Markdown; returns chunk counts per document.
 
     The model is fitted by the first run and kept, so that vectors of all runs can be compared.
@@ -138,7 +141,10 @@ def _embed(markdown: DataFrame, root: str, batch_id: int, config: JobConfig) ->
     if embedder is None:
         embedder = embed.EMBEDDERS[config.embedding_model].fit(made)
         embedder.save(f"{root}/model")
-    embedder.embed(made).write.mode("overwrite").parquet(f"{root}/vectors/batch_id={batch_id}")
+    vectors = embedder.embed(made)
+    # a processed document without a chunk replaces its earlier vectors by a row without one
+    gone = processed.join(made.select(F.col("source_doc_id").alias("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("source_doc_id"))
+    _vectors(spark=made.sparkSession, root=root, schema=vectors.schema).upsert(vectors.unionByName(gone, allowMissingColumns=True), batch_id)
     return made.groupBy(F.col("source_doc_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("chunk_count"))
 
 
@@ -151,27 +157,35 @@ def load_embedder(path: str, config: JobConfig):
         return None
 
 
-def stored_vectors(spark: SparkSession, config: JobConfig) -> DataFrame | None:
-    """Vectors of all runs, for each document those of the run that its latest index entry names; None before the first.
+def _vectors(spark: SparkSession, root: str, schema: StructType) -> KeyedLog:
+    return KeyedLog(spark, f"{root}/vectors", schema, "source_doc_id")
 
-    Vectors of a run that died before it wrote its index are named by no entry and stay out.
-    """
+
+def stored_vectors(spark: SparkSession, config: JobConfig) -> DataFrame | None:
+    """For each document the vectors of the last run that processed it; None before the first. However many runs there were, a
+    read opens a few sorted segments."""
     root = config.output_dir.rstrip("/")
     try:
-        vectors = spark.read.parquet(f"{root}/vectors")
+        schema = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/vectors/segments").schema
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    latest = (stores.index_log(spark, root, RECORD).groupBy(F.col("doc_id").alias("source_doc_id"))
-              .agg(F.max("batch_id").alias("batch_id")))
-    return vectors.join(latest, ["source_doc_id", "batch_id"], "left_semi")
+    return _vectors(spark, root, schema).latest().filter(F.col("chunk_id").isNotNull())
 
 
-def search_run(spark: SparkSession, config: JobConfig, query: str, k: int | None = None) -> DataFrame | None:
-    """The k chunks nearest to a text; None when nothing has been embedded yet."""
+def search_run(spark: SparkSession, config: JobConfig, query: str, k: int | None = None, condition: Column | None = None) -> DataFrame | None:
+    """The k chunks nearest to a text, among those whose metadata meets ``condition``; None when nothing has been embedded yet."""
     vectors = stored_vectors(spark, config)
     if vectors is None:
         return None
+    if condition is not None:
+        vectors = vectors.filter(condition)
     embedder = load_embedder(f"{config.output_dir.rstrip('/')}/model", config)
     return search.format_hits(search.search_documents(vectors, embedder, query, k or config.search_k))
+
+
+def export_index(spark: SparkSession, config: JobConfig, path: str) -> None:
+    """Write the current index as JSON lines."""
+    root = config.output_dir.rstrip("/")
+    stores.export_index_json(KeyedLog(spark, f"{root}/index", RECORD, "doc_id").latest().drop("batch_id"), path)

@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagequarry.config import JobConfig
 from pagequarry.operators import report
@@ -71,6 +72,11 @@ def test_runs_over_a_folder(spark, config, tmp_path):
     (docs / "ExhibitA1.pdf").write_bytes(b"and about figs")
     third = by_name(extraction.run_extraction(spark, config))
     assert (third["Exhibit A(1).pdf"]["status"], third["ExhibitA1.pdf"]["status"]) == ("superseded", "completed")
+    # Searches among some chunks only, and the index as JSON lines.
+    few = extraction.search_run(spark, config, "quinces", 5, F.col("category") == "financial")
+    assert {r["metadata"]["source_file"] for r in few.collect()} == {"md/financial/bank.md"}
+    extraction.export_index(spark, config, str(tmp_path / "index.json"))
+    assert {r["doc_id"]: r["status"] for r in spark.read.json(str(tmp_path / "index.json")).collect()}.items() >= {("ExhibitA1", "completed"), ("bank", "completed")}
     sources = {r["chunk"] for r in extraction.stored_vectors(spark, config).filter("source_doc_id = 'ExhibitA1'").collect()}
     assert len(sources) == 1 and "figs" in sources.pop()
 
