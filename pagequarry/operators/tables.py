@@ -217,6 +217,78 @@ def render_cell_tables(cells: DataFrame, files: DataFrame, run_time: str) -> Dat
                         naming.md_path(cat, output).alias("md_file"), naming.csv_path(cat, output).alias("csv_file"), md.alias("md"))
 
 
+def _shown(values: pd.Series) -> pd.Series:
+    """Numbers as a table shows them; of texts those that are numbers, marked as whole or not, and null for the others."""
+    if values.dtype != object:
+        return values.map("{:g}".format)
+
+    def text(v: str | None) -> str | None:
+        try:
+            shown = f"f{float('nan' if v is None else v):g}"
+        except ValueError:
+            return None
+        try:
+            int(v)
+        except (TypeError, ValueError):
+            return shown
+        return "i" + shown[1:]
+
+    return values.map(text)
+
+
+def _fraction(cell: Column) -> Column:
+    """Characters after the decimal point, or the exponent mark; -1 for whole numbers."""
+    point, mark = F.locate(".", cell), F.locate("e", cell)
+    return F.when(point > 0, F.length(cell) - point).when(mark > 0, F.length(cell) - mark).otherwise(-1)
+
+
+def pipe_tables(sample: DataFrame, table_key: str, order: str, columns: list[str]) -> DataFrame:
+    """(table key, table): a pipe table of the rows of each table, by ``order``. Columns of numbers are right-aligned on their decimal point, all others left-aligned.
+
+    Alignment is by maxima over a table's few rows, which lie together already where the sample was taken.
+    """
+    types = {f.name: f.dataType for f in sample.schema.fields}
+    number = {c: isinstance(types[c], T.NumericType) and not isinstance(types[c], T.DecimalType) for c in columns}
+    asked = [c for c in columns if not isinstance(types[c], (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))]
+    shape = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(asked))])
+
+    @F.pandas_udf(shape)
+    def shown(*values: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({f"c{i}": _shown(v) for i, v in enumerate(values)})
+
+    if asked:
+        sample = sample.withColumn("_shown", shown(*(F.col(c).cast("double" if number[c] else "string") for c in asked)))
+    cells = {}
+    for i, c in enumerate(columns):
+        text, whole, g = F.coalesce(F.col(c).cast("string"), F.lit("nan")), F.lit(False), F.when(F.col(c).isNull(), "nan")
+        if isinstance(types[c], T.BooleanType):
+            text, g = F.initcap(text), F.lit(None).cast("string")
+        elif c in asked:
+            told = F.col("_shown")[f"c{asked.index(c)}"]
+            whole = F.col(c).isNotNull() & F.lit(isinstance(types[c], T.IntegralType)) if number[c] else F.coalesce(told.startswith("i"), F.lit(False))
+            g = F.coalesce(told, F.lit("nan")) if number[c] else F.substring(told, 2, 1000)
+        cells |= {f"_t{i}": text, f"_g{i}": g, f"_w{i}": whole}
+    w = Window.partitionBy(table_key)
+    n = range(len(columns))
+    rows = sample.select(table_key, order, *(v.alias(k) for k, v in cells.items()))
+    rows = rows.select(table_key, order, *(f"_t{i}" for i in n), *(f"_g{i}" for i in n), *(F.bool_and(F.col(f"_g{i}").isNotNull()).over(w).alias(f"_n{i}") for i in n),
+                       *(F.bool_and(f"_w{i}").over(w).alias(f"_w{i}") for i in n))
+    rows = rows.select(table_key, order, *(f"_n{i}" for i in n), *(F.when(F.col(f"_n{i}") & ~F.col(f"_w{i}"), F.col(f"_g{i}")).otherwise(F.col(f"_t{i}")).alias(f"_t{i}") for i in n))
+    rows = rows.withColumns({f"_f{i}": F.when(F.col(f"_n{i}"), F.max(_fraction(F.col(f"_t{i}"))).over(w) - _fraction(F.col(f"_t{i}"))).otherwise(0) for i in n})
+    rows = rows.withColumns({f"_t{i}": F.concat(f"_t{i}", F.repeat(F.lit(" "), F.col(f"_f{i}"))) for i in n})
+    rows = rows.withColumns({f"_l{i}": F.greatest(F.lit(len(c) + 2), F.max(F.length(f"_t{i}")).over(w)) for i, c in enumerate(columns)})
+
+    def line(texts: list[Column]) -> Column:
+        padded = [F.when(F.col(f"_n{i}"), F.lpad(t, F.col(f"_l{i}"), F.lit(" "))).otherwise(F.rpad(t, F.col(f"_l{i}"), F.lit(" "))) for i, t in enumerate(texts)]
+        return F.concat(F.lit("| "), F.concat_ws(" | ", *padded), F.lit(" |"))
+
+    dashes = [F.repeat(F.lit("-"), F.col(f"_l{i}") + 1) for i in n]
+    rule = F.concat_ws("|", *(F.when(F.col(f"_n{i}"), F.concat(d, F.lit(":"))).otherwise(F.concat(F.lit(":"), d)) for i, d in enumerate(dashes)))
+    head = F.concat(line([F.lit(c) for c in columns]), F.lit("\n|"), rule, F.lit("|\n"))
+    made = rows.select(table_key, order, line([F.col(f"_t{i}") for i in n]).alias("line"), F.when(F.col(order) == F.min(order).over(w), head).alias("head"))
+    return made.groupBy(table_key).agg(F.concat(F.max("head"), F.array_join(ordered(order, F.col("line")), "\n")).alias("table"))
+
+
 def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], columns: list[str],
                     per_part: int = TABLES_PER_TEXT) -> DataFrame:
     """Per document a title and its tables in number order: name, counts, first column names, first rows.
@@ -227,20 +299,16 @@ def table_summaries(rows: DataFrame, tables: DataFrame, order: list[str], column
     """
     counts = table_rows(rows, "table_id")
     # Rows stay typed until the sample is taken: only the few sampled ones become text.
-    cells = F.array(*[F.col(c).cast("string") for c in columns])
-    samples = (
-        table_sample(rows.select("table_id", *columns, *[c for c in order if c not in columns]), "table_id", order)
-        .groupBy("table_id").agg(ordered("sample_row", cells).alias("sample"))
-    )
-    types = dict(rows.dtypes)
-    names = F.array(*map(F.lit, columns))
-    dtypes = F.array(*[F.lit("bool" if types[c] == "boolean" else "") for c in columns])
+    first = table_sample(rows.select("table_id", *columns, *[c for c in order if c not in columns]), "table_id", order)
+    # the sample is small, so its shuffle is coalesced into few tasks; what follows is heavy per row and is spread again
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    samples = pipe_tables(first.repartition(width, "table_id"), "table_id", "sample_row", columns)
     # Fixed layout of a document's title and of one table's entry.
     title = F.when(F.col("part") == 0, F.concat(F.lit("# Table Summaries for "), F.col("doc_id"), F.lit("\n\n"))).otherwise("\n")
     entry = F.concat(
         F.lit("## "), F.col("csv_name"), F.lit(".csv\n- Rows: "), F.col("rows").cast("string"),
         F.lit(f"\n- Columns: {len(columns)}\n### Columns Preview: {', '.join(columns[:PREVIEW_COLUMNS])}\n\n"),
-        _render_samples(names, dtypes, F.col("sample")), F.lit("\n\n---"))
+        F.col("table"), F.lit("\n\n---"))
     return (
         counts.join(samples, "table_id").join(tables, "table_id")
         .select("doc_id", "table_idx", part_of(F.col("table_idx"), per_part).alias("part"), entry.alias("entry"))
