@@ -17,6 +17,7 @@ from pagequarry.session import materialize, spread, work_folder
 from pagequarry.sources import files as file_sources
 from pagequarry.sources import csv_blocks, folder, stores, tabular
 from pagequarry.streaming import incremental as stream
+from pagequarry.streaming import stateful
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -208,6 +209,17 @@ def incremental_stream(spark, sf):
     return stores.current_index(stores.index_log(spark, root, stream.RECORD)).select("doc_id", "path", "type", "category", "hash")
 
 
+@query(f"""WITH {O.REG} SELECT doc_id, path, type, category, hash FROM reg
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY path DESC) = 1""")
+def stateful_stream(spark, sf):
+    """The same stream with the index in the state store."""
+    root = work_folder(spark, "stateful")
+    docs = I.table(spark, sf, "documents")
+    source = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents*.parquet").parquet(sf)
+    stateful.start_stateful(I.listing(source), root).awaitTermination()
+    return stateful.current_records(spark, root).select("doc_id", "path", "type", "category", "hash")
+
+
 # --- whole runs over a folder --------------------------------------------------------------
 
 def _corpus(spark, sf) -> JobConfig:
