@@ -7,10 +7,14 @@ parts of a larger one put together in order give the whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagequarry.operators.skew import running_within
+
 PAGES_PER_TEXT = 256
+BYTES_PER_TEXT = 64 << 20
+_BETWEEN = "\n\n\n"
 FILES_PER_LIST = 4096
 
 
@@ -61,3 +65,26 @@ def consolidate(rendered: DataFrame, per_part: int = PAGES_PER_TEXT) -> DataFram
         .select("doc_id", "part", "pages",
                 F.when(F.col("part") > 0, F.concat(F.lit("\n\n\n"), "body")).otherwise(F.col("body")).alias("md"))
     )
+
+
+def consolidate_bytes(rendered: DataFrame, budget: int = BYTES_PER_TEXT) -> DataFrame:
+    """As :func:`consolidate`, in parts of at most ``budget`` bytes, separators included, unless a single page has more.
+
+    Pages of over half the budget are parts of their own. The others are cut by running totals of bytes at every half budget: such a part ends less than half a
+    budget behind its last cut. Pages' texts are shuffled once, to their part; the totals work on lengths alone.
+    """
+    half = max(1, budget // 2)
+    block = F.concat(F.lit("# "), F.col("chunk_id"), F.lit(".md\n\n"), F.col("md"))
+    size = F.octet_length(block) + F.lit(len(_BETWEEN))
+    sized = rendered.select("doc_id", "page", size.cast("long").alias("bytes")).withColumn("large", (F.col("bytes") > half).cast("long"))
+    placed = running_within(sized, "doc_id", "page", {"start": "bytes", "before": "large"})
+    cut = placed.select("doc_id", "page", F.struct("before", "large", F.floor(F.col("start") / half).cast("long").alias("slot"),
+                                                   F.when(F.col("large") == 1, F.col("page")).alias("own")).alias("cut"))
+    order = Window.partitionBy("doc_id").orderBy("first_page")
+    parts = cut.groupBy("doc_id", "cut").agg(F.min("page").alias("first_page")).withColumn("part", (F.row_number().over(order) - 1).cast("int"))
+    # a cut holds at most a budget of bytes, so no key of this join is hot
+    numbered = cut.join(parts, ["doc_id", "cut"]).select("doc_id", "page", "part")
+    texts = rendered.select("doc_id", "page", block.alias("block")).join(numbered, ["doc_id", "page"])
+    joined = F.array_join(ordered("page", F.col("block")), _BETWEEN)
+    return (texts.groupBy("doc_id", "part").agg(F.count(F.lit(1)).alias("pages"), joined.alias("body"))
+            .select("doc_id", "part", "pages", F.concat(F.when(F.col("part") > 0, _BETWEEN).otherwise(""), F.col("body")).alias("md")))

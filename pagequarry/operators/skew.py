@@ -38,3 +38,18 @@ def number_within(df: DataFrame, key: str, order: str, name: str, bucket: int =
             .join(starts, [key, "_run"])
             .withColumn(name, (F.col("_rn") + F.col("_before")).cast("int"))
             .drop("_run", "_rn", "_before"))
+
+
+def running_within(df: DataFrame, key: str, order: str, sums: dict[str, str], bucket: int = ORDINAL_BUCKET) -> DataFrame:
+    """For each (name, column) the sum of the column over the earlier rows of the key, by a distinct integer ``order``.
+
+    As in :func:`number_within`: sums inside runs of ``bucket`` order values, and a running total over one row per run.
+    """
+    runs = df.withColumn("_run", F.expr(f"`{order}` div {bucket}"))
+    totals = runs.groupBy(key, "_run").agg(*(F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()))
+    before = Window.partitionBy(key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(key, "_run", *(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_start_{n}") for n in sums))
+    inside = Window.partitionBy(key, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (runs.withColumns({f"_in_{n}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}).join(starts, [key, "_run"])
+            .withColumns({n: F.col(f"_in_{n}") + F.col(f"_start_{n}") for n in sums})
+            .drop("_run", *(f"_in_{n}" for n in sums), *(f"_start_{n}" for n in sums)))

@@ -353,6 +353,21 @@ def consolidate(spark, sf):
     return rollup.consolidate(I.rendered(spark, sf))
 
 
+_BUDGET = 1500
+
+@query(f"""WITH {O.RENDERED}, blocks AS (SELECT *, '# ' || chunk_id || '.md' || chr(10) || chr(10) || md AS block FROM rendered),
+  sized AS (SELECT *, strlen(block) + 3 AS bytes, strlen(block) + 3 > {_BUDGET // 2} AS large FROM blocks),
+  placed AS (SELECT *, coalesce(sum(bytes) OVER w, 0) AS start, coalesce(sum(CAST(large AS INTEGER)) OVER w, 0) AS before FROM sized
+    WINDOW w AS (PARTITION BY doc_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  cut AS (SELECT *, before || '/' || CASE WHEN large THEN 'page ' || page ELSE CAST(start // {_BUDGET // 2} AS VARCHAR) END AS cut FROM placed),
+  parts AS (SELECT doc_id, cut, min(page) AS first_page, count(*) AS pages, string_agg(block, chr(10) || chr(10) || chr(10) ORDER BY page) AS body FROM cut GROUP BY 1, 2),
+  numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_page) - 1 AS INTEGER) AS part FROM parts)
+  SELECT doc_id, part, pages, CASE WHEN part > 0 THEN chr(10) || chr(10) || chr(10) ELSE '' END || body AS md FROM numbered""")
+def consolidate_bytes(spark, sf):
+    """Parts of at most 1,500 bytes unless a page has more."""
+    return rollup.consolidate_bytes(I.rendered(spark, sf), _BUDGET)
+
+
 @query(f"""WITH {O.PAGED}, {O.NUMBERED}, results AS (
   SELECT 'layout' AS method, doc_id, table_idx FROM numbered
   UNION ALL SELECT 'stream', doc_id, table_idx FROM numbered WHERE o_orderstatus = 'F'),
