@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +15,12 @@ from pyspark.sql import functions as F
 from pagequarry.functions import vectors as V
 from pagequarry.functions.text import preview
 from pagequarry.operators.embed import TfidfEmbedder
-from pagequarry.session import materialize, work_folder
+from pagequarry.session import materialize
 
 _HITS = "query_id string, chunk_id string, l2_distance double"
 QUERY_BLOCK = 1024
 ROW_BLOCK = 4096
+PAIRS = 32  # of a block of vectors and a block of queries, that a task compares on average
 
 
 def as_literal(query: Sequence[float]) -> Column:
@@ -59,72 +59,107 @@ def format_hits(hits: DataFrame, content: str = "chunk") -> DataFrame:
                        F.struct(*metadata).alias("metadata"), F.col("l2_distance").alias("similarity_score"), "cosine")
 
 
-def _nearest_in_task(ids: list[str], matrix: np.ndarray, k: int):
-    """Arrow function: per task, the k rows nearest to each query.
+class _Nearest:
+    """The k rows nearest to each query among those added.
 
     One matrix product per block of rows finds the rows that can matter; their distances are then
     computed exactly, so equal vectors tie exactly.
     """
-    norms = (matrix ** 2).sum(axis=1)
-
-    def keep_nearest(best: list, q: int, chunk_ids: np.ndarray, rows: np.ndarray) -> list:
-        exact = ((rows - matrix[q]) ** 2).sum(axis=1)
-        return sorted(best + list(zip(exact.tolist(), chunk_ids.tolist())))[:k]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[list] = [[] for _ in ids]
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROW_BLOCK):
-                part = batch.slice(start, ROW_BLOCK)
-                rows = np.asarray(part.column(1).flatten(), dtype=np.float64).reshape(part.num_rows, -1)
-                names = np.asarray(part.column(0).to_pylist(), dtype=object)
-                rough = (rows ** 2).sum(axis=1)[:, None] + norms[None, :] - 2.0 * (rows @ matrix.T)
-                slack = 1e-9 * (1.0 + np.abs(rough).max())
-                for q in range(len(ids)):
-                    column = rough[:, q]
-                    bound = np.partition(column, k - 1)[k - 1] if len(column) > k else np.inf
-                    if len(best[q]) == k:
-                        bound = min(bound, best[q][-1][0])
-                    near = np.flatnonzero(column <= bound + slack)
-                    if len(near):
-                        best[q] = keep_nearest(best[q], q, names[near], rows[near])
-        out = [(ids[q], chunk, dist) for q in range(len(ids)) for dist, chunk in best[q]]
+    def __init__(self, ids: list[str], matrix: np.ndarray, k: int):
+        self.ids, self.matrix, self.k = ids, matrix, k
+        self.norms = (matrix ** 2).sum(axis=1)
+        self.best: list[list] = [[] for _ in ids]
+
+    def add(self, names: np.ndarray, rows: np.ndarray) -> None:
+        k = self.k
+        rough = (rows ** 2).sum(axis=1)[:, None] + self.norms[None, :] - 2.0 * (rows @ self.matrix.T)
+        slack = 1e-9 * (1.0 + np.abs(rough).max())
+        reach = np.partition(rough, k - 1, axis=0)[k - 1] if len(rows) > k else np.full(len(self.ids), np.inf)
+        reach = np.minimum(reach, [b[-1][0] if len(b) == k else np.inf for b in self.best])
+        for q in np.flatnonzero((rough <= reach + slack).any(axis=0)):
+            near = np.flatnonzero(rough[:, q] <= reach[q] + slack)
+            exact = ((rows[near] - self.matrix[q]) ** 2).sum(axis=1)
+            self.best[q] = sorted(self.best[q] + list(zip(exact.tolist(), names[near].tolist())))[:k]
+
+    def hits(self) -> Iterator[pa.RecordBatch]:
+        out = [(self.ids[q], chunk, dist) for q, best in enumerate(self.best) for dist, chunk in best]
         if out:
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], pa.float64())],
                 names=["query_id", "chunk_id", "l2_distance"])
 
+
+def _blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            part = batch.slice(start, rows)
+            yield (np.asarray(part.column(0).to_pylist(), dtype=object),
+                   np.asarray(part.column(1).flatten(), dtype=np.float64).reshape(part.num_rows, -1))
+
+
+def _nearest_in_task(ids: list[str], matrix: np.ndarray, k: int):
+    """Arrow function: per task, the k rows nearest to each query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nearest = _Nearest(ids, matrix, k)
+        for names, rows in _blocks(batches, ROW_BLOCK):
+            nearest.add(names, rows)
+        yield from nearest.hits()
+
+    return run
+
+
+def _packed(rows: int):
+    """Arrow function: blocks of at most ``rows`` rows (id, embedding), a row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, matrix in _blocks(batches, rows):
+            yield pa.RecordBatch.from_arrays([pa.array([names.tolist()], pa.list_(pa.string())), pa.array([matrix.tobytes()], pa.binary())], ["ids", "data"])
+
+    return run
+
+
+def _nearest_in_pairs(k: int):
+    """Arrow function over pairs of a block of rows and a block of queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, data, q_ids, q_data = (batch.column(c)[i].as_py() for c in range(4))
+                nearest = _Nearest(q_ids, np.frombuffer(q_data, np.float64).reshape(len(q_ids), -1), k)
+                nearest.add(np.asarray(ids, dtype=object), np.frombuffer(data, np.float64).reshape(len(ids), -1))
+                yield from nearest.hits()
+
     return run
 
 
 def search_batch(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """For each query (query_id, embedding) the k nearest vectors (chunk_id, embedding).
 
-    Up to ``QUERY_BLOCK`` queries are answered by one scan of the vectors. More are taken block by
-    block, one scan each, whose hits are written before the next block is fetched: driver and tasks
-    hold one block however many queries there are. No query-vector pair leaves a task except the k
-    nearest of each query.
+    Up to ``QUERY_BLOCK`` queries go along with one scan of the vectors. More of them are packed into blocks, as are the
+    vectors; blocks meet on the executors, in groups of about ``PAIRS`` pairs a task, and a window merges what each pair gives.
+    No query-vector pair leaves a task except the k nearest of each query, and no more than a block of queries comes to the driver.
     """
     spark = vectors.sparkSession
     narrow = vectors.select("chunk_id", "embedding").filter(F.col("embedding").isNotNull())
-
-    def scan(rows: list) -> DataFrame:
-        matrix = np.asarray([r["embedding"] for r in rows], dtype=np.float64)
-        return narrow.mapInArrow(_nearest_in_task([r["query_id"] for r in rows], matrix, k), _HITS)
-
-    asked = queries.select(F.col("query_id").cast("string"), "embedding")
+    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "embedding").filter(F.col("embedding").isNotNull())
     rows = asked.limit(QUERY_BLOCK + 1).collect()
     if not rows:
         found = spark.createDataFrame([], _HITS)
     elif len(rows) <= QUERY_BLOCK:
-        found = scan(rows)
+        matrix = np.asarray([r["embedding"] for r in rows], dtype=np.float64)
+        found = narrow.mapInArrow(_nearest_in_task([r["query_id"] for r in rows], matrix, k), _HITS)
     else:
-        path = work_folder(spark, "hits")
-        stream = materialize(asked, "queries").toLocalIterator()
-        for n, block in enumerate(iter(lambda: list(islice(stream, QUERY_BLOCK)), [])):
-            scan(block).write.parquet(f"{path}/block={n}")
-        found = spark.read.schema(_HITS).parquet(path).select("query_id", "chunk_id", "l2_distance")
+        layout = "ids array<string>, data binary"
+        shards = materialize(narrow.mapInArrow(_packed(ROW_BLOCK), layout), "shards")
+        blocks = materialize(asked.mapInArrow(_packed(QUERY_BLOCK), layout), "queries")
+        n_shards, n_blocks = shards.count(), blocks.count()
+        groups = max(1, min(n_shards, -(-n_shards * n_blocks // PAIRS)))
+        dealt = shards.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
+        spread = blocks.select(F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+        found = dealt.join(spread, "group").select("ids", "data", "q_ids", "q_data").mapInArrow(_nearest_in_pairs(k), _HITS)
     w = Window.partitionBy("query_id").orderBy("l2_distance", "chunk_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

@@ -43,6 +43,21 @@ def test_queries_go_in_blocks(spark, data, monkeypatch):
     assert search.search_batch(df, frame.limit(0), 3).count() == 0
 
 
+def test_thousands_of_queries_meet_packed_vectors(spark, data, monkeypatch):
+    ids, m, df = data
+    monkeypatch.setattr(search, "ROW_BLOCK", 50)
+    monkeypatch.setattr(search, "PAIRS", 4)
+    rng = np.random.default_rng(2)
+    asked = np.concatenate([m[:40], rng.normal(size=(2960, 16))])
+    frame = spark.createDataFrame([(f"q{n}", v.tolist()) for n, v in enumerate(asked)] + [("none", None)], "query_id string, embedding array<double>")
+    got = {}
+    for r in search.search_batch(df, frame, 4).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["chunk_id"]))
+    assert len(got) == 3000 and all(len(v) == 4 for v in got.values())
+    for n in (*range(40), *range(40, 3000, 97)):
+        assert [c for _, c in sorted(got[f"q{n}"])] == nearest(ids, m, asked[n], 4)
+
+
 def test_filtered(data):
     ids, m, df = data
     hits = search.search_filtered(df, F.col("label") == 2, m[0].tolist(), 4).orderBy("l2_distance", "chunk_id").collect()
