@@ -1,4 +1,9 @@
-"""A training-data pipeline over ``documents``: each stage works on all that the one before kept."""
+"""A training-data pipeline over ``documents``: each stage works on all that the one before kept.
+
+All stages but the last return the columns of their input, whatever their names, and take an empty table to an empty one. Null and empty texts go in
+the first stage; stages that get them anyway leave them alone. Rows with a null doc_id are judged by their own text; rows that repeat a doc_id stay or
+go by their own texts, but as near copies together. Texts count whole, however long.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +21,7 @@ from pagequarry.session import work_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told stay."""
+    """Documents whose language the model can tell stay; those without a letter, and those of which it knows no word and no n-gram, go."""
     return keep_known_language(docs)
 
 
@@ -26,17 +31,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark item go."""
+    """Documents that overlap a benchmark item go; ties and repeated rows alike."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; values that look live are masked."""
+    """Every document stays; values that look live, whose owners are few, are masked."""
     return mask_live(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes; documents of which it takes none go."""
+    """How many words of each document the mix takes; documents of which it takes none go. Ties in the order go by id, then size."""
     return mix_sources(docs).where(F.col("taken") > 0)
 
 
@@ -45,8 +50,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixing),
 ]
 
-#: Language models and signatures cannot be stated in SQL; tests compare near copies and single overlaps
-#: with plain versions, the other stages with expected results of made-up rows.
+#: Language models and signatures cannot be stated in SQL; tests compare the stages with the rows that are expected of made-up documents, and
+#: their operators with plain versions.
 ORACLE_SQL = None
 
 
