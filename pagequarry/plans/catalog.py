@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.config import JobConfig
 from pagequarry.functions import naming, text
-from pagequarry.operators import (chunks, embed, incremental, ivf, pages, registry, report, rollup, search, tables)
+from pagequarry.operators import (chunks, embed, incremental, ivf, pages, registry, report, rollup, search, segments, tables)
 from pagequarry.plans import extraction
 from pagequarry.plans import inputs as I
 from pagequarry.plans import oracle as O
@@ -315,14 +315,33 @@ def parse_metadata(spark, sf):
     return pages.parse_metadata(I.rendered(spark, sf))
 
 
-@query(f"""WITH {O.RENDERED}, mixed AS (
+_STRIPPED = (f"""WITH {O.RENDERED}, mixed AS (
   SELECT 'md' AS kind, chunk_id AS id, md FROM rendered UNION ALL SELECT 'html', CAST(page_id AS VARCHAR), html FROM pages),
   {O.without_comments('mixed', 'clean')} SELECT kind, id, text FROM clean""")
-def strip_comments(spark, sf):
+
+
+def _mixed(spark, sf) -> DataFrame:
+    """Rendered pages and web pages as texts with comments."""
     md = I.rendered(spark, sf).select(F.lit("md").alias("kind"), F.col("chunk_id").alias("id"), "md")
     html = I.table(spark, sf, "pages").select(
         F.lit("html").alias("kind"), F.col("page_id").cast("string").alias("id"), F.col("html").alias("md"))
-    return md.unionByName(html).select("kind", "id", text.strip_comments(F.col("md")).alias("text"))
+    return md.unionByName(html)
+
+
+@query(_STRIPPED)
+def strip_comments(spark, sf):
+    mixed = _mixed(spark, sf)
+    return mixed.select("kind", "id", text.strip_comments(F.col("md")).alias("text"))
+
+
+@query(_STRIPPED)
+def strip_comment_lines(spark, sf):
+    """The same with a row a line, in ranges of 7 lines; lines are put together again for the comparison."""
+    mixed = _mixed(spark, sf)
+    lines = mixed.select("kind", "id", F.posexplode(F.split("md", "\n", -1)).alias("line_no", "line"))
+    kept = (segments.strip_comment_lines(lines, ["kind", "id"], block=7).groupBy("kind", "id")
+            .agg(F.array_join(rollup.ordered("line_no", F.col("line")), "\n").alias("text")))
+    return mixed.select("kind", "id").join(kept, ["kind", "id"], "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
 @query(f"""WITH {O.RENDERED} SELECT md_file, CASE WHEN toxic = 1 THEN NULL ELSE md END AS md
