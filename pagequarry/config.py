@@ -33,6 +33,7 @@ class JobConfig:
     duplicate_rule: str = "doc_id_and_hash"
     retry_failed: bool = False
     strict_comments: bool = True
+    estimate_blank_pages: bool = True
     sheet_source: str | None = None
     table_methods: tuple[str, ...] = ()
 

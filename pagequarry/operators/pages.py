@@ -121,9 +121,11 @@ def register_extractor(name: str, extract: Extractor) -> None:
     EXTRACTORS[name] = extract
 
 
-def extract_pages(docs: DataFrame, methods: list[str]) -> DataFrame:
+def extract_pages(docs: DataFrame, methods: list[str], estimate: bool = False) -> DataFrame:
     """Page rows of documents: ``content`` becomes method, page, text and text_length.
 
+    With ``estimate`` a page without text gets its share of the lines of the whole content, if that is text and has some.
+
     Per document the first method that yields pages gives all of them; a document no method can
     read gives no rows. A method is tried where those before it gave nothing, as a condition inside
     the row, so falling back moves no content. (A Python method still sees every row.)
@@ -138,6 +140,11 @@ def extract_pages(docs: DataFrame, methods: list[str]) -> DataFrame:
         tried = tried.withColumn(f"_texts{i}", F.when(got, F.col(f"_raw{i}")))
         texts = F.coalesce(texts, F.col(f"_texts{i}"))
         method = F.coalesce(method, F.when(F.col(f"_texts{i}").isNotNull(), name))
+    if estimate:
+        whole = F.when(F.is_valid_utf8("content"), F.translate(F.col("content").cast("string"), "\f", "\n"))
+        blank = F.exists(texts, lambda t: F.coalesce(F.length(t), F.lit(0)) == 0) & (F.size(texts) > 1)
+        filled = estimate_blank_pages(F.transform(texts, lambda t: F.coalesce(t, F.lit(""))), whole)
+        texts = F.when(whole.isNotNull() & blank & (method == "text"), filled).otherwise(texts)
     # The outer form, since the plain one is planned with a filter that evaluates the extractors again.
     rows = tried.select(*keep, method.alias("method"), F.posexplode_outer(texts).alias("pos", "raw")).filter("pos is not null")
     body = F.coalesce("raw", F.lit(""))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagequarry.config import JobConfig
 from pagequarry.functions import naming, text
 from pagequarry.operators import (chunks, embed, incremental, ivf, pages, registry, report, rollup, search, segments, tables)
+from pagequarry.operators.membership import split_members
 from pagequarry.plans import extraction
 from pagequarry.plans import inputs as I
 from pagequarry.plans import oracle as O
@@ -424,7 +425,7 @@ def extractor_fallback(spark, sf):
     return pages.choose_extractor(attempted.select("doc_id", "page", "text", "text_length", F.inline(tries)))
 
 
-@query(f"""WITH docs AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, text AS full_text,
+_ESTIMATED = (f"""WITH docs AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, text AS full_text,
     CAST(greatest(ceil(n_chars / {I.PAGE_CHARS}.0), 1) AS BIGINT) AS n FROM documents),
   {O.PAGED}, p AS (SELECT doc_id, full_text, n, CAST(unnest(range(1, n + 1)) AS INTEGER) AS page FROM docs),
   j AS (SELECT p.*, coalesce(paged.text, '') AS own FROM p LEFT JOIN paged ON paged.doc_id = p.doc_id AND paged.page = p.page),
@@ -433,6 +434,9 @@ def extractor_fallback(spark, sf):
   o AS (SELECT doc_id, page, length(own) = 0 AS estimated, CASE WHEN length(own) > 0 THEN own
     ELSE coalesce(array_to_string(ls[(page - 1) * step + 1 : page * step], chr(10)), '') END AS text FROM s)
   SELECT doc_id, page, text, CAST(length(text) AS INTEGER) AS text_length, estimated FROM o""")
+
+
+@query(_ESTIMATED)
 def page_estimate(spark, sf):
     """Documents of the paper size their length suggests; turns of the same number are the text layer."""
     docs = I.table(spark, sf, "documents")
@@ -443,6 +447,22 @@ def page_estimate(spark, sf):
     return pages.page_estimate(pages.page_rows(layer, F.col("doc_id"), F.col("page"), F.col("text")), full)
 
 
+@query(_ESTIMATED)
+def page_estimate_inline(spark, sf):
+    """The same inside a row, as a run does it: only a document's own pages are moved, its whole text is not."""
+    docs = I.table(spark, sf, "documents")
+    n = F.greatest(F.ceil(F.col("n_chars") / I.PAGE_CHARS), F.lit(1)).cast("int")
+    # at most so many pages as the document has are put into its row
+    layer = I.paged(spark, sf).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("page", "text"))).alias("layer"))
+    known = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", n.alias("n"))
+    few, many = split_members(known, [F.col("doc_id")], layer.select("doc_id"))
+    told = few.join(layer, "doc_id").unionByName(many, allowMissingColumns=True)
+    own = F.transform(F.sequence(F.lit(1), F.col("n")), lambda p: F.coalesce(F.get(F.transform(F.array(F.col("layer")), lambda m: m[p]), F.lit(0)), F.lit("")))
+    filled = told.withColumn("own", own).withColumn("texts", pages.estimate_blank_pages(F.col("own"), F.col("text")))
+    rows = filled.select("doc_id", "own", F.posexplode("texts").alias("i", "text"))
+    return rows.select("doc_id", (F.col("i") + 1).alias("page"), "text", F.length("text").alias("text_length"), (F.length(F.get("own", F.col("i"))) == 0).alias("estimated"))
+
+
 _HTML_TEXT = f"""WITH t AS (SELECT CAST(page_id AS VARCHAR) AS doc_id, {O.html_text('html')} AS text FROM pages)
   SELECT doc_id, 1 AS page, text, CAST(length(text) AS INTEGER) AS text_length FROM t"""
 

@@ -63,7 +63,7 @@ def run_extraction(spark: SparkSession, config: JobConfig, methods: tuple[str, .
     def content(kind: str) -> DataFrame:
         return read_named(wanted.filter(F.col("type") == kind), config.input_dir).drop("error")
 
-    pdf_pages = pages.extract_pages(content("pdf"), list(methods))
+    pdf_pages = pages.extract_pages(content("pdf"), list(methods), config.estimate_blank_pages)
     page_md = pages.render_pages(pdf_pages, F.col("method"), run_time, "path")
     readers = {"csv": [tabular.csv_table], "excel": [tabular.SHEET_SOURCES[config.sheet_source]] if config.sheet_source else [],
                "pdf": [tabular.TABLE_EXTRACTORS[name] for name in config.table_methods]}

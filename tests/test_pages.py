@@ -100,3 +100,10 @@ def test_render_and_parse(spark):
     out = pages.render_pages(df, F.lit("X"), "now")
     assert rows(out, "chunk_id", "md_file") == [("d_p3", "md/legal/d_p3.md")]
     assert rows(pages.parse_metadata(out), "chunk_id", "source", "page", "category", "hash") == [("d_p3", "my d.pdf", 3, "legal", "")]
+
+
+def test_blank_pages_of_a_run_get_their_share_of_the_text(spark):
+    docs = spark.createDataFrame([("a", b"one\ntwo\f\f\nthree"), ("b", b"full\fpages"), ("c", b"\f"), ("d", b"")], "doc_id string, content binary")
+    got = {(r.doc_id, r.page): r.text for r in pages.extract_pages(docs, ["html", "text"], estimate=True).collect()}
+    assert got == {("a", 1): "one\ntwo", ("a", 2): "two", ("a", 3): "\nthree", ("b", 1): "full", ("b", 2): "pages", ("c", 1): "", ("c", 2): "", ("d", 1): ""}
+    assert {(r.doc_id, r.page): r.text for r in pages.extract_pages(docs, ["text"]).collect()}["a", 2] == ""
