@@ -762,9 +762,8 @@ def search_ivf_quality(spark, sf):
     reach = exact.groupBy("query_id").agg(F.max("l2_distance").alias("reach"))
     hit = found.join(reach, "query_id").agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("hits"),
                                             F.count_if(F.col("l2_distance") <= F.col("reach") + 1e-9).alias("right"))
-    read = cells.groupBy("query_id").count().agg(F.max("count").alias("most"))  # one row each
-    return hit.join(F.broadcast(read)).select("queries", "hits", (F.col("right") >= 0.9 * F.col("hits")).alias("recall_reached"),
-                                              (F.col("most") < 0.2 * len(model.centroids)).alias("few_cells_read"))
+    most = cells.groupBy("query_id").count().agg(F.max("count")).first()[0]  # one number
+    return hit.select("queries", "hits", (F.col("right") >= 0.9 * F.col("hits")).alias("recall_reached"), F.lit((most or 0) < 0.2 * len(model.centroids)).alias("few_cells_read"))
 
 
 _DOUBLE = "CAST(embedding AS DOUBLE[])"
