@@ -2,7 +2,7 @@
 
 1. A task hashes all windows of its documents, slice by slice. Of equal windows in a slice only the first goes on, so
    a window that a third of the corpus shares reaches the counting once per slice.
-2. Windows are dealt by the leading bits of their hash into buckets, a few for each shuffle partition. A bucket finds
+2. Windows are dealt by the leading bits of their hash into buckets, as many as the counted text needs. A bucket finds
    the hashes that several slices have; all but the earliest place are repeats. Hashes travel packed, without keys.
 3. Repeats return to their documents, packed by the documents' partition, merge into maximal removal intervals, and the words outside stay.
 """
@@ -22,6 +22,7 @@ from pagequarry.llm.tokens import mix, rolling, word_hashes, words
 
 WINDOW = 20
 SLICE_WORDS = 1_000_000  # windows hashed at once in a task: bounds its memory
+BUCKET_BYTES = 16 << 20  # of text whose windows a bucket gets on average: bounds what a task sorts, whatever the corpus
 LAST = 2**63 - 1
 
 _PLACED = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("starts", pa.binary()),
@@ -190,7 +191,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, slice_words: int = SL
     each. Other columns are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -201,7 +203,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, slice_words: int = SL
         slim.select(place.alias("place"), "text")
         .mapInArrow(partial(_placed, window=window, buckets=buckets, slice_words=slice_words),
                     "bucket int, docs binary, counts binary, starts binary, hashes binary")
-        .groupBy("bucket").applyInArrow(late, "home int, docs binary, counts binary, starts binary")
+        .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(late, "home int, docs binary, counts binary, starts binary")
         .groupBy("home").applyInArrow(_gathered, "place bigint, starts binary")
     )
     return (slim.withColumn("place", place).join(repeats, "place", "left").select("doc_id", "text", "starts")
