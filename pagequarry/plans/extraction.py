@@ -135,13 +135,15 @@ def _embed(markdown: DataFrame, processed: DataFrame, root: str, batch_id: int,
     The model is fitted by the first run and kept, so that vectors of all runs can be compared.
     """
     made = stores.store(chunks.chunk_markdown(markdown, config), f"{root}/chunks/batch_id={batch_id}")
+    # vectors don't depend on when a page was read
+    plain = made.withColumn("whole_chunk", F.col("chunk")).withColumn("chunk", F.regexp_replace("chunk", r"- Processing timestamp: \S*", ""))
     embedder = load_embedder(f"{root}/model", config)
     if embedder is None and made.isEmpty():
         return made.select(F.col("source_doc_id").alias("doc_id"), F.lit(0).cast("long").alias("chunk_count"))  # nothing to learn from
     if embedder is None:
-        embedder = embed.EMBEDDERS[config.embedding_model].fit(made)
+        embedder = embed.EMBEDDERS[config.embedding_model].fit(plain)
         embedder.save(f"{root}/model")
-    vectors = embedder.embed(made)
+    vectors = embedder.embed(plain).withColumn("chunk", F.col("whole_chunk")).drop("whole_chunk")
     # a processed document without a chunk replaces its earlier vectors by a row without one
     gone = processed.join(made.select(F.col("source_doc_id").alias("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("source_doc_id"))
     _vectors(spark=made.sparkSession, root=root, schema=vectors.schema).upsert(vectors.unionByName(gone, allowMissingColumns=True), batch_id)
