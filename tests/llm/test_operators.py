@@ -360,3 +360,16 @@ def test_pipeline_stages_follow_the_operators(spark):
         kept = spark.createDataFrame(out.collect(), docs.schema)
     last = {(r.doc_id, r.taken) for r in corpus_pipeline.STAGES[-1][1](spark, kept, sf).collect()}
     assert last and last == {(r.doc_id, r.taken) for r in corpus_pipeline.run(spark, sf).collect()}
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Each row is in a block, and pairs are counted in all of them, each row as often as it is in a block."""
+    rows = [(i, f"{'rotten egg ' * 40}{prose(i, 30)}" if i % 2 else prose(i, 100), "en", "s") for i in range(600)]
+    df, y = table(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int")
+    placed, blocks = toxicity._in_blocks(toxicity._labelled(df, y).where("part in (0, 1)"), {0: 30000.0, 1: 30000.0}, 8000.0)
+    placed = placed.cache()
+    assert blocks == {0: 4, 1: 4} and {n for r in placed.collect() for n in r.blocks} == {0, 1, 2, 3}
+    assert placed.count() == toxicity._labelled(df, y).where("part in (0, 1)").count()
+    h, w = toxicity.word_hashes([b"rotten"]), toxicity.word_hashes([b"egg"])
+    plain, toxic = toxicity._count_frequent(toxicity._texts(df, placed), h, w)
+    assert plain.tolist() == [0] and toxic.tolist() == [40 * sum(len(r.blocks) for r in placed.collect() if r.label == 1)]
