@@ -31,7 +31,7 @@ ROUNDS = 12
 PROBED_SHARE = 0.19  # of the cells that a query reads by default
 REFINE = 20  # candidates compared exactly, times k
 SHARD, BLOCK = 8192, 256  # codes and queries that a task compares at once
-SALTS = 8  # tasks that share a cell
+GROUPS, SIDES = 8, 8  # cells are dealt to so many groups, queries to so many sides; a task has a group and a side
 
 
 @dataclass(frozen=True)
@@ -164,50 +164,95 @@ def _probe(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, sizes: np.n
 
 
 def _packed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Rows (id, value, cell) packed by cell: a row per cell and at most ``rows`` of its rows."""
-    open_cells: dict[int, tuple[list, list]] = {}
-    held = 0
+    """Rows (chunk_id, code, cell) packed by group of cells: a row per group and at most ``rows`` of its rows."""
+    held: dict[int, list[tuple]] = {}
 
-    def pack(cell: int) -> pa.RecordBatch:
-        ids, values = open_cells.pop(cell)
-        return pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([ids]), pa.array([b"".join(values)], pa.binary())], ["cell", "ids", "data"])
+    def pack(group: int) -> pa.RecordBatch:
+        ids, codes, cells = zip(*held.pop(group))
+        return pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([list(ids)], pa.list_(pa.string())), pa.array([b"".join(codes)], pa.binary()),
+                                           pa.array([list(cells)], pa.list_(pa.int32()))], ["group", "ids", "data", "cells"])
 
     for batch in batches:
-        values = batch.column(1)
-        for i, cell, value in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), values.to_pylist()):
-            ids, packed = open_cells.setdefault(cell, ([], []))
-            ids.append(i)
-            packed.append(value if isinstance(value, bytes) else np.asarray(value, np.float64).tobytes())
-            held += 1
-            if len(ids) == rows:
-                held -= rows
-                yield pack(cell)
-        while held > 32 * rows:  # bounds what a partition of many cells keeps open
-            fullest = max(open_cells, key=lambda c: len(open_cells[c][0]))
-            held -= len(open_cells[fullest][0])
-            yield pack(fullest)
-    for cell in list(open_cells):
-        yield pack(cell)
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            held.setdefault(row[2] % GROUPS, []).append(row)
+            if len(held[row[2] % GROUPS]) == rows:
+                yield pack(row[2] % GROUPS)
+    for group in list(held):
+        yield pack(group)
+
+
+def _asked(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of queries (query_id, embedding): a row per block and group, with each query's cells of the group."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK):
+            block = batch.slice(start, BLOCK)
+            ids = block.column(0).to_pylist()
+            data = _matrix(block.column(1), block.num_rows).tobytes()
+            numbered = pa.RecordBatch.from_arrays([pa.array(range(len(ids))), block.column(1)], ["query_id", "embedding"])
+            for probed in _probe(iter([numbered]), centroids, sizes, probes, least):
+                of, cell = probed.column(0).to_numpy(), probed.column(2).to_numpy()
+                for group in np.unique(cell % GROUPS):
+                    mine = cell % GROUPS == group
+                    yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([ids], pa.list_(pa.string())), pa.array([data], pa.binary()),
+                                                      pa.array([of[mine].astype(np.int32).tobytes()], pa.binary()), pa.array([cell[mine].astype(np.int32).tobytes()], pa.binary())],
+                                                     ["group", "q_ids", "q_data", "q_of", "q_cells"])
+
+
+class _Best:
+    """The ``keep`` nearest codes of each query of a block, a vector counting once, by its least distance."""
+
+    def __init__(self, ids: list[str], keep: int):
+        self.ids, self.keep = ids, keep
+        self.best: list[list[tuple[float, str, int]]] = [[] for _ in ids]
+
+    def add(self, q: int, names: np.ndarray, rough: np.ndarray, cell: int) -> None:
+        held = self.best[q]
+        near = np.arange(len(rough))
+        if len(rough) > self.keep:  # all that tie with the last one, so that ids decide
+            near = np.flatnonzero(rough <= np.partition(rough, self.keep - 1)[self.keep - 1])
+        held += zip(rough[near].tolist(), names[near].tolist(), [cell] * len(near))
+        if len(held) > 8 * self.keep:
+            self.best[q] = self.cut(held)
+
+    def cut(self, held: list[tuple[float, str, int]]) -> list[tuple[float, str, int]]:
+        out, seen = [], set()
+        for row in sorted(held):
+            if row[1] not in seen:
+                seen.add(row[1])
+                out.append(row)
+                if len(out) == self.keep:
+                    break
+        return out
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        out = [(i, name, cell, rough) for i, held in zip(self.ids, self.best) for rough, name, cell in self.cut(held)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.string(), pa.string(), pa.int32(), pa.float64()])],
+                                             ["query_id", "chunk_id", "cell", "rough"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, books: np.ndarray, keep: int) -> Iterator[pa.RecordBatch]:
-    """The ``keep`` nearest codes of a shard to each query of a block."""
-    parts = np.arange(len(books))
+    """The ``keep`` nearest codes to each query among the shards that its block meets one after another; only these leave the task."""
+    parts, best, block = np.arange(len(books)), None, None
     for batch in batches:
-        for row in batch.to_pylist():
-            code = np.frombuffer(row["data"], np.uint8).reshape(len(row["ids"]), -1)
+        for i in range(batch.num_rows):
+            row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+            if (row["q_ids"], row["q_of"]) != block:
+                if best:
+                    yield from best.rows()
+                best, block = _Best(row["q_ids"], keep), (row["q_ids"], row["q_of"])
+            names, cells = np.asarray(row["ids"], dtype=object), np.asarray(row["cells"])
+            code = np.frombuffer(row["data"], np.uint8).reshape(len(names), -1)
             queries = np.frombuffer(row["q_data"], np.float64).reshape(len(row["q_ids"]), -1)
-            rest = _padded(queries - centroids[row["cell"]], books)
-            out_q, out_i, out_d = [], [], []
-            for q, r in zip(row["q_ids"], rest):
-                table = ((books - r[:, None, :]) ** 2).sum(axis=2)
-                rough = table[parts[None, :], code].sum(axis=1)
-                best = np.argpartition(rough, keep - 1)[:keep] if len(rough) > keep else np.arange(len(rough))
-                out_q += [q] * len(best)
-                out_i += [row["ids"][b] for b in best]
-                out_d.append(rough[best])
-            yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.string()), pa.array(out_i, pa.string()), pa.array([row["cell"]] * len(out_q), pa.int32()),
-                                              pa.array(np.concatenate(out_d))], ["query_id", "chunk_id", "cell", "rough"])
+            of, probed = np.frombuffer(row["q_of"], np.int32), np.frombuffer(row["q_cells"], np.int32)
+            for cell in np.intersect1d(cells, probed):
+                here = np.flatnonzero(cells == cell)
+                asking = of[probed == cell]
+                for q, r in zip(asking, _padded(queries[asking] - centroids[cell], books)):
+                    table = ((books - r[:, None, :]) ** 2).sum(axis=2)
+                    best.add(q, names[here], table[parts[None, :], code[here]].sum(axis=1), int(cell))
+    if best:
+        yield from best.rows()
 
 
 def probed_cells(model: IvfModel, queries: DataFrame, k: int = 5, probes: int | None = None) -> DataFrame:
@@ -219,19 +264,20 @@ def probed_cells(model: IvfModel, queries: DataFrame, k: int = 5, probes: int |
 
 def search_ivf(spark: SparkSession, model: IvfModel, queries: DataFrame, k: int = 5, probes: int | None = None, refine: int = REFINE) -> DataFrame:
     """query_id, rank, chunk_id and l2_distance: about the k nearest vectors of each query, by exact distances among the best candidates of its cells."""
-    probed = materialize(probed_cells(model, queries, k, probes), "probed")
-    wanted = [r["cell"] for r in probed.select("cell").distinct().collect()]  # at most one row a cell: only these folders are read
-    stored = postings(spark, model.path).filter(F.col("cell").isin(wanted))
-    salt = F.pmod(F.xxhash64("ids"), F.lit(SALTS))
-    shards = (stored.select("chunk_id", "code", "cell").mapInArrow(partial(_packed, rows=SHARD), "cell int, ids array<string>, data binary")
-              .withColumn("salt", salt))
-    blocks = (probed.repartition("cell").mapInArrow(partial(_packed, rows=BLOCK), "cell int, ids array<string>, data binary")
-              .select("cell", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
-    rough = (shards.join(blocks, ["cell", "salt"]).select("cell", "ids", "data", "q_ids", "q_data")
+    probes = probes or max(1, int(PROBED_SHARE * len(model.centroids)))
+    plain = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    blocks = plain.mapInArrow(partial(_asked, centroids=model.centroids, sizes=model.sizes, probes=probes, least=k * model.copies),
+                              "group int, q_ids array<string>, q_data binary, q_of binary, q_cells binary")
+    stored = postings(spark, model.path)
+    shards = stored.select("chunk_id", "code", "cell").mapInArrow(partial(_packed, rows=SHARD), "group int, ids array<string>, data binary, cells array<int>")
+    # a block goes to one side of each group, a shard to all sides of its group: both and what leaves the tasks grow as the tables do
+    blocks = blocks.withColumn("side", F.pmod(F.xxhash64("q_ids"), F.lit(SIDES)).cast("int"))
+    shards = shards.withColumn("side", F.explode(F.sequence(F.lit(0), F.lit(SIDES - 1))))
+    rough = (blocks.join(shards.hint("merge"), ["group", "side"]).select("ids", "data", "cells", "q_ids", "q_data", "q_of", "q_cells")
              .mapInArrow(partial(_compare, centroids=model.centroids, books=model.books, keep=k * refine),
                          "query_id string, chunk_id string, cell int, rough double"))
     by_rough = Window.partitionBy("query_id").orderBy("rough", "chunk_id")
-    rough = rough.groupBy("query_id", "chunk_id").agg(F.min(F.struct("rough", "cell")).alias("r")).select("query_id", "chunk_id", "r.rough", "r.cell")
+    rough = rough.repartition("query_id").groupBy("query_id", "chunk_id").agg(F.min(F.struct("rough", "cell")).alias("r")).select("query_id", "chunk_id", "r.rough", "r.cell")
     best = rough.withColumn("n", F.row_number().over(by_rough)).filter(F.col("n") <= k * refine).drop("n", "rough")
     asked = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>").alias("q"))
     exact = (stored.select("chunk_id", "cell", "embedding").join(best, ["cell", "chunk_id"]).join(asked, "query_id")

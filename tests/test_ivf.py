@@ -72,3 +72,19 @@ def test_a_store_of_few_vectors(spark, tmp_path):
     model = ivf.build_ivf(rows, str(tmp_path / "few"))
     got = ivf.search_ivf(spark, model, spark.createDataFrame([("q", [1.0, 2.0, 3.4])], "query_id string, embedding array<double>"), 5)
     assert [(r.chunk_id, r["rank"]) for r in got.orderBy("rank").collect()] == [("a", 1), ("b", 2)]
+
+
+def test_what_leaves_a_task_follows_the_queries(spark, built):
+    """A block of queries that meets many shards gives no more than ``keep`` rows a query, a vector of two cells counted once."""
+    import pyarrow as pa
+
+    m, model = built
+    rows = ivf.postings(spark, model.path).select("chunk_id", "code", "cell").toArrow().to_batches()
+    shards = [b.to_pylist()[0] for b in ivf._packed(iter(rows), 100)]
+    queries = pa.RecordBatch.from_arrays([pa.array(["a", "b"]), pa.array([m[0].tolist(), m[2000].tolist()])], ["query_id", "embedding"])
+    blocks = [b.to_pylist()[0] for b in ivf._asked(iter([queries]), model.centroids, model.sizes, 40, 1)]
+    for block in blocks:
+        met = [{**s, **block} for s in shards if s["group"] == block["group"]]
+        assert len(met) > 1
+        out = pa.Table.from_batches(ivf._compare(iter([pa.RecordBatch.from_pylist([r]) for r in met]), model.centroids, model.books, 7)).to_pylist()
+        assert len(out) == 14 and len({(r["query_id"], r["chunk_id"]) for r in out}) == 14
