@@ -20,7 +20,8 @@ from pagequarry.session import materialize
 _HITS = "query_id string, chunk_id string, l2_distance double"
 QUERY_BLOCK = 1024
 ROW_BLOCK = 4096
-PAIRS = 32  # of a block of vectors and a block of queries, that a task compares on average
+PAIRS = 32  # of a block of vectors and a block of queries, that a group compares on average, until there are GROUPS
+GROUPS = 64  # of blocks of vectors, at most: each query goes to all of them
 
 
 def as_literal(query: Sequence[float]) -> Column:
@@ -122,15 +123,20 @@ def _packed(rows: int):
 
 
 def _nearest_in_pairs(k: int):
-    """Arrow function over pairs of a block of rows and a block of queries."""
+    """Arrow function over pairs of a block of rows and a block of queries: what a block of queries meets one after another is merged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nearest = None
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, data, q_ids, q_data = (batch.column(c)[i].as_py() for c in range(4))
-                nearest = _Nearest(q_ids, np.frombuffer(q_data, np.float64).reshape(len(q_ids), -1), k)
+                if nearest is None or nearest.ids != q_ids:
+                    if nearest:
+                        yield from nearest.hits()
+                    nearest = _Nearest(q_ids, np.frombuffer(q_data, np.float64).reshape(len(q_ids), -1), k)
                 nearest.add(np.asarray(ids, dtype=object), np.frombuffer(data, np.float64).reshape(len(ids), -1))
-                yield from nearest.hits()
+        if nearest:
+            yield from nearest.hits()
 
     return run
 
@@ -139,8 +145,8 @@ def search_batch(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
     """For each query (query_id, embedding) the k nearest vectors (chunk_id, embedding).
 
     Up to ``QUERY_BLOCK`` queries go along with one scan of the vectors. More of them are packed into blocks, as are the
-    vectors; blocks meet on the executors, in groups of about ``PAIRS`` pairs a task, and a window merges what each pair gives.
-    No query-vector pair leaves a task except the k nearest of each query, and no more than a block of queries comes to the driver.
+    vectors; blocks meet on the executors, in at most ``GROUPS`` groups, and a window merges what each group gives,
+    so that what is shuffled grows as the tables do. No query-vector pair leaves a task except the k nearest of each query, and no more than a block of queries comes to the driver.
     """
     spark = vectors.sparkSession
     narrow = vectors.select("chunk_id", "embedding").filter(F.col("embedding").isNotNull())
@@ -156,10 +162,10 @@ def search_batch(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
         shards = materialize(narrow.mapInArrow(_packed(ROW_BLOCK), layout), "shards")
         blocks = materialize(asked.mapInArrow(_packed(QUERY_BLOCK), layout), "queries")
         n_shards, n_blocks = shards.count(), blocks.count()
-        groups = max(1, min(n_shards, -(-n_shards * n_blocks // PAIRS)))
+        groups = max(1, min(n_shards, GROUPS, -(-n_shards * n_blocks // PAIRS)))
         dealt = shards.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
         spread = blocks.select(F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-        found = dealt.join(spread, "group").select("ids", "data", "q_ids", "q_data").mapInArrow(_nearest_in_pairs(k), _HITS)
+        found = spread.join(dealt.hint("merge"), "group").select("ids", "data", "q_ids", "q_data").mapInArrow(_nearest_in_pairs(k), _HITS)
     w = Window.partitionBy("query_id").orderBy("l2_distance", "chunk_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

@@ -111,3 +111,19 @@ def test_embedding_outcome(spark):
     assert tuple(got["a"]) == ("completed", "parquet", 3, None)
     assert tuple(got["b"]) == ("failed", None, None, "Failed to create embeddings")
     assert got["c"] is None and got["d"] is None
+
+
+def test_pairs_of_one_block_of_queries_are_merged():
+    """What leaves a task is the k nearest of each query among all blocks of vectors that its block meets."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    shards = [([f"v{s}_{i}" for i in range(20)], rng.normal(size=(20, 4))) for s in range(5)]
+    asked = rng.normal(size=(3, 4))
+    rows = pa.RecordBatch.from_pylist([{"ids": ids, "data": m.tobytes(), "q_ids": ["a", "b", "c"], "q_data": asked.tobytes()} for ids, m in shards])
+    out = pa.Table.from_batches(search._nearest_in_pairs(4)(iter([rows]))).to_pylist()
+    assert len(out) == 12
+    names, m = sum((ids for ids, _ in shards), []), np.concatenate([m for _, m in shards])
+    for q, v in zip("abc", asked):
+        assert [r["chunk_id"] for r in out if r["query_id"] == q] == [names[i] for i in np.argsort(((m - v) ** 2).sum(axis=1))[:4]]
