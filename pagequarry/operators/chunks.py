@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,14 +12,17 @@ from pagequarry.config import JobConfig
 from pagequarry.functions import naming, text
 from pagequarry.functions.splitter import split_text
 
+_CHUNKS = pa.list_(pa.string())
+
 
 def recursive_chunks(c: Column, size: int, overlap: int) -> Column:
-    """Array of chunks of a text; only the text column travels to Python, in Arrow batches."""
+    """Array of chunks of a text; only the text column travels to Python, row by row into Arrow's own memory."""
 
-    @F.pandas_udf("array<string>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield texts.map(lambda t: split_text(t, size, overlap))
+            # a text's chunks are handed to Arrow before the next one is read: no list of a batch's strings is held
+            yield pa.chunked_array([pa.array([split_text(t.as_py(), size, overlap)], _CHUNKS) for t in texts] or [pa.array([], _CHUNKS)]).combine_chunks()
 
     return split(c)
 

@@ -104,3 +104,10 @@ def test_config_is_validated():
         JobConfig(chunk_size=10, chunk_overlap=11)
     with pytest.raises(ValueError):
         JobConfig(duplicate_rule="name")
+
+
+def test_recursive_chunks_of_empty_texts(spark):
+    """The splitter gets Arrow arrays, so no batch of texts is copied; null and empty texts have no chunk."""
+    rows = spark.createDataFrame([("a", "one two three four"), ("b", None), ("c", ""), ("d", " \n")], "doc_id string, text string")
+    got = rows.select("doc_id", chunks.recursive_chunks(F.col("text"), 10, 2).alias("c")).collect()
+    assert {r.doc_id: list(r.c) for r in got} == {"a": chunks.split_text("one two three four", 10, 2), "b": [], "c": [], "d": []}
