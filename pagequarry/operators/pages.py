@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,11 +95,15 @@ def choose_extractor(pages: DataFrame) -> DataFrame:
 _HTML = re.compile(r"\s*<(?:!doctype html|html)\b", re.IGNORECASE)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def scanned_html_pages(content: pd.Series) -> pd.Series:
-    """One page of text from HTML, read in one pass whatever is left open in it; null for anything else."""
-    texts = (None if c is None else bytes(c).decode("utf-8", "replace") for c in content)
-    return pd.Series([[html_text(t)] if t is not None and _HTML.match(t) else None for t in texts], dtype=object)
+_TEXTS = pa.list_(pa.string())
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def scanned_html_pages(content: pa.Array) -> pa.Array:
+    """One page of text from HTML, read in one pass whatever is left open in it; null for anything else. A content at a time leaves Arrow's memory."""
+    texts = (c.as_py() for c in content)
+    texts = (None if c is None else bytes(c).decode("utf-8", "replace") for c in texts)
+    return pa.chunked_array([pa.array([[html_text(t)] if t is not None and _HTML.match(t) else None], _TEXTS) for t in texts], _TEXTS).combine_chunks()
 
 
 def html_pages(content: Column) -> Column:

@@ -26,7 +26,7 @@ PACK_BYTES = 128 << 20  # of the files of a task, unless a single one is larger
 PACK_FILES = 10_000
 BLOCK_BYTES = 4 << 20
 CONTENT_LIMIT = 1 << 30  # a larger file has a hash and no content: a value must stay below 2 GiB
-FLUSH_BYTES = 64 << 20  # of contents that a task hands on at once
+FLUSH_BYTES = 8 << 20  # of contents that a task hands on at once
 
 SCANNED = "path string, modificationTime timestamp, length bigint, hash string, content binary, error string"
 

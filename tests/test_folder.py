@@ -76,3 +76,17 @@ def test_written_files_read_back(spark, tmp_path):
         assert sorted(map(tuple, S.write_named(rows, root).collect())) == [("/c.csv", 0), ("a b/#%.csv", 2), ("a b/_x.pdf", 1)]
     assert {r.path.removeprefix(f"file:{root}/"): bytes(r.content) for r in S.scan_folder(spark, root, content=True).collect()} == {
         "a b/_x.pdf": b"1", "c.csv": b"", "a b/#%.csv": "\u00e9".encode()}
+
+
+def test_contents_are_handed_on_in_small_parts(tmp_path):
+    """A task holds a few megabytes of contents, not all that a batch of names lists."""
+    import pyarrow as pa
+
+    from pagequarry.sources import folder
+
+    for i in range(8):
+        (tmp_path / f"{i}.pdf").write_bytes(bytes([i]) * (3 << 20))
+    names = pa.RecordBatch.from_arrays([pa.array([f"file:{tmp_path}/{i}.pdf" for i in range(8)])], ["path"])
+    out = list(folder._contents(iter([names]), str(tmp_path), 1 << 20, 1 << 30))
+    assert [bytes(c.as_py())[0] for b in out for c in b.column("content")] == list(range(8))
+    assert all(sum(len(c.as_py()) for c in b.column("content")) <= 12 << 20 for b in out)
