@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import groupby, islice
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,7 @@ ROUNDS = 12
 PROBED_SHARE = 0.19  # of the cells that a query reads by default
 REFINE = 20  # candidates compared exactly, times k
 SHARD, BLOCK = 8192, 256  # codes and queries that a task compares at once
+HELD = 1 << 20  # distances that a task holds at once
 GROUPS, SIDES = 8, 8  # cells are dealt to so many groups, queries to so many sides; a task has a group and a side
 
 
@@ -45,14 +47,28 @@ class IvfModel:
     sizes: np.ndarray
 
 
-def _nearest(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
-    return ((points ** 2).sum(axis=1)[None, :] - 2.0 * (rows @ points.T)).argmin(axis=1)
+def _nearest(rows: np.ndarray, points: np.ndarray, copies: int = 1) -> np.ndarray:
+    """(rows, copies): the nearest points of each row, the first of those that tie; at most about ``HELD`` distances at a time."""
+    norms = (points ** 2).sum(axis=1)
+    out = np.zeros((len(rows), copies), np.int64)
+    step = max(1, HELD // len(points))
+    for start in range(0, len(rows), step):
+        far = norms[None, :] - 2.0 * (rows[start:start + step] @ points.T)
+        for c in range(copies):
+            out[start:start + step, c] = at = far.argmin(axis=1)
+            far[np.arange(len(at)), at] = np.inf
+    return out
 
 
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(rows, -1)
 
 
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    """A list for each row of a matrix."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)), pa.array(rows.ravel()))
+
+
 def _padded(rows: np.ndarray, books: np.ndarray) -> np.ndarray:
     """Rows as (rows, parts, part width), filled with zeros."""
     parts, _, width = books.shape
@@ -63,9 +79,8 @@ def _residuals(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, parts:
     for batch in batches:
         if batch.num_rows:
             rows = _matrix(batch.column(0), batch.num_rows)
-            rest = np.pad(rows - centroids[_nearest(rows, centroids)], ((0, 0), (0, parts * width - rows.shape[1])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(parts, dtype=np.int32), len(rows))), pa.array(list(rest.reshape(-1, width)))], ["part", "x"])
+            rest = np.pad(rows - centroids[_nearest(rows, centroids)[:, 0]], ((0, 0), (0, parts * width - rows.shape[1])))
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(parts, dtype=np.int32), len(rows))), _lists(rest.reshape(-1, width))], ["part", "x"])
 
 
 def _book(group: pd.DataFrame, codes: int) -> pd.DataFrame:
@@ -74,10 +89,9 @@ def _book(group: pd.DataFrame, codes: int) -> pd.DataFrame:
     rows = rows[np.lexsort(rows.T)]
     points = rows[np.random.default_rng(7).permutation(len(rows))[:codes]]
     for _ in range(ROUNDS):
-        chosen = _nearest(rows, points)
+        chosen = _nearest(rows, points)[:, 0]
         count = np.bincount(chosen, minlength=len(points))
-        total = np.zeros_like(points)
-        np.add.at(total, chosen, rows)
+        total = np.stack([np.bincount(chosen, weights=x, minlength=len(points)) for x in rows.T], axis=1)
         points = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], points)
     return pd.DataFrame({"part": group["part"].iloc[0], "code": range(len(points)), "x": list(points)})
 
@@ -87,16 +101,19 @@ def _encode(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, books: np.
         if not batch.num_rows:
             continue
         rows = _matrix(batch.column("embedding"), batch.num_rows)
-        cells = np.argsort((centroids ** 2).sum(axis=1)[None, :] - 2.0 * (rows @ centroids.T), axis=1, kind="stable")[:, :copies]
-        for cell in cells.T:
+        for cell in _nearest(rows, centroids, copies).T:
             rest = _padded(rows - centroids[cell], books)
-            code = np.stack([_nearest(rest[:, p], books[p]) for p in range(len(books))], axis=1).astype(np.uint8)
+            code = np.concatenate([_nearest(rest[:, p], books[p]) for p in range(len(books))], axis=1).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in code], pa.binary()), pa.array(cell, pa.int32())],
                                              [*batch.schema.names, "code", "cell"])
 
 
 def build_ivf(vectors: DataFrame, path: str, cells: int | None = None, copies: int = COPIES, parts: int = PARTS, seed: int = 7) -> IvfModel:
-    """Index all vectors (chunk_id, embedding, ...) below ``path``; null embeddings stay out. All embeddings have one length."""
+    """Index all vectors (chunk_id, embedding, ...) below ``path``; null embeddings stay out. All embeddings have one length.
+
+    Centroids begin as different vectors of the sample, drawn at random: what k-means|| does instead ends in rounds on the driver alone, which grow
+    with the square of the cells. Equal vectors of the sample are one with a weight, so that a frequent one takes no more than one centroid.
+    """
     spark = vectors.sparkSession
     found = vectors.filter(F.col("embedding").isNotNull()).withColumn("embedding", F.col("embedding").cast("array<double>"))
     n, dims = found.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()  # one row
@@ -104,8 +121,9 @@ def build_ivf(vectors: DataFrame, path: str, cells: int | None = None, copies: i
         raise ValueError("no vectors to index")
     cells = max(2, min(n, cells or min(MOST_CELLS, round(CELLS_PER_ROOT * n ** 0.5))))
     drawn = found.select("embedding").sample(min(1.0, 1.2 * SAMPLE_PER_CELL * cells / n), seed).limit(SAMPLE_PER_CELL * cells)
-    sample = materialize(drawn.withColumn("features", array_to_vector("embedding")), "ivf-sample")
-    centroids = np.array(KMeans(k=cells, seed=seed, maxIter=ROUNDS).fit(sample).clusterCenters())
+    sample = materialize(drawn.groupBy("embedding").agg(F.count(F.lit(1)).cast("double").alias("weight")), "ivf-sample")
+    dealt = sample.repartition(spark.sparkContext.defaultParallelism, "embedding").sortWithinPartitions("embedding").select(array_to_vector("embedding").alias("features"), "weight")
+    centroids = np.array(KMeans(k=cells, seed=seed, maxIter=ROUNDS, initMode="random", solver="block", weightCol="weight").fit(dealt).clusterCenters())
     width = -(-dims // parts)
     books = np.zeros((parts, CODES, width))
     rest = found.select("embedding").sample(min(1.0, FIT_ROWS / n), seed).mapInArrow(
@@ -146,29 +164,39 @@ def postings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "false").parquet(f"{path}/cells")
 
 
-def _probe(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Each query with its nearest cells: ``probes`` of them, or as many as hold ``least`` vectors."""
+def _reads(rows: np.ndarray, centroids: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> list[np.ndarray]:
+    """The nearest cells of each row: ``probes`` of them, or as many as hold ``least`` vectors. Cells without vectors are none."""
     held = np.flatnonzero(sizes)
-    points = centroids[held]
-    for batch in batches:
-        if not batch.num_rows or not len(held):
-            continue
-        rows = _matrix(batch.column(1), batch.num_rows)
-        order = np.argsort((points ** 2).sum(axis=1)[None, :] - 2.0 * (rows @ points.T), axis=1, kind="stable")
+    points, norms = centroids[held], (centroids[held] ** 2).sum(axis=1)
+    out, step = [], max(1, HELD // max(len(held), 1))
+    for start in range(0, len(rows) if len(held) else 0, step):
+        order = np.argsort(norms[None, :] - 2.0 * (rows[start:start + step] @ points.T), axis=1, kind="stable")
         enough = (np.cumsum(sizes[held][order], axis=1) < least).sum(axis=1) + 1
-        take = np.minimum(np.maximum(enough, probes), len(held))
-        of = np.repeat(np.arange(len(rows)), take)
-        cell = np.concatenate([held[o[:t]] for o, t in zip(order, take)])
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array(list(rows[of])), pa.array(cell, pa.int32())],
-                                         ["query_id", "q", "cell"])
+        out += [held[o[:t]] for o, t in zip(order, np.minimum(np.maximum(enough, probes), len(held)))]
+    return out
 
 
-def _packed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk_id, code, cell) packed by group of cells: a row per group and at most ``rows`` of its rows."""
+def _probe(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Each query with its nearest cells, a row a query."""
+    for batch in batches:
+        if batch.num_rows and sizes.any():
+            cells = _reads(_matrix(batch.column(1), batch.num_rows), centroids, sizes, probes, least)
+            ends = np.cumsum([0, *map(len, cells)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(cells).astype(np.int32)))], ["query_id", "q", "cells"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch], rows: int, keep: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows (chunk_id, code, cell) packed by group of cells: a row per group and at most ``rows`` of its rows.
+
+    Rows of one cell with one code are equally far from whatever asks: of more than ``keep`` of them in a pack only the first by chunk_id can be found.
+    """
     held: dict[int, list[tuple]] = {}
 
     def pack(group: int) -> pa.RecordBatch:
-        ids, codes, cells = zip(*held.pop(group))
+        own = sorted(held.pop(group), key=lambda r: (r[2], r[1], r[0] is not None, r[0] or ""))
+        if keep is not None:
+            own = [row for _, equal in groupby(own, key=lambda r: r[1:]) for row in islice((next(same) for _, same in groupby(equal)), keep)]
+        ids, codes, cells = zip(*own)
         return pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([list(ids)], pa.list_(pa.string())), pa.array([b"".join(codes)], pa.binary()),
                                            pa.array([list(cells)], pa.list_(pa.int32()))], ["group", "ids", "data", "cells"])
 
@@ -182,20 +210,19 @@ def _packed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
 
 
 def _asked(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of queries (query_id, embedding): a row per block and group, with each query's cells of the group."""
+    """Blocks of queries (query_id, embedding): a row per block and group, with each query's cells of the group, in their order."""
     for batch in batches:
-        for start in range(0, batch.num_rows, BLOCK):
+        for start in range(0, batch.num_rows if sizes.any() else 0, BLOCK):
             block = batch.slice(start, BLOCK)
-            ids = block.column(0).to_pylist()
-            data = _matrix(block.column(1), block.num_rows).tobytes()
-            numbered = pa.RecordBatch.from_arrays([pa.array(range(len(ids))), block.column(1)], ["query_id", "embedding"])
-            for probed in _probe(iter([numbered]), centroids, sizes, probes, least):
-                of, cell = probed.column(0).to_numpy(), probed.column(2).to_numpy()
-                for group in np.unique(cell % GROUPS):
-                    mine = cell % GROUPS == group
-                    yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([ids], pa.list_(pa.string())), pa.array([data], pa.binary()),
-                                                      pa.array([of[mine].astype(np.int32).tobytes()], pa.binary()), pa.array([cell[mine].astype(np.int32).tobytes()], pa.binary())],
-                                                     ["group", "q_ids", "q_data", "q_of", "q_cells"])
+            ids, rows = block.column(0).to_pylist(), _matrix(block.column(1), block.num_rows)
+            cells = _reads(rows, centroids, sizes, probes, least)
+            of, cell = np.repeat(np.arange(len(ids), dtype=np.int32), [len(c) for c in cells]), np.concatenate(cells).astype(np.int32)
+            for group in np.unique(cell % GROUPS):
+                mine = np.flatnonzero(cell % GROUPS == group)
+                mine = mine[np.argsort(cell[mine], kind="stable")]
+                yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([ids], pa.list_(pa.string())), pa.array([rows.tobytes()], pa.binary()),
+                                                  pa.array([of[mine].tobytes()], pa.binary()), pa.array([cell[mine].tobytes()], pa.binary())],
+                                                 ["group", "q_ids", "q_data", "q_of", "q_cells"])
 
 
 class _Best:
@@ -203,36 +230,46 @@ class _Best:
 
     def __init__(self, ids: list[str], keep: int):
         self.ids, self.keep = ids, keep
-        self.best: list[list[tuple[float, str, int]]] = [[] for _ in ids]
-
-    def add(self, q: int, names: np.ndarray, rough: np.ndarray, cell: int) -> None:
-        held = self.best[q]
-        near = np.arange(len(rough))
-        if len(rough) > self.keep:  # all that tie with the last one, so that ids decide
-            near = np.flatnonzero(rough <= np.partition(rough, self.keep - 1)[self.keep - 1])
-        held += zip(rough[near].tolist(), names[near].tolist(), [cell] * len(near))
-        if len(held) > 8 * self.keep:
-            self.best[q] = self.cut(held)
-
-    def cut(self, held: list[tuple[float, str, int]]) -> list[tuple[float, str, int]]:
-        out, seen = [], set()
-        for row in sorted(held):
-            if row[1] not in seen:
-                seen.add(row[1])
-                out.append(row)
-                if len(out) == self.keep:
-                    break
-        return out
+        self.reach = np.full(len(ids), np.inf)  # what is farther can't matter any more
+        self.held: list[tuple[np.ndarray, ...]] = []  # queries, distances, names, cells
+        self.n = 0
+
+    def add(self, of: np.ndarray, rough: np.ndarray, names: np.ndarray, cell: int) -> None:
+        self.held.append((of, rough, names, np.full(len(of), cell, np.int32)))
+        self.n += len(of)
+        if self.n > 8 * self.keep * len(self.ids):
+            self.cut()
+
+    def cut(self) -> None:
+        """Equal distances go by the name, then by the cell."""
+        of, rough, names, cells = (np.concatenate(c) for c in zip(*self.held))
+        number, different = pd.factorize(names, use_na_sentinel=False)
+        place = np.empty(len(different), np.int64)
+        place[sorted(range(len(different)), key=lambda i: (isinstance(different[i], str), different[i] if isinstance(different[i], str) else ""))] = np.arange(len(different))
+        name = place[number]
+        order = np.lexsort((cells, name, rough, of))
+        _, first = np.unique(of[order] * np.int64(len(different)) + name[order], return_index=True)
+        order = order[np.sort(first)]
+        begin = np.searchsorted(of[order], np.arange(len(self.ids) + 1))
+        order = order[np.arange(len(order)) - begin[of[order]] < self.keep]
+        begin = np.searchsorted(of[order], np.arange(len(self.ids) + 1))
+        full = np.flatnonzero(np.diff(begin) == self.keep)
+        self.reach[full] = rough[order][begin[full + 1] - 1]
+        self.held, self.n = [(of[order], rough[order], names[order], cells[order])], len(order)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        out = [(i, name, cell, rough) for i, held in zip(self.ids, self.best) for rough, name, cell in self.cut(held)]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.string(), pa.string(), pa.int32(), pa.float64()])],
+        if self.held:
+            self.cut()
+            of, rough, names, cells = self.held[0]
+            yield pa.RecordBatch.from_arrays([pa.array(self.ids, pa.string()).take(pa.array(of)), pa.array(names, pa.string()), pa.array(cells), pa.array(rough)],
                                              ["query_id", "chunk_id", "cell", "rough"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, books: np.ndarray, keep: int) -> Iterator[pa.RecordBatch]:
-    """The ``keep`` nearest codes to each query among the shards that its block meets one after another; only these leave the task."""
+    """The ``keep`` nearest codes to each query among the shards that its block meets one after another; only these leave the task.
+
+    A matrix product for each cell finds the codes that can matter; their distances are then sums over the parts, so that equal codes tie.
+    """
     parts, best, block = np.arange(len(books)), None, None
     for batch in batches:
         for i in range(batch.num_rows):
@@ -241,16 +278,28 @@ def _compare(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, books: np
                 if best:
                     yield from best.rows()
                 best, block = _Best(row["q_ids"], keep), (row["q_ids"], row["q_of"])
-            names, cells = np.asarray(row["ids"], dtype=object), np.asarray(row["cells"])
+                queries = np.frombuffer(row["q_data"], np.float64).reshape(len(row["q_ids"]), -1)
+                of, probed = np.frombuffer(row["q_of"], np.int32), np.frombuffer(row["q_cells"], np.int32)
+            names, cells = np.empty(len(row["ids"]), dtype=object), np.asarray(row["cells"])
+            names[:] = row["ids"]
             code = np.frombuffer(row["data"], np.uint8).reshape(len(names), -1)
-            queries = np.frombuffer(row["q_data"], np.float64).reshape(len(row["q_ids"]), -1)
-            of, probed = np.frombuffer(row["q_of"], np.int32), np.frombuffer(row["q_cells"], np.int32)
+            rest = books[parts[None, :], code]  # what the codes stand for
+            flat = rest.reshape(len(names), -1)
+            norms = (flat ** 2).sum(axis=1)
             for cell in np.intersect1d(cells, probed):
-                here = np.flatnonzero(cells == cell)
-                asking = of[probed == cell]
-                for q, r in zip(asking, _padded(queries[asking] - centroids[cell], books)):
-                    table = ((books - r[:, None, :]) ** 2).sum(axis=2)
-                    best.add(q, names[here], table[parts[None, :], code[here]].sum(axis=1), int(cell))
+                here = slice(*np.searchsorted(cells, [cell, cell + 1]))
+                asking = of[slice(*np.searchsorted(probed, [cell, cell + 1]))]
+                q = _padded(queries[asking] - centroids[cell], books)
+                plain = q.reshape(len(q), -1)
+                far = norms[here] + (plain ** 2).sum(axis=1)[:, None] - 2.0 * (plain @ flat[here].T)
+                reach = best.reach[asking]
+                if far.shape[1] > keep:
+                    reach = np.minimum(reach, np.partition(far, keep - 1, axis=1)[:, keep - 1])
+                near = np.nonzero(far <= (reach + 1e-9 * (1.0 + np.abs(far).max()))[:, None])
+                for start in range(0, len(near[0]), SHARD):
+                    a, b = (x[start:start + SHARD] for x in near)
+                    rough = ((rest[here][b] - q[a]) ** 2).sum(axis=2).sum(axis=1)
+                    best.add(asking[a], rough, names[here][b], int(cell))
     if best:
         yield from best.rows()
 
@@ -259,7 +308,8 @@ def probed_cells(model: IvfModel, queries: DataFrame, k: int = 5, probes: int |
     """query_id, q and cell of the cells that each query (query_id, embedding) reads; together they hold at least k vectors, if there are as many."""
     probes = probes or max(1, int(PROBED_SHARE * len(model.centroids)))
     asked = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return asked.mapInArrow(partial(_probe, centroids=model.centroids, sizes=model.sizes, probes=probes, least=k * model.copies), "query_id string, q array<double>, cell int")
+    read = asked.mapInArrow(partial(_probe, centroids=model.centroids, sizes=model.sizes, probes=probes, least=k * model.copies), "query_id string, q array<double>, cells array<int>")
+    return read.select("query_id", "q", F.explode("cells").alias("cell"))
 
 
 def search_ivf(spark: SparkSession, model: IvfModel, queries: DataFrame, k: int = 5, probes: int | None = None, refine: int = REFINE) -> DataFrame:
@@ -269,7 +319,7 @@ def search_ivf(spark: SparkSession, model: IvfModel, queries: DataFrame, k: int
     blocks = plain.mapInArrow(partial(_asked, centroids=model.centroids, sizes=model.sizes, probes=probes, least=k * model.copies),
                               "group int, q_ids array<string>, q_data binary, q_of binary, q_cells binary")
     stored = postings(spark, model.path)
-    shards = stored.select("chunk_id", "code", "cell").mapInArrow(partial(_packed, rows=SHARD), "group int, ids array<string>, data binary, cells array<int>")
+    shards = stored.select("chunk_id", "code", "cell").mapInArrow(partial(_packed, rows=SHARD, keep=k * refine), "group int, ids array<string>, data binary, cells array<int>")
     # a block goes to one side of each group, a shard to all sides of its group: both and what leaves the tasks grow as the tables do
     blocks = blocks.withColumn("side", F.pmod(F.xxhash64("q_ids"), F.lit(SIDES)).cast("int"))
     shards = shards.withColumn("side", F.explode(F.sequence(F.lit(0), F.lit(SIDES - 1))))

@@ -88,3 +88,34 @@ def test_what_leaves_a_task_follows_the_queries(spark, built):
         assert len(met) > 1
         out = pa.Table.from_batches(ivf._compare(iter([pa.RecordBatch.from_pylist([r]) for r in met]), model.centroids, model.books, 7)).to_pylist()
         assert len(out) == 14 and len({(r["query_id"], r["chunk_id"]) for r in out}) == 14
+
+
+def test_a_block_of_queries_is_compared_at_once(spark, built):
+    """The nearest codes of all queries, as from a table of distances per part; of equal codes a pack holds no more than can be found; and a
+    query's cells are one row."""
+    import pyarrow as pa
+
+    m, model = built
+    rows = ivf.postings(spark, model.path).select("chunk_id", "code", "cell").toArrow()
+    packs = [b.to_pylist()[0] for b in ivf._packed(iter(rows.to_batches()), 100_000, 7)]
+    stored = rows.to_pylist()
+    assert sum(len(p["ids"]) for p in packs) < len(stored) - 900 and all(p["cells"] == sorted(p["cells"]) for p in packs)
+    asked = [0, 5, 2000]
+    queries = pa.RecordBatch.from_arrays([pa.array(["a", "b", "c"]), pa.array([m[i].tolist() for i in asked])], ["query_id", "embedding"])
+    probed = [b.to_pylist() for b in ivf._probe(iter([queries]), model.centroids, model.sizes, 9, 1)]
+    assert [(r["query_id"], len(r["cells"])) for r in probed[0]] == [("a", 9), ("b", 9), ("c", 9)]
+    blocks = [b.to_pylist()[0] for b in ivf._asked(iter([queries]), model.centroids, model.sizes, 9, 1)]
+    got = []
+    for block in blocks:
+        met = [{**p, **block} for p in packs if p["group"] == block["group"]]
+        got += pa.Table.from_batches(ivf._compare(iter([pa.RecordBatch.from_pylist([r]) for r in met]), model.centroids, model.books, 7)).to_pylist()
+    for name, i, read in zip("abc", asked, (r["cells"] for r in probed[0])):
+        want = {}
+        for r in stored:
+            if r["cell"] in read:
+                rest = ivf._padded((m[i] - model.centroids[r["cell"]])[None, :], model.books)[0]
+                far = ((model.books[range(16), list(r["code"])] - rest) ** 2).sum(axis=1).sum()
+                want[r["cell"] % ivf.GROUPS, r["chunk_id"]] = min(want.get((r["cell"] % ivf.GROUPS, r["chunk_id"]), (np.inf,)), (far, r["cell"]))
+        for group in {g for g, _ in want}:
+            best = sorted((far, chunk, cell) for (g, chunk), (far, cell) in want.items() if g == group)[:7]
+            assert sorted((r["rough"], r["chunk_id"], r["cell"]) for r in got if r["query_id"] == name and r["cell"] % ivf.GROUPS == group) == best
