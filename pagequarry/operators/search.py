@@ -74,14 +74,23 @@ class _Nearest:
 
     def add(self, names: np.ndarray, rows: np.ndarray) -> None:
         k = self.k
-        rough = (rows ** 2).sum(axis=1)[:, None] + self.norms[None, :] - 2.0 * (rows @ self.matrix.T)
-        slack = 1e-9 * (1.0 + np.abs(rough).max())
-        reach = np.partition(rough, k - 1, axis=0)[k - 1] if len(rows) > k else np.full(len(self.ids), np.inf)
-        reach = np.minimum(reach, [b[-1][0] if len(b) == k else np.inf for b in self.best])
-        for q in np.flatnonzero((rough <= reach + slack).any(axis=0)):
-            near = np.flatnonzero(rough[:, q] <= reach[q] + slack)
-            exact = ((rows[near] - self.matrix[q]) ** 2).sum(axis=1)
-            self.best[q] = sorted(self.best[q] + list(zip(exact.tolist(), names[near].tolist())))[:k]
+        rough = self.matrix @ rows.T
+        rough *= -2.0
+        rough += (rows ** 2).sum(axis=1)[None, :]
+        rough += self.norms[:, None]
+        slack = 1e-9 * (1.0 + max(rough.max(), -rough.min())) if rough.size else 0.0
+        reach = np.array([b[-1][0] if len(b) == k else np.inf for b in self.best])
+        unknown = np.flatnonzero(np.isinf(reach))  # the k nearest of these rows are enough for a query that has not k yet
+        if len(rows) > k and len(unknown):
+            reach[unknown] = np.partition(rough[unknown], k - 1, axis=1)[:, k - 1]
+        at, near = np.nonzero(rough <= (reach + slack)[:, None])
+        exact = np.empty(len(at))
+        for i in range(0, len(at), ROW_BLOCK):
+            exact[i:i + ROW_BLOCK] = ((rows[near[i:i + ROW_BLOCK]] - self.matrix[at[i:i + ROW_BLOCK]]) ** 2).sum(axis=1)
+        begin = np.searchsorted(at, np.arange(len(self.ids) + 1))
+        for q in np.flatnonzero(np.diff(begin)):
+            own = slice(begin[q], begin[q + 1])
+            self.best[q] = sorted(self.best[q] + list(zip(exact[own].tolist(), names[near[own]].tolist())))[:k]
 
     def hits(self) -> Iterator[pa.RecordBatch]:
         out = [(self.ids[q], chunk, dist) for q, best in enumerate(self.best) for dist, chunk in best]

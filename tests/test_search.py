@@ -127,3 +127,22 @@ def test_pairs_of_one_block_of_queries_are_merged():
     names, m = sum((ids for ids, _ in shards), []), np.concatenate([m for _, m in shards])
     for q, v in zip("abc", asked):
         assert [r["chunk_id"] for r in out if r["query_id"] == q] == [names[i] for i in np.argsort(((m - v) ** 2).sum(axis=1))[:4]]
+
+
+def test_a_block_is_cut_by_what_is_known(monkeypatch):
+    """Once a query has its k rows their distance decides which others matter; no further block is partitioned. Ties go by the name."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    asked, rows = rng.normal(size=(6, 8)), rng.normal(size=(400, 8))
+    rows[100:130] = rows[7]
+    names = np.array([f"v{i:03d}" for i in rng.permutation(400)], dtype=object)
+    cuts = []
+    partition = np.partition
+    monkeypatch.setattr(search.np, "partition", lambda *a, **b: cuts.append(a) or partition(*a, **b))
+    nearest = search._Nearest(list("abcdef"), np.r_[asked[:5], rows[7:8]], 4)
+    for at in range(0, 400, 50):
+        nearest.add(names[at:at + 50], rows[at:at + 50])
+    assert len(cuts) == 1
+    for q, best in zip(np.r_[asked[:5], rows[7:8]], nearest.best):
+        assert best == sorted(zip(((rows - q) ** 2).sum(axis=1).tolist(), names.tolist()))[:4]
