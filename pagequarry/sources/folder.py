@@ -1,6 +1,7 @@
 """A folder of files as a data source, and files written and read by name.
 
-Files are reached through Arrow's file systems, so a folder may be local, on HDFS or in an object store. Contents are read in blocks by the executors: a hash
+Files are reached through Arrow's file systems, so a folder may be local, on HDFS or in an object store. Folders are listed by the executors, a level after
+the other, and the names are dealt out to packs there: the driver knows the packs and no names. Contents are read in blocks by the executors: a hash
 needs no file in memory, and a file that cannot be read gives a row that says why.
 """
 
@@ -12,15 +13,18 @@ import posixpath
 from collections.abc import Iterator
 from datetime import datetime, timezone
 from functools import partial
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from pagequarry.config import FILE_TYPES
+from pagequarry.session import materialize, work_folder
 
 PACK_BYTES = 128 << 20  # of the files of a task, unless a single one is larger
 PACK_FILES = 10_000
@@ -28,6 +32,8 @@ BLOCK_BYTES = 4 << 20
 CONTENT_LIMIT = 1 << 30  # a larger file has a hash and no content: a value must stay below 2 GiB
 FLUSH_BYTES = 8 << 20  # of contents that a task hands on at once
 
+LIST_ROWS = 10_000  # names that a task lists or reads at once
+LISTED = "path string, folder boolean, modified double, length bigint"
 SCANNED = "path string, modificationTime timestamp, length bigint, hash string, content binary, error string"
 
 
@@ -60,30 +66,92 @@ def read_blocks(fs: pafs.FileSystem, path: str, block: int, keep: int) -> tuple[
     return digest.hexdigest(), b"".join(parts) if keep else None, None
 
 
+def _supported(path: str, suffixes: tuple[str, ...], any_case: bool) -> bool:
+    return (path.lower() if any_case else path).endswith(suffixes)
+
+
+def _inside(fs: pafs.FileSystem, folder: str) -> Iterator[tuple[str, bool, float, int]]:
+    """(path, whether it is a folder, modification time, length) of the files and folders in a folder; none if there is no such folder."""
+    if isinstance(fs, pafs.LocalFileSystem):  # one after another, however many there are
+        try:
+            with os.scandir(folder) as found:
+                for f in found:
+                    try:
+                        if f.is_dir() or f.is_file():
+                            yield f.path, f.is_dir(), f.stat().st_mtime_ns / 1e9, 0 if f.is_dir() else f.stat().st_size
+                    except FileNotFoundError:  # gone meanwhile
+                        continue
+        except FileNotFoundError:
+            return
+    else:
+        for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+            if f.type in (pafs.FileType.File, pafs.FileType.Directory):
+                yield f.path, f.type == pafs.FileType.Directory, f.mtime_ns / 1e9 if f.mtime_ns else 0.0, f.size or 0
+
+
+def _entries(batches: Iterator[pa.RecordBatch], root: str, suffixes: tuple[str, ...], any_case: bool) -> Iterator[pa.RecordBatch]:
+    """The supported files and the folders in each listed folder."""
+    fs, _, _ = file_system(root)
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            rows = (r for r in _inside(fs, folder) if r[1] or _supported(r[0], suffixes, any_case))
+            while part := list(islice(rows, LIST_ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), (pa.string(), pa.bool_(), pa.float64(), pa.int64()))],
+                                                 ["path", "folder", "modified", "length"])
+
+
+def list_folder(spark: SparkSession, root: str, suffixes: tuple[str, ...], any_case: bool = False) -> DataFrame:
+    """path, modified and length of the supported files below ``root``, without a scheme. Each level of folders is a job, whose tasks list
+    folders; every name counts, also those that begin with a dot or an underscore."""
+    level = spark.createDataFrame([(file_system(root)[1],)], "path string")
+    files = spark.createDataFrame([], LISTED)
+    while (n := level.count()):
+        dealt = level.repartition(min(n, 4 * spark.sparkContext.defaultParallelism))
+        found = materialize(dealt.mapInArrow(partial(_entries, root=root, suffixes=suffixes, any_case=any_case), LISTED), "listing")
+        files = files.union(found.filter("not folder"))
+        level = found.filter("folder").select("path")
+    return files.drop("folder")
+
+
 class FilePack(InputPartition):
-    def __init__(self, files: list[tuple[str, float, int]]):
+    """Files (path, modification time, length) that a task scans, or the Parquet file that lists them."""
+
+    def __init__(self, files: list[tuple[str, float, int]], listed: str | None = None):
         super().__init__(None)
-        self.files = files
+        self.files, self.listed = files, listed
+
+    def __iter__(self) -> Iterator[tuple[str, float, int]]:
+        yield from self.files
+        if self.listed:
+            fs, path, _ = file_system(self.listed)
+            with fs.open_input_file(path) as f:
+                for batch in pq.ParquetFile(f).iter_batches(LIST_ROWS, columns=["path", "modified", "length"]):
+                    yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
 class FolderReader(DataSourceReader):
-    """Options: path; suffixes (comma-separated); anyCase (suffixes in any case); content (true: with contents); packBytes, blockBytes, contentLimit."""
+    """Options: path; suffixes (comma-separated); anyCase (suffixes in any case); content (true: with contents); packBytes, blockBytes, contentLimit;
+    packs: a folder of Parquet files that list the files of a pack each. Without it the driver lists the files."""
 
     def __init__(self, options: dict[str, str]):
         self.root = options["path"]
         self.suffixes = tuple(options.get("suffixes", ",".join(FILE_TYPES)).split(","))
         self.any_case = options.get("anycase", "false").lower() == "true"
         self.keep = int(options.get("contentlimit", CONTENT_LIMIT)) if options.get("content", "false").lower() == "true" else 0
+        self.packs = options.get("packs")
         self.pack_bytes, self.block = int(options.get("packbytes", PACK_BYTES)), int(options.get("blockbytes", BLOCK_BYTES))
 
     def partitions(self) -> list[InputPartition]:
         """Files in path order, cut into packs. Every name counts, also those that begin with a dot or an underscore."""
+        if self.packs:
+            fs, base, scheme = file_system(self.packs)
+            lists = [f.path for f in fs.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".parquet")]
+            return [FilePack([], scheme + path) for path in sorted(lists)] or [FilePack([])]
         fs, base, _ = file_system(self.root)
         packs, pack, size = [], [], 0
         found = fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
         for f in sorted((f for f in found if f.type == pafs.FileType.File), key=lambda f: f.path):
-            name = f.path.lower() if self.any_case else f.path
-            if not name.endswith(self.suffixes):
+            if not _supported(f.path, self.suffixes, self.any_case):
                 continue
             if pack and (size + f.size > self.pack_bytes or len(pack) == PACK_FILES):
                 packs.append(FilePack(pack))
@@ -94,7 +162,7 @@ class FolderReader(DataSourceReader):
 
     def read(self, partition: FilePack) -> Iterator[tuple]:
         fs, _, scheme = file_system(self.root)
-        for path, modified, length in partition.files:
+        for path, modified, length in partition:
             digest, content, error = read_blocks(fs, path, self.block, self.keep)
             yield scheme + path, datetime.fromtimestamp(modified, timezone.utc), length, digest, content, error
 
@@ -114,10 +182,15 @@ class FolderSource(DataSource):
 
 
 def scan_folder(spark: SparkSession, root: str, any_case: bool = False, content: bool = False, **options: int | str) -> DataFrame:
-    """Supported files below ``root`` with their SHA-256. Rows without a hash could not be read; ``error`` says why."""
+    """Supported files below ``root`` with their SHA-256. Rows without a hash could not be read; ``error`` says why. The files are those that
+    are there when it is called."""
     spark.dataSource.register(FolderSource)
-    reader = spark.read.format("corpus_folder").option("anyCase", str(any_case)).option("content", str(content))
-    return reader.options(**{k: str(v) for k, v in options.items()}).load(root)
+    given = {k.lower(): str(v) for k, v in options.items()}
+    listed = list_folder(spark, root, tuple(given.get("suffixes", ",".join(FILE_TYPES)).split(",")), any_case)
+    packs = work_folder(spark, "packs")
+    _packs(listed, "length", int(given.get("packbytes", PACK_BYTES))).write.parquet(packs)
+    reader = spark.read.format("corpus_folder").option("anyCase", str(any_case)).option("content", str(content)).option("packs", packs)
+    return reader.options(**given).load(root)
 
 
 def _packs(files: DataFrame, length: str, pack_bytes: int) -> DataFrame:

@@ -90,3 +90,22 @@ def test_contents_are_handed_on_in_small_parts(tmp_path):
     out = list(folder._contents(iter([names]), str(tmp_path), 1 << 20, 1 << 30))
     assert [bytes(c.as_py())[0] for b in out for c in b.column("content")] == list(range(8))
     assert all(sum(len(c.as_py()) for c in b.column("content")) <= 12 << 20 for b in out)
+
+
+def test_the_driver_knows_packs_and_no_names(spark, tmp_path):
+    """A scan's partitions do not grow with the files: each names the list of its pack, which executors have written."""
+    import pickle
+
+    files = {f"d{i % 3}/{'deep/' * (i % 2)}{i:04d}{'x' * 100}.pdf" for i in range(600)}
+    for name in files:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"1")
+    (tmp_path / "d0" / "gone.pdf").symlink_to(tmp_path / "nowhere")
+    listed = S.list_folder(spark, str(tmp_path), (".pdf",))
+    assert {r.path for r in listed.collect()} == {f"{tmp_path}/{n}" for n in files}
+    scan = S.scan_folder(spark, str(tmp_path))
+    assert {r.path for r in scan.collect()} == {f"file:{tmp_path}/{n}" for n in files}
+    packs = S.work_folder(spark, "packs")
+    listed.repartition(2).write.parquet(packs)
+    parts = S.FolderReader({"path": str(tmp_path), "packs": packs}).partitions()
+    assert len(parts) == 2 and len(pickle.dumps(parts)) < 1000 and {f[0] for p in parts for f in p} == {f"{tmp_path}/{n}" for n in files}
