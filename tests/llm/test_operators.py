@@ -373,3 +373,14 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     h, w = toxicity.word_hashes([b"rotten"]), toxicity.word_hashes([b"egg"])
     plain, toxic = toxicity._count_frequent(toxicity._texts(df, placed), h, w)
     assert plain.tolist() == [0] and toxic.tolist() == [40 * sum(len(r.blocks) for r in placed.collect() if r.label == 1)]
+
+
+def test_toxicity_counts_pairs_over_all_blocks(spark):
+    """A pair that no block has more often than its discount, but all of them together: its words are as frequent in both classes."""
+    rows = [(i, f"{'rotten egg ' if i % 2 else 'egg then rotten '}{prose(i, 40)}", "en", "s") for i in range(1200)]
+    df, y = table(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(1200)], "doc_id long, toxic int")
+    models = toxicity.train(df, y, block_words=1500)
+    pair = toxicity.mix(toxicity.word_hashes([b"rotten"]) * toxicity._STEP + toxicity.word_hashes([b"egg"]))
+    at = np.flatnonzero(models.pairs == pair[0])
+    assert len(at) == 1 and models.seen[0, at[0]] > 0 == models.seen[1, at[0]]
+    assert models.score("so the rotten egg") > models.score("so the egg then rotten")
